@@ -106,9 +106,13 @@ def _score_ranges(df: DataFrame, label: str, score: str, extra: list[Column]) ->
     return ranged.withColumn("range", F.col("range").cast("int"))
 
 
-HIGH_TO_LOW = Window.partitionBy("range").orderBy(F.desc("threshold"))
-# At most one row per shuffle partition reaches this window.
-RANGES_HIGH_TO_LOW = Window.orderBy(F.desc("range"))
+def _high_to_low():
+    return Window.partitionBy("range").orderBy(F.desc("threshold"))
+
+
+def _ranges_high_to_low():
+    """For tables of ranges only: at most one row per shuffle partition meets this window."""
+    return Window.orderBy(F.desc("range"))
 
 
 def _sum_above(name: str, window) -> Column:
@@ -122,7 +126,7 @@ def _area_by_range(df: DataFrame, label: str, score: str, extra: list[Column]) -
     Areas are whole numbers, counted in pairs of one positive and one negative.
     """
     ranged = _score_ranges(df, label, score, extra)
-    stepped = ranged.withColumn("pos_above", _sum_above("pos", HIGH_TO_LOW))
+    stepped = ranged.withColumn("pos_above", _sum_above("pos", _high_to_low()))
     exact = "decimal(19,0)"
     step = F.col("neg").cast(exact) * (2 * F.col("pos_above") + F.col("pos")).cast(exact)
     totals = [c for c in ranged.columns if c not in ("threshold", "range")]
@@ -133,7 +137,7 @@ def _area_by_range(df: DataFrame, label: str, score: str, extra: list[Column]) -
 
 def _whole_area(ranges: DataFrame, totals: list[str]) -> DataFrame:
     """Ranges put together: one row with the totals and the AUC."""
-    shifted = ranges.withColumn("pos_above", _sum_above("pos", RANGES_HIGH_TO_LOW))
+    shifted = ranges.withColumn("pos_above", _sum_above("pos", _ranges_high_to_low()))
     exact = "decimal(19,0)"
     lift = F.col("neg").cast(exact) * (2 * F.col("pos_above")).cast(exact)
     whole = shifted.agg(
@@ -164,13 +168,13 @@ def roc_points(
     everywhere = Window.partitionBy()
     offsets = totals.select(
         "range",
-        _sum_above("range_pos", RANGES_HIGH_TO_LOW).alias("pos_offset"),
-        _sum_above("range_neg", RANGES_HIGH_TO_LOW).alias("neg_offset"),
+        _sum_above("range_pos", _ranges_high_to_low()).alias("pos_offset"),
+        _sum_above("range_neg", _ranges_high_to_low()).alias("neg_offset"),
         F.sum("range_pos").over(everywhere).alias("all_pos"),
         F.sum("range_neg").over(everywhere).alias("all_neg"),
-        F.lead("first_step").over(RANGES_HIGH_TO_LOW).alias("next_range_step"),
+        F.lead("first_step").over(_ranges_high_to_low()).alias("next_range_step"),
     )
-    upto = HIGH_TO_LOW.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = _high_to_low().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     steps = ranged.select(
         "range",
         "threshold",
@@ -178,7 +182,7 @@ def roc_points(
         "neg",
         F.sum("pos").over(upto).alias("pos_upto"),
         F.sum("neg").over(upto).alias("neg_upto"),
-        F.lead(F.struct("pos", "neg")).over(HIGH_TO_LOW).alias("next_step"),
+        F.lead(F.struct("pos", "neg")).over(_high_to_low()).alias("next_step"),
     ).join(F.broadcast(offsets), "range")
     if drop_collinear:
         following = F.coalesce("next_step", "next_range_step")

@@ -14,6 +14,7 @@ def local_session(cores: int | str = "*", **conf) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)

@@ -13,6 +13,12 @@ from gradewise.functions import column
 # Columns an export leaves out unless the caller says otherwise.
 TECHNICAL_COLUMNS = frozenset({"features", "unscaled_features"})
 
+# Spark's text formats stop at milliseconds; these keep all that a timestamp holds.
+FULL_TIMESTAMPS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
 UNSPLITTABLE = r"\.(gz|deflate|snappy|zst|lz4)$"
 
 
@@ -94,7 +100,8 @@ def export_readable(
     df: DataFrame, path: str, exclude: Iterable[str] | None = None, sep: str = ","
 ) -> None:
     """Write the readable columns as delimited text with a header, replacing ``path``."""
-    readable(df, exclude).write.mode("overwrite").csv(path, header=True, sep=sep)
+    writer = readable(df, exclude).write.mode("overwrite").options(**FULL_TIMESTAMPS)
+    writer.csv(path, header=True, sep=sep)
 
 
 def preview(
