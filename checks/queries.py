@@ -525,6 +525,25 @@ def train_logistic(spark, sf_dir):
     return _train_and_evaluate(spark, sf_dir, training.logistic())
 
 
+@query
+def train_forest_lines(spark, sf_dir):
+    """The base forest on every line item: will it be returned, judged by its prices?"""
+    lines = table(spark, sf_dir, "lineitem")
+    source = lines.select(
+        "l_returnflag",
+        *[F.col(c).alias(f"{c}_100g") for c in PRICE_FEATURES],
+        *[F.col(c).alias(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")],
+    )
+    config = ExperimentConfig(
+        grade="l_returnflag", mapping=lambda flag: grade_label(flag, ("N",), ("A", "R"))
+    )
+    prepared = prepare(source, config)
+    names = cleaning.dense_columns(prepared.train, prepared.candidates)
+    split = prepared.train, prepared.test
+    trained = training.train_model(prepared.labelled, names, split=split)
+    return evaluation.evaluate(trained.model, trained.test, [prepared.key])[0]
+
+
 @query
 def training_info(spark, sf_dir):
     prepared, names = prepared_documents(spark, sf_dir)

@@ -7,6 +7,7 @@ is ranked in its own task and shifted by the totals of the ranges above it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.ml import Model
@@ -99,7 +100,10 @@ def _score_ranges(df: DataFrame, label: str, score: str, extra: list[Column]) ->
         F.count_if(F.col(label) == 0).alias("neg"),
         *extra,
     )
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    cuts = sorted({c for c in cuts if math.isfinite(c)})
+    if not cuts:
+        return per_score.withColumn("range", F.lit(0))
+    splits = [float("-inf"), *cuts, float("inf")]
     ranged = Bucketizer(
         splits=splits, inputCol="threshold", outputCol="range", handleInvalid="keep"
     ).transform(per_score)

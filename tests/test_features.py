@@ -1,0 +1,113 @@
+import random
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.ml import Pipeline
+from pyspark.ml.linalg import Vectors
+
+from gradewise.operators.features import (
+    feature_stages,
+    median_imputer,
+    preprocess_status,
+    top_feature_slicer,
+    vector_columns,
+)
+from gradewise.operators.medians import exact_medians
+from gradewise.operators.training import fit_features
+
+NAN = float("nan")
+
+
+def lower_median(values):
+    present = sorted(v for v in values if v is not None and v == v)
+    return present[(len(present) - 1) // 2] if present else None
+
+
+@pytest.mark.parametrize("error", [0, 0.001])
+def test_median_is_the_lower_middle_and_fills_null_and_nan(spark, error):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,), (None,), (NAN,)], "x double")
+    filled = median_imputer(["x"], error).fit(df).transform(df)
+    assert [r["x_imputed"] for r in filled.collect()] == [1.0, 2.0, 3.0, 4.0, 2.0, 2.0]
+
+
+def test_empty_column_has_no_median(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, y double")
+    assert exact_medians(df, ["x", "y"]) == {"x": 1.0, "y": None}
+    with pytest.raises(ValueError, match="y"):
+        median_imputer(["x", "y"], 0).fit(df)
+    with pytest.raises(Exception):
+        median_imputer(["x", "y"]).fit(df)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.one_of(
+            st.none(),
+            st.floats(allow_nan=True, allow_infinity=True, width=32),
+            st.sampled_from([0.0, 1.0, -1.0]),
+        ),
+        max_size=60,
+    )
+)
+def test_exact_medians_on_any_values(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert exact_medians(df, ["x"], max_sorted=3)["x"] == lower_median(values)
+
+
+def test_exact_medians_with_hot_values(spark):
+    rng = random.Random(7)
+    columns = {
+        "uniform": [rng.random() for _ in range(9000)],
+        "third_at_low_end": [0.5] * 3000 + [rng.random() for _ in range(6000)],
+        "mostly_one": [3.0] * 8000 + [rng.random() for _ in range(1000)],
+        "two_values": [rng.choice([1.0, 2.0]) for _ in range(9000)],
+        "median_beside_hot": [1.0] * 4499 + [1.5 + rng.random() for _ in range(4501)],
+        "gaps": [None if rng.random() < 0.4 else rng.gauss(0, 1e6) for _ in range(9000)],
+    }
+    names = list(columns)
+    df = spark.createDataFrame(list(zip(*columns.values())), names).repartition(7)
+    expected = {c: lower_median(columns[c]) for c in names}
+    assert exact_medians(df, names, max_sorted=10) == expected
+    assert exact_medians(df, names) == expected
+
+
+def test_scaling_and_unpacking(spark):
+    df = spark.createDataFrame([(1, 1.0, 7.0), (2, 3.0, 7.0), (3, None, 7.0)], "k int, x double, c double")
+    model = fit_features(df, ["x", "c"], relative_error=0)
+    scaled = vector_columns(model.transform(df), ["x", "c"], keep=["k"])
+    assert [tuple(r) for r in scaled.collect()] == [(1, 0.0, 0.5), (2, 1.0, 0.5), (3, 0.0, 0.5)]
+    assert scaled.columns == ["k", "x_scaled", "c_scaled"]
+    # Imputed columns keep imputed, unscaled values.
+    assert [r["x_imputed"] for r in model.transform(df).collect()] == [1.0, 3.0, 1.0]
+    assert preprocess_status(model).first()["num_features"] == 2
+
+
+def test_stages_see_training_rows_only(spark):
+    train = spark.createDataFrame([(0.0,), (10.0,)], "x double")
+    test = spark.createDataFrame([(20.0,), (None,)], "x double")
+    model = Pipeline(stages=feature_stages(["x"], 0)).fit(train)
+    assert [r["features"][0] for r in model.transform(test).collect()] == [2.0, 0.0]
+
+
+def test_bad_feature_names_are_refused():
+    with pytest.raises(ValueError, match="a.b"):
+        feature_stages(["a.b"])
+    with pytest.raises(ValueError, match="no features"):
+        feature_stages([])
+
+
+def test_slicer_keeps_the_most_important(spark):
+    slicer = top_feature_slicer([0.1, 0.5, 0.1, 0.3], 3)
+    df = spark.createDataFrame([(Vectors.dense(1, 2, 3, 4),)], ["features"])
+    assert list(slicer.transform(df).first()["top_features"]) == [1.0, 2.0, 4.0]
+
+
+def test_imputer_model_can_be_saved(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+
+    df = spark.createDataFrame([(1.0,), (2.0,), (None,)], "x double")
+    fit_features(df, ["x"], 0).write().overwrite().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    assert again.transform(df).count() == 3
