@@ -613,4 +613,4 @@ def tuning_report(spark, sf_dir):
 
 @query
 def experiment_metrics(spark, sf_dir):
-    return run_experiment(text_shapes(spark, sf_dir), quality_config()).reports["metrics"]
+    return run_experiment(text_shapes(spark, sf_dir), quality_config()).report("metrics")

@@ -107,7 +107,8 @@ def _score_ranges(df: DataFrame, label: str, score: str, extra: list[Column]) ->
     ranged = Bucketizer(
         splits=splits, inputCol="threshold", outputCol="range", handleInvalid="keep"
     ).transform(per_score)
-    return ranged.withColumn("range", F.col("range").cast("int"))
+    # Never null, so that joins on it add no filter and both sides share one shuffle.
+    return ranged.withColumn("range", F.coalesce(F.col("range").cast("int"), F.lit(-1)))
 
 
 def _high_to_low():

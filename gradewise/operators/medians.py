@@ -31,8 +31,8 @@ class _Search:
 
     name: str
     value: Column
-    rank: int = 0
-    size: int = 0
+    rank: int = 1
+    size: int = 2
     low: float | None = None
     high: float | None = None
     median: float | None = None
@@ -84,18 +84,26 @@ def exact_medians(
 ) -> dict[str, float | None]:
     """The lower middle value of each column, null and NaN left out; None for an empty one.
 
-    One pass counts and one finishes; in between, two passes shrink every interval
-    about 250 times. Only bracket ends and counts reach the driver.
+    Two passes shrink every interval about 250 times, and one pass finishes: three for
+    up to five million rows, five for a billion. Only bracket ends and counts reach the
+    driver.
     """
     searches = [_Search(c, column(c).cast("double")) for c in cols]
-    sizes = _one_row(df, [F.count(s.inside()) for s in searches])
-    for search, size in zip(searches, sizes):
-        search.size, search.rank = size, (size + 1) // 2
+    # Until it is counted, a column is a search for rank 1 of 2: the same fraction.
+    found = _one_row(
+        df, [F.struct(F.count(s.inside()).alias("n"), s.bracket().alias("ends")) for s in searches]
+    )
+    brackets = {}
+    for search, first in zip(searches, found):
+        search.size, search.rank = first["n"], (first["n"] + 1) // 2
+        brackets[search.name] = first["ends"]
     while open_ := [s for s in searches if s.median is None and s.size > max_sorted]:
-        brackets = _one_row(df, [s.bracket() for s in open_])
-        counts = _one_row(df, [s.counts(*b) for s, b in zip(open_, brackets)])
-        for search, ends, found in zip(open_, brackets, counts):
-            search.narrow(*ends, found)
+        unbracketed = [s for s in open_ if s.name not in brackets]
+        ends = _one_row(df, [s.bracket() for s in unbracketed])
+        brackets.update({s.name: e for s, e in zip(unbracketed, ends)})
+        counts = _one_row(df, [s.counts(*brackets[s.name]) for s in open_])
+        for search, sizes in zip(open_, counts):
+            search.narrow(*brackets.pop(search.name), sizes)
     small = [s for s in searches if s.median is None and s.size]
     middles = _one_row(
         df, [F.sort_array(F.collect_list(s.inside()))[s.rank - 1] for s in small]

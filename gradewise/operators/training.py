@@ -108,14 +108,17 @@ def classifier_of(model: Model) -> Model:
 def score(model: Model, df: DataFrame, keep: Iterable[str], label: str = LABEL) -> DataFrame:
     """Prediction and class-1 scores beside the carried columns; every row is kept.
 
-    ``raw_score`` comes from ``rawPrediction`` and ``score`` from ``probability``.
+    ``raw_score`` comes from ``rawPrediction`` and ``score`` from ``probability``, or
+    from ``rawPrediction`` too when the classifier gives no probability.
     """
     carried = dict.fromkeys([*keep, label])
-    return model.transform(df).select(
+    predicted = model.transform(df)
+    probability = "probability" if "probability" in predicted.columns else "rawPrediction"
+    return predicted.select(
         *[column(c) for c in carried],
         F.col("prediction").cast("int").alias("prediction"),
         vector_to_array("rawPrediction")[1].alias("raw_score"),
-        vector_to_array("probability")[1].alias("score"),
+        vector_to_array(probability)[1].alias("score"),
     )
 
 
@@ -150,9 +153,10 @@ class VotingEnsemble:
         scored = self.prepared.transform(df).select(*[column(c) for c in carried], "features")
         votes = [f"vote_{i}" for i in range(len(self.members))]
         for vote, member in zip(votes, self.members):
-            named = member.copy()
-            named.setPredictionCol(vote).setRawPredictionCol("").setProbabilityCol("")
-            scored = named.transform(scored)
+            # An empty name tells the model to leave that output out.
+            names = {"predictionCol": vote, "rawPredictionCol": "", "probabilityCol": ""}
+            params = {member.getParam(p): name for p, name in names.items() if member.hasParam(p)}
+            scored = member.transform(scored, params)
         return scored.select(
             *[column(c) for c in carried],
             *[F.col(v).cast("int").alias(v) for v in votes],

@@ -4,6 +4,16 @@ from gradewise.plans.experiment import (
     Prepared,
     prepare,
     run_experiment,
+    run_experiment_file,
+    write_reports,
 )
 
-__all__ = ["ExperimentConfig", "ExperimentResult", "Prepared", "prepare", "run_experiment"]
+__all__ = [
+    "ExperimentConfig",
+    "ExperimentResult",
+    "Prepared",
+    "prepare",
+    "run_experiment",
+    "run_experiment_file",
+    "write_reports",
+]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradewise.functions import column, grade_label, row_key
@@ -19,6 +19,8 @@ from gradewise.sources import (
     fixed_decimals,
     materialize,
     metric_report,
+    preview,
+    read_delimited,
     write_report,
 )
 from gradewise.sources.reports import BASE, OPTIMISED
@@ -114,14 +116,25 @@ def prepare(source: DataFrame, config: ExperimentConfig) -> Prepared:
 
 @dataclass
 class ExperimentResult:
-    """Fitted models, scored test rows and one small report table per step."""
+    """Fitted models, scored test rows, and one report table per step.
+
+    A report is built when it is asked for, from stored tables.
+    """
 
     prepared: Prepared
     features: list[str]
     models: dict[str, PipelineModel]
     scored: dict[str, DataFrame]
     best_params: dict[str, object]
-    reports: dict[str, DataFrame]
+    reports: dict[str, Callable[[], DataFrame]]
+
+    def report(self, name: str) -> DataFrame:
+        return self.reports[name]()
+
+    def dataset(self) -> DataFrame:
+        """Key, label and scaled features of all labelled rows."""
+        vectors = self.models[BASE].transform(self.prepared.labelled)
+        return vector_columns(vectors, self.features, keep=[self.prepared.key, LABEL])
 
 
 def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentResult:
@@ -150,47 +163,49 @@ def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentRes
     tuned_metrics, tuned_scored = evaluation.evaluate(tuned.model, test, carried)
     compared = comparison.compare_models(train, test, features, carried, prepared=stages)
 
-    curves = {**{BASE: base_scored, OPTIMISED: tuned_scored}, **compared.scored}
+    scored = {BASE: base_scored, OPTIMISED: tuned_scored, **compared.scored}
+    models = {BASE: base, OPTIMISED: tuned.model, **compared.models}
     shown = [c for c in config.shown_features if c in features]
-    reports = {
-        "null_profile": cleaning.null_profile(train, prepared.candidates),
-        "cleaning_summary": cleaning.clean_summary(prepared.table, features, prepared.text),
-        "label_stats": labeling.label_stats(prepared.table),
-        "label_distribution": labeling.label_distribution(prepared.labelled),
-        "preprocess_status": preprocess_status(stages),
-        "training_info": training.training_info(base, train),
-        "metrics": base_metrics.select(F.lit(BASE).alias("variant"), "*").unionByName(
+    result = ExperimentResult(prepared, features, models, scored, tuned.params, {})
+    result.reports.update(
+        null_profile=lambda: cleaning.null_profile(train, prepared.candidates),
+        cleaning_summary=lambda: cleaning.clean_summary(prepared.table, features, prepared.text),
+        label_stats=lambda: labeling.label_stats(prepared.table),
+        label_distribution=lambda: labeling.label_distribution(prepared.labelled),
+        preprocess_status=lambda: preprocess_status(stages),
+        preview=lambda: preview(result.dataset(), order_by=key),
+        training_info=lambda: training.training_info(base, train),
+        metrics=lambda: base_metrics.select(F.lit(BASE).alias("variant"), "*").unionByName(
             tuned_metrics.select(F.lit(OPTIMISED).alias("variant"), "*")
         ),
-        "tuning": tuned.report,
-        "importance": evaluation.importance_rank(tuned.model, features, train),
-        "base_vs_optimised": comparison.compare_confusions(base_metrics, tuned_metrics),
-        "misclassified": evaluation.misclassified(tuned_scored, key, shown, config.wrong_limit),
-        "comparison": compared.report,
-        "roc": evaluation.roc_curves(curves),
-        "roc_areas": evaluation.roc_areas(curves),
-    }
-    result = ExperimentResult(
-        prepared,
-        features,
-        {BASE: base, OPTIMISED: tuned.model, **compared.models},
-        curves,
-        tuned.params,
-        reports,
+        tuning=lambda: tuned.report,
+        importance=lambda: evaluation.importance_rank(tuned.model, features, train),
+        base_vs_optimised=lambda: comparison.compare_confusions(base_metrics, tuned_metrics),
+        misclassified=lambda: evaluation.misclassified(tuned_scored, key, shown, config.wrong_limit),
+        comparison=lambda: compared.report,
+        roc=lambda: evaluation.roc_curves(scored),
+        roc_areas=lambda: evaluation.roc_areas(scored),
     )
     if config.output is not None:
-        _write(result, stages, config.output.rstrip("/"))
+        write_reports(result, config.output.rstrip("/"))
     return result
 
 
-def _write(result: ExperimentResult, stages: PipelineModel, path: str) -> None:
+def run_experiment_file(
+    spark: SparkSession, path: str, config: ExperimentConfig | None = None
+) -> ExperimentResult:
+    """The experiment on a tab-separated file.
+
+    Cells are cast one by one later, so they are read as text, without an inference pass.
+    """
+    return run_experiment(read_delimited(spark, path, infer=False), config or ExperimentConfig())
+
+
+def write_reports(result: ExperimentResult, path: str) -> None:
     """The scaled dataset and the reports, each in a folder of its own under ``path``."""
-    vectors = stages.transform(result.prepared.labelled)
-    dataset = vector_columns(vectors, result.features, keep=[result.prepared.key, LABEL])
-    export_readable(dataset, f"{path}/dataset")
-    reports = result.reports
-    compared = reports["comparison"].select("model", "accuracy", "auc")
-    write_report(metric_report(reports["metrics"]), f"{path}/metrics")
+    export_readable(result.dataset(), f"{path}/dataset")
+    compared = result.report("comparison").select("model", "accuracy", "auc")
+    write_report(metric_report(result.report("metrics")), f"{path}/metrics")
     write_report(fixed_decimals(compared), f"{path}/comparison")
-    write_report(fixed_decimals(reports["importance"]), f"{path}/importance")
-    write_report(reports["base_vs_optimised"], f"{path}/base_vs_optimised")
+    write_report(fixed_decimals(result.report("importance")), f"{path}/importance")
+    write_report(result.report("base_vs_optimised"), f"{path}/base_vs_optimised")

@@ -28,10 +28,13 @@ def read_delimited(
     schema: StructType | str | None = None,
     sep: str = "\t",
     multi_line: bool | None = None,
+    infer: bool = True,
     **options,
 ) -> DataFrame:
     """Headered delimited files as a DataFrame; types are inferred when no schema is given.
 
+    Inference reads the files once more. With ``infer=False`` all columns are text.
+
     Quoted cells may span lines. Spark reads such a file in one task, so with
     ``multi_line=None`` files above one split are first checked in parallel for a
     cell that really spans lines, and are read in splits when there is none. Both
@@ -40,7 +43,7 @@ def read_delimited(
     if multi_line is None:
         multi_line = not _has_large_files(spark, path) or has_spanning_cells(spark, path, sep)
     reader = spark.read.options(header=True, sep=sep, multiLine=multi_line, **options)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
+    reader = reader.option("inferSchema", infer) if schema is None else reader.schema(schema)
     return reader.csv(path)
 
 
