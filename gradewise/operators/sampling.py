@@ -18,7 +18,7 @@ from gradewise.operators.labeling import LABEL
 
 TRAIN_RATIO = 0.8
 SEED = 42
-# Rows that one task may sort when it looks for a subset's cut-off.
+# About how many rows may share the hash prefix that one task ranks.
 ROWS_PER_SORT = 1_000_000
 
 
@@ -59,8 +59,9 @@ def subset_conditions(
     """Row conditions of class-balanced subsets, each class cut to the smallest one's size.
 
     A subset takes, of each larger class, the rows with the smallest salted key hashes.
-    The cut-off hash is found by counting hash prefixes and sorting only the rows of the
-    prefix that holds the cut, so no task sorts a class. ``key`` must be unique.
+    The cut-off hash is found by counting hash prefixes, then the hashes under the prefix
+    that holds the cut, so no task sorts a class. Copies of one key stay together; with
+    unique keys the classes come out exactly equal.
     """
     sizes = {
         r[label]: r["n"]
@@ -121,6 +122,10 @@ def _cutoff_hashes(df, key, label, larger, subsets, seed, target, largest, rows_
             for c in cuts
         ],
     )
+    at_hash = (
+        hashed.filter(at_cut).groupBy(label, "subset", "hash").agg(F.count(F.lit(1)).alias("n"))
+    )
+    ranked = at_hash.withColumn("upto", F.sum("n").over(within.orderBy("hash")))
     wanted = F.coalesce(
         *[
             F.when(
@@ -130,6 +135,5 @@ def _cutoff_hashes(df, key, label, larger, subsets, seed, target, largest, rows_
             for c in cuts
         ]
     )
-    rank = F.row_number().over(within.orderBy("hash"))
-    found = hashed.filter(at_cut).withColumn("rank", rank).filter(F.col("rank") == wanted)
+    found = ranked.filter((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted))
     return {(r[label], r["subset"]): r["hash"] for r in found.collect()}

@@ -19,6 +19,21 @@ FULL_TIMESTAMPS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
 }
 
+# Options that change what a cell or a line is; files read with them are not checked.
+QUOTING_OPTIONS = frozenset(
+    {
+        "quote",
+        "escape",
+        "chartoescapequoteescaping",
+        "comment",
+        "encoding",
+        "charset",
+        "ignoreleadingwhitespace",
+        "linesep",
+        "unescapedquotehandling",
+    }
+)
+
 UNSPLITTABLE = r"\.(gz|deflate|snappy|zst|lz4)$"
 
 
@@ -41,7 +56,10 @@ def read_delimited(
     ways give the same rows.
     """
     if multi_line is None:
-        multi_line = not _has_large_files(spark, path) or has_spanning_cells(spark, path, sep)
+        unusual = len(sep) > 1 or any(o.lower() in QUOTING_OPTIONS for o in options)
+        multi_line = (
+            unusual or not _has_large_files(spark, path) or has_spanning_cells(spark, path, sep)
+        )
     reader = spark.read.options(header=True, sep=sep, multiLine=multi_line, **options)
     reader = reader.option("inferSchema", infer) if schema is None else reader.schema(schema)
     return reader.csv(path)
@@ -50,7 +68,7 @@ def read_delimited(
 def _has_large_files(spark: SparkSession, path: str) -> bool:
     """Is there a file that splitting would spread over several tasks? Lists, reads nothing."""
     limit = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
-    units = {"k": 2**10, "m": 2**20, "g": 2**30}
+    units = {"k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
     limit_bytes = int(limit[:-1]) * units[limit[-1]] if limit[-1] in units else int(limit)
     files = spark.read.format("binaryFile").load(path).select("path", "length")
     large = (F.col("length") > limit_bytes) & ~F.col("path").rlike(UNSPLITTABLE)

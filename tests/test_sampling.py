@@ -73,3 +73,17 @@ def test_subset_conditions_are_plain_filters(spark):
     condition = subset_conditions(df, "k", subsets=1)[0]
     plan = df.filter(condition)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_copies_of_a_key_stay_together(spark):
+    """A third of the larger class is one key; it counts whole wherever its hash falls."""
+    keys = [0] * 300 + list(range(1, 601))
+    df = spark.createDataFrame([(k, 1) for k in keys] + [(10_000 + k, 0) for k in range(400)], "k int, label int")
+    for subset, condition in enumerate(subset_conditions(df, "k", subsets=4, rows_per_sort=20)):
+        kept = sorted(r["k"] for r in df.filter(condition & (F.col("label") == 1)).collect())
+        order = sorted(set(keys), key=lambda k: hashlib.md5(f"subset:42:{subset}:{k}".encode()).hexdigest())
+        expected = []
+        while len(expected) < 400:
+            key = order.pop(0)
+            expected += [key] * keys.count(key)
+        assert kept == sorted(expected)

@@ -53,6 +53,14 @@ def test_large_files_are_split_only_when_clean(spark, tmp_path, with_conf, spann
     assert df.select("t").distinct().first()[0] == cell.strip('"')
 
 
+def test_other_quotes_and_long_separators_are_read_whole(spark, tmp_path, with_conf):
+    with_conf(spark__sql__files__maxPartitionBytes="1k", spark__sql__files__openCostInBytes="0")
+    path = _file(tmp_path, "k\tt\n" + "".join(f"{i}\t'two\nlines'\n" for i in range(500)))
+    assert read_delimited(spark, path, quote="'").count() == 500
+    path = _file(tmp_path, "k||t\n" + "".join(f'{i}||"two\nlines"\n' for i in range(500)))
+    assert read_delimited(spark, path, sep="||").count() == 500
+
+
 def test_many_escapes_do_not_break_the_check(spark, tmp_path):
     path = _file(tmp_path, 'k\tt\n1\t"' + '\\"' * 20000 + '"\n')
     assert has_spanning_cells(spark, path)
