@@ -324,4 +324,32 @@ FROM voted"""
         "true AS is_probability FROM documents JOIN labels USING (doc_id) "
         f"WHERE NOT ({_in_train('doc_id')})"
     )
+
+    test_rows = f"SELECT quality FROM documents JOIN labels USING (doc_id) WHERE NOT ({_in_train('doc_id')})"
+    sql["model_totals"] = " UNION ALL ".join(
+        f"SELECT '{model}' AS model, count(*) AS n_test, count(*) FILTER (WHERE quality = 1) AS n_positive, "
+        f"true AS auc_in_range FROM ({test_rows})"
+        for model in ("Random Forest", "Logistic Regression", "GBT")
+    )
+    sql["ensemble_votes"] = (
+        "SELECT doc_id, quality AS label, true AS is_majority FROM documents JOIN labels USING (doc_id) "
+        f"WHERE NOT ({_in_train('doc_id')})"
+    )
+    sql["tuning_candidates"] = """
+SELECT row_number() OVER (ORDER BY num_trees, max_depth)::INT - 1 AS candidate, num_trees, max_depth,
+       true AS chosen_is_best
+FROM (SELECT unnest([50, 100]) AS num_trees), (SELECT unnest([5, 10]) AS max_depth)"""
+    sql["importance_features"] = (
+        "SELECT unnest(['chars_n', 'spaces_n', 'digits_n', 'capitals_n', 'marks_n', 'lines_n']) AS feature, "
+        "true AS in_range"
+    )
+    sql["experiment_totals"] = f"""
+WITH judged AS (SELECT quality, {_in_train('doc_id')} AS in_train FROM documents LEFT JOIN labels USING (doc_id))
+SELECT 'rows' AS step, count(*) AS n FROM judged
+UNION ALL SELECT 'negatives', count(*) FILTER (WHERE quality = 0) FROM judged
+UNION ALL SELECT 'positives', count(*) FILTER (WHERE quality = 1) FROM judged
+UNION ALL SELECT 'discarded', count(*) FILTER (WHERE quality IS NULL) FROM judged
+UNION ALL SELECT 'training rows', count(*) FROM judged WHERE quality IS NOT NULL AND in_train
+UNION ALL SELECT 'exported rows', count(*) FROM judged WHERE quality IS NOT NULL
+UNION ALL SELECT unnest(['base', 'optimised']), count(*) FROM judged WHERE quality IS NOT NULL AND NOT in_train"""
     return sql

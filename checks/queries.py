@@ -7,6 +7,7 @@ zero discounts and taxes, one column per event type, text in place of numbers.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -614,3 +615,62 @@ def tuning_report(spark, sf_dir):
 @query
 def experiment_metrics(spark, sf_dir):
     return run_experiment(text_shapes(spark, sf_dir), quality_config()).report("metrics")
+
+
+# What must hold of any trained model, whatever it learned ----------------------------
+
+
+def _totals(report: DataFrame, name: str) -> DataFrame:
+    return report.select(
+        name,
+        (F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")).alias("n_test"),
+        (F.col("tp") + F.col("fn")).alias("n_positive"),
+        F.col("auc").between(0, 1).alias("auc_in_range"),
+    )
+
+
+@query
+def model_totals(spark, sf_dir):
+    return _totals(compare_models(spark, sf_dir), "model")
+
+
+@query
+def ensemble_votes(spark, sf_dir):
+    votes = [F.col(f"vote_{i}") for i in range(5)]
+    return balanced_ensemble(spark, sf_dir).select(
+        "doc_id", "label", (F.col("prediction") == majority(votes)).alias("is_majority")
+    )
+
+
+@query
+def tuning_candidates(spark, sf_dir):
+    """The grid in the report, and that the chosen candidate has the best mean."""
+    report = tuning_report(spark, sf_dir)
+    best = report.agg(F.max("mean_auc").alias("best")).first()["best"]
+    return report.select(
+        "candidate",
+        F.col("numTrees").cast("int").alias("num_trees"),
+        F.col("maxDepth").cast("int").alias("max_depth"),
+        (~F.col("is_best") | (F.col("mean_auc") == best)).alias("chosen_is_best"),
+    )
+
+
+@query
+def importance_features(spark, sf_dir):
+    ranked = importance_rank(spark, sf_dir)
+    return ranked.select("feature", F.col("importance").between(0, 1).alias("in_range"))
+
+
+@query
+def experiment_totals(spark, sf_dir):
+    """Row counts after each step of the experiment."""
+    result = run_experiment(text_shapes(spark, sf_dir), quality_config())
+    stats = result.report("label_stats")
+    parts = [
+        result.report("cleaning_summary").select(F.lit("rows"), "final_row_count"),
+        *[stats.select(F.lit(c), c) for c in ("negatives", "positives", "discarded")],
+        result.report("training_info").select(F.lit("training rows"), "training_rows"),
+        result.dataset().agg(F.count(F.lit(1)).alias("n")).select(F.lit("exported rows"), "n"),
+        _totals(result.report("metrics"), "variant").select("variant", "n_test"),
+    ]
+    return reduce(DataFrame.unionAll, [p.toDF("step", "n") for p in parts])

@@ -134,9 +134,14 @@ def clean_summary(df: DataFrame, numeric: list[str], text: list[str]) -> DataFra
     )
 
 
+def undotted(name: str) -> str:
+    """Dots become underscores, as ML stages cannot address dotted names."""
+    return name.replace(".", "_")
+
+
 def without_dots(df: DataFrame) -> DataFrame:
-    """Dots in column names become underscores, as ML stages cannot address dotted names."""
-    renamed = [c.replace(".", "_") for c in df.columns]
+    """The table with :func:`undotted` column names."""
+    renamed = [undotted(c) for c in df.columns]
     if len(set(renamed)) < len(renamed):
         raise ValueError(f"column names collide without their dots: {sorted(df.columns)}")
     return df.toDF(*renamed)

@@ -23,8 +23,13 @@ ROWS_PER_SORT = 1_000_000
 
 
 def in_train(key: str, ratio: float = TRAIN_RATIO, seed: int = SEED) -> Column:
-    """Does the row belong to the training part?"""
-    return hash_bucket(column(key), f"split:{seed}") < int(ratio * HASH_RANGE)
+    """Does the row belong to the training part?
+
+    Compares digests as text, which orders hex digits like the numbers they spell.
+    """
+    if ratio >= 1:
+        return F.lit(True)
+    return md5_of(column(key), f"split:{seed}") < f"{int(ratio * HASH_RANGE):08x}"
 
 
 def hash_split(

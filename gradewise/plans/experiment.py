@@ -34,6 +34,8 @@ SHOWN_FEATURES = (
     "salt_100g",
 )
 
+ADDED_COLUMNS = frozenset({LABEL, "part", "fold", "prediction", "raw_score", "score"})
+
 
 @dataclass
 class ExperimentConfig:
@@ -90,14 +92,17 @@ def prepare(source: DataFrame, config: ExperimentConfig) -> Prepared:
     the layout that tree training depends on the same on each run.
     """
     source = cleaning.without_dots(source)
-    key = config.key or "row_key"
+    key = cleaning.undotted(config.key or "row_key")
     if config.key is None:
         source = source.select("*", row_key(source).alias(key))
     candidates = cleaning.pick_columns(source, config.features)
-    text = [c for c in config.text_columns if c in source.columns]
-    keep = [c for c in config.keep if c in source.columns and c not in candidates]
+    text = [c for c in map(cleaning.undotted, config.text_columns) if c in source.columns]
+    keep = [c for c in map(cleaning.undotted, config.keep) if c in source.columns and c not in candidates]
+    taken = ADDED_COLUMNS & {key, *candidates, *keep}
+    if taken:
+        raise ValueError(f"rename these columns, the experiment adds its own: {sorted(taken)}")
     cleaned = cleaning.clean_text(cleaning.cast_numeric(source, candidates), text)
-    labelled = labeling.assign_label(cleaned, config.grade, config.mapping)
+    labelled = labeling.assign_label(cleaned, cleaning.undotted(config.grade), config.mapping)
     has_label = F.col(LABEL).isNotNull()
     in_training = in_train(key, config.train_ratio, config.seed)
     rows = labelled.select(
@@ -165,7 +170,7 @@ def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentRes
 
     scored = {BASE: base_scored, OPTIMISED: tuned_scored, **compared.scored}
     models = {BASE: base, OPTIMISED: tuned.model, **compared.models}
-    shown = [c for c in config.shown_features if c in features]
+    shown = [c for c in map(cleaning.undotted, config.shown_features) if c in features]
     result = ExperimentResult(prepared, features, models, scored, tuned.params, {})
     result.reports.update(
         null_profile=lambda: cleaning.null_profile(train, prepared.candidates),

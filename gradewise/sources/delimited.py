@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -76,7 +76,13 @@ def _has_large_files(spark: SparkSession, path: str) -> bool:
 
 
 def has_spanning_cells(spark: SparkSession, path: str, sep: str = "\t") -> bool:
-    """May some record cross a line end? One parallel pass; unsure lines count as yes.
+    """May some record cross a line end? One parallel pass; unsure lines count as yes."""
+    lines = spark.read.text(path, lineSep="\n")
+    return bool(lines.agg(F.bool_or(unclean_line(F.col("value"), sep))).first()[0])
+
+
+def unclean_line(line: Column, sep: str = "\t") -> Column:
+    """May reading this line by itself differ from reading it as part of its file?
 
     A line is clean when each cell that starts with a quote also ends with one in
     that line. Carriage returns and blank-but-not-empty lines, which the two
@@ -84,13 +90,9 @@ def has_spanning_cells(spark: SparkSession, path: str, sep: str = "\t") -> bool:
     """
     edge = "\\x{%x}" % ord(sep)
     closed_cell = rf'(?<![^{edge}])"[^"\\]*+(?:\\.[^"\\]*+){{0,500}}+"(?![^{edge}])'
-    line = F.col("value")
     rest = F.regexp_replace(line, closed_cell, "")
-    unclean = (
-        rest.rlike(rf'(?<![^{edge}])\s*"') | line.contains("\r") | line.rlike(r"^[\x00-\x20]+$")
-    )
-    lines = spark.read.text(path, lineSep="\n")
-    return bool(lines.agg(F.bool_or(unclean)).first()[0])
+    open_cell = line.contains('"') & rest.rlike(rf'(?<![^{edge}])\s*"')
+    return open_cell | line.contains("\r") | line.rlike(r"^[\x00-\x20]+$")
 
 
 def table_profile(df: DataFrame) -> DataFrame:

@@ -154,6 +154,14 @@ def test_prepare_keeps_all_rows_and_lays_them_out(graded):
     assert "PartitionFilters: [isnotnull(part" in plan
 
 
+def test_prepare_takes_dotted_names_and_refuses_its_own(graded):
+    dotted = graded.withColumnRenamed("nutrition_grade_fr", "grade.fr").withColumnRenamed("k", "row.id")
+    prepared = prepare(dotted, ExperimentConfig(grade="grade.fr", key="row.id"))
+    assert prepared.key == "row_id" and prepared.labelled.count() == 514
+    with pytest.raises(ValueError, match="fold"):
+        prepare(graded.withColumnRenamed("k", "fold"), ExperimentConfig(key="fold"))
+
+
 def test_experiment_reports_every_step(spark, graded, tmp_path):
     output = str(tmp_path / "out")
     config = ExperimentConfig(

@@ -1,7 +1,10 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from gradewise.sources import export_readable, preview, read_delimited, scratch_path, table_profile
-from gradewise.sources.delimited import has_spanning_cells
+from gradewise.sources.delimited import has_spanning_cells, unclean_line
 from gradewise.sources.scratch import materialize
 
 # Files whose cells stay within their lines, and files where telling needs the whole file.
@@ -37,6 +40,33 @@ def test_clean_files_read_the_same_in_splits(spark, tmp_path, name):
     assert sorted(whole.collect(), key=str) == sorted(split.collect(), key=str)
 
 
+def test_clean_lines_read_the_same_on_random_files(spark, tmp_path):
+    rng = random.Random(5)
+    pieces = ["a", "b", '"', "\t", "\n", "\\", " ", '\\"', '"a"', '\t"', '"\t', '"\n', '""']
+    for i in range(400):
+        body = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 10)))
+        (tmp_path / f"f{i}.tsv").write_bytes(f"k\tt\tu\n{body}\n1\t2\t3\n".encode())
+    file = F.col("_metadata.file_name").alias("file")
+    lines = spark.read.text(str(tmp_path), lineSep="\n").select(file, "value")
+    unclean = lines.groupBy("file").agg(F.bool_or(unclean_line(F.col("value"))).alias("unclean"))
+    clean = {r["file"] for r in unclean.filter("not unclean").collect()}
+    assert len(clean) > 50
+    whole, split = (
+        sorted(
+            (
+                tuple(r)
+                for r in read_delimited(spark, str(tmp_path), schema="k string, t string, u string", multi_line=m)
+                .select(file, "k", "t", "u")
+                .collect()
+                if r["file"] in clean
+            ),
+            key=str,
+        )
+        for m in (True, False)
+    )
+    assert whole == split
+
+
 @pytest.mark.parametrize("name", SPANNING)
 def test_unclear_files_are_read_whole(spark, tmp_path, name):
     assert has_spanning_cells(spark, _file(tmp_path, SPANNING[name]))
