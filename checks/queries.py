@@ -143,14 +143,18 @@ def text_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     The counts are taken before the join, so no text is shuffled.
     """
     text = F.col("text")
+
+    def left_after_deleting(pattern: str):
+        return F.length(F.regexp_replace(text, pattern, ""))
+
     docs = table(spark, sf_dir, "documents").select(
         "doc_id",
         F.length(text).alias("chars_n"),
-        F.regexp_count(text, F.lit(r"\s")).alias("spaces_n"),
-        F.regexp_count(text, F.lit("[0-9]")).alias("digits_n"),
-        F.regexp_count(text, F.lit("[A-Z]")).alias("capitals_n"),
-        F.regexp_count(text, F.lit(r"[^\w\s]")).alias("marks_n"),
-        F.regexp_count(text, F.lit(r"\n")).alias("lines_n"),
+        left_after_deleting(r"\S+").alias("spaces_n"),
+        left_after_deleting("[^0-9]+").alias("digits_n"),
+        left_after_deleting("[^A-Z]+").alias("capitals_n"),
+        left_after_deleting(r"[\w\s]+").alias("marks_n"),
+        left_after_deleting(r"[^\n]+").alias("lines_n"),
         F.col("lang").alias("empty_n"),
     )
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")

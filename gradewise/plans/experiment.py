@@ -87,7 +87,7 @@ def prepare(source: DataFrame, config: ExperimentConfig) -> Prepared:
     """Cast, clean, label and split in one pass over the source, and store the result.
 
     Later steps read columns and directories of that table, never the source. Rows
-    without a label are kept for the label counts only, so their features are left out.
+    without a label are kept for the label counts only, so their other cells are left out.
     Rebalancing on the key gives even files, splits a hot key, and with the sort makes
     the layout that tree training depends on the same on each run.
     """
@@ -106,16 +106,18 @@ def prepare(source: DataFrame, config: ExperimentConfig) -> Prepared:
     has_label = F.col(LABEL).isNotNull()
     in_training = in_train(key, config.train_ratio, config.seed)
     rows = labelled.select(
-        column(key),
+        *[F.when(has_label, column(c)).alias(c) for c in dict.fromkeys([key, *candidates, *keep])],
         LABEL,
-        *[F.when(has_label, column(c)).alias(c) for c in [*candidates, *keep] if c != key],
         F.when(~has_label, "unlabelled").when(in_training, "train").otherwise("test").alias("part"),
         F.when(has_label & in_training, fold_of(key, config.folds, config.seed))
         .otherwise(-1)
         .alias("fold"),
+        F.xxhash64(column(key)).alias("spread"),
+    )
+    laid_out = rows.hint("rebalance", F.col("spread")).drop("spread")
+    table = materialize(
+        laid_out.sortWithinPartitions("part", "fold", column(key)), "prepared", ("part", "fold")
     )
-    laid_out = rows.hint("rebalance", column(key)).sortWithinPartitions("part", "fold", column(key))
-    table = materialize(laid_out, "prepared", ("part", "fold"))
     return Prepared(table, key, candidates, text, keep)
 
 
