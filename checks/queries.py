@@ -168,6 +168,7 @@ def quality_config(**options) -> ExperimentConfig:
         features=cleaning.by_suffix("_n"),
         key="doc_id",
         shown_features=("chars_n", "digits_n"),
+        parallelism=4,
         **options,
     )
 
@@ -612,7 +613,7 @@ def tuning_report(spark, sf_dir):
     prepared, names = prepared_documents(spark, sf_dir)
     forest = training.plain_forest()
     return tuning.cross_validate(
-        prepared.train, names, forest, tuning.forest_grid(forest), fold="fold"
+        prepared.train, names, forest, tuning.forest_grid(forest), fold="fold", parallelism=4
     ).report
 
 

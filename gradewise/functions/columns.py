@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 # What counts as text, which grades make which class.
 TEXT_TO_DELETE = "[^a-zA-Z0-9 ]"
@@ -55,8 +56,17 @@ def hash_bucket(key: Column, salt: str) -> Column:
 
 
 def row_key(df: DataFrame) -> Column:
-    """Key from the row's own content, for tables without one. Equal rows share it."""
-    return F.md5(F.to_json(F.struct(*[column(c) for c in df.columns]), {"ignoreNullFields": "false"}))
+    """128-bit key from the row's own content, for tables without one. Equal rows share it.
+
+    Hashing skips null cells, so the places of the nulls are hashed too.
+    """
+    cells = [
+        column(f.name) if isinstance(f.dataType, AtomicType) else F.to_json(column(f.name))
+        for f in df.schema.fields
+    ]
+    content = [*cells, *[c.isNull() for c in cells]]
+    halves = [F.xxhash64(F.lit(half), *content) for half in (0, 1)]
+    return F.concat(*[F.lpad(F.hex(h), 16, "0") for h in halves])
 
 
 def majority(votes: list[Column]) -> Column:

@@ -88,8 +88,8 @@ def prepare(source: DataFrame, config: ExperimentConfig) -> Prepared:
 
     Later steps read columns and directories of that table, never the source. Rows
     without a label are kept for the label counts only, so their other cells are left out.
-    Rebalancing on the key gives even files, splits a hot key, and with the sort makes
-    the layout that tree training depends on the same on each run.
+    Rebalancing on a hash of the key gives even files, splits a hot key, and with the sort
+    makes the layout that tree training depends on the same on each run.
     """
     source = cleaning.without_dots(source)
     key = cleaning.undotted(config.key or "row_key")
@@ -114,10 +114,8 @@ def prepare(source: DataFrame, config: ExperimentConfig) -> Prepared:
         .alias("fold"),
         F.xxhash64(column(key)).alias("spread"),
     )
-    laid_out = rows.hint("rebalance", F.col("spread")).drop("spread")
-    table = materialize(
-        laid_out.sortWithinPartitions("part", "fold", column(key)), "prepared", ("part", "fold")
-    )
+    even = rows.hint("rebalance", F.col("spread")).sortWithinPartitions("part", "fold", "spread")
+    table = materialize(even.drop("spread"), "prepared", ("part", "fold"))
     return Prepared(table, key, candidates, text, keep)
 
 

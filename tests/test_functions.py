@@ -40,6 +40,19 @@ def test_row_key_depends_on_all_cells_and_on_their_places(spark):
     assert first == third and len({first, second, fourth}) == 3
 
 
+def test_row_key_takes_nested_columns(spark):
+    df = spark.sql("select map('a', 1) m, array(struct(1 x)) s, null n union all select map('a', 2), array(), null")
+    keys = [r[0] for r in df.select(row_key(df)).collect()]
+    assert len(set(keys)) == 2 and all(len(k) == 32 for k in keys)
+
+
+def test_row_keys_do_not_collide(spark):
+    df = spark.range(200_000).selectExpr("id", "id % 7 as a", "cast(id % 3 as string) as b")
+    assert df.select(row_key(df).alias("k")).distinct().count() == 200_000
+    same = df.select("a", "b")
+    assert same.select(row_key(same).alias("k")).distinct().count() == 21
+
+
 def test_majority_needs_more_than_half(spark):
     df = spark.createDataFrame([(1, 1, 0, 0), (1, 1, 1, 0), (0, 0, 1, 0)], ["a", "b", "c", "d"])
     four = df.select(majority([F.col(c) for c in "abcd"])).collect()
