@@ -185,7 +185,12 @@ def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentRes
         ),
         tuning=lambda: tuned.report,
         importance=lambda: evaluation.importance_rank(tuned.model, features, train),
-        base_vs_optimised=lambda: comparison.compare_confusions(base_metrics, tuned_metrics),
+        top_features=lambda: evaluation.importance_rank(
+            tuned.model, features, train, evaluation.TOP_FEATURES
+        ),
+        base_vs_optimised=lambda: comparison.compare_confusions(
+            evaluation.confusion(base_scored), evaluation.confusion(tuned_scored)
+        ),
         misclassified=lambda: evaluation.misclassified(tuned_scored, key, shown, config.wrong_limit),
         comparison=lambda: compared.report,
         roc=lambda: evaluation.roc_curves(scored),
