@@ -2,7 +2,6 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import functions as F
 
 from gradewise.operators.comparison import compare_confusions
 from gradewise.operators.evaluation import (
