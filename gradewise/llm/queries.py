@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from gradewise.llm.decontamination import find_leaks
 from gradewise.llm.exact_dedup import exact_groups
 from gradewise.llm.line_dedup import drop_shared_lines
+from gradewise.llm.quality import held_out, score_documents
 from gradewise.llm.sharding import hex_hash, shard_documents, text_bytes
 from gradewise.llm.simhash import near_copies
+from gradewise.llm.substring_dedup import drop_repeated_passages
 from gradewise.llm.text import LOWER, UPPER
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,3 +149,25 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_copies(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# Repeated passages -------------------------------------------------------------------
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_passages(table(spark, sf_dir, "documents"))
+
+
+# Quality -----------------------------------------------------------------------------
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
