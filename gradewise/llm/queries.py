@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from gradewise.llm.decontamination import find_leaks
 from gradewise.llm.exact_dedup import exact_groups
+from gradewise.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, scan_licenses
 from gradewise.llm.line_dedup import drop_shared_lines
+from gradewise.llm.mixing import mix_sources
 from gradewise.llm.quality import held_out, score_documents
 from gradewise.llm.sharding import hex_hash, shard_documents, text_bytes
 from gradewise.llm.simhash import near_copies
@@ -171,3 +173,62 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+# Mixing ------------------------------------------------------------------------------
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mix_sources(table(spark, sf_dir, "documents"))
+    return mix.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+# Licenses ----------------------------------------------------------------------------
+
+
+@query
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min("places").cast("long").alias("first_word"),
+        F.array_max("places").cast("long").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def sql_pairs(pairs: dict[str, str]) -> str:
+    return ", ".join(f"('{a}', '{b}')" for a, b in pairs.items())
+
+
+ORACLE["op2_licenses"] = f"""
+WITH d AS (SELECT doc_id, {sql_words("text")} AS w FROM documents),
+     phrases(phrase, label) AS (VALUES {sql_pairs(PHRASES)}),
+     templates(label, wording) AS (VALUES {sql_pairs(TEMPLATES)}),
+     places AS (
+       SELECT doc_id, i - 1 AS place, label
+       FROM d, phrases, unnest(generate_series(1, len(w))) AS p(i)
+       WHERE array_to_string(w[i : i + len(string_split(phrase, ' ')) - 1], ' ') = phrase),
+     base AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+                     list(DISTINCT label) AS labels
+              FROM places GROUP BY doc_id),
+     blocks AS (
+       SELECT doc_id, list_distinct(w[b * {STEP} + 1 : b * {STEP} + {BLOCK}]) AS own
+       FROM d, unnest(generate_series(0, greatest(0, ceil((len(w) - {BLOCK}) / {STEP}.0)::BIGINT))) AS p(b)),
+     shares AS (
+       SELECT doc_id, label, len(list_intersect(own, list_distinct(string_split(wording, ' '))))
+              / len(list_distinct(string_split(wording, ' '))) AS share
+       FROM blocks, templates),
+     found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share
+               FROM shares WHERE share >= 0.8 - 1e-9 GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(
+         coalesce(base.labels, []::VARCHAR[]) || coalesce(found.labels, []::VARCHAR[]))), ','), '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(found.share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)"""
