@@ -22,6 +22,7 @@ from pyspark.sql.functions import arrow_udf
 
 from gradewise.functions import column
 from gradewise.llm.text import SPACES, utf8
+from gradewise.sources.scratch import materialize
 
 GEAR = np.random.default_rng(20240613).integers(0, 1 << 32, 256, dtype=np.uint32)
 #: Doubling steps; the hash covers 2 ** STEPS bytes.
@@ -159,10 +160,12 @@ def drop_repeated_passages(
         column(text).alias("text"),
         F.xxhash64(F.coalesce(column(text), F.lit(""))).alias("t"),
     )
+    # Written, so that both sides of the join are dealt out for it and a hot digest can be split.
+    repeated = materialize(repeated_chunks(docs, text, key), "repeated-chunks")
     gone = (
         rows.select("id", "t", F.explode(chunks(F.col("text"))).alias("c"))
         .select("id", "t", "c.place", "c.h0", "c.h1")
-        .join(repeated_chunks(docs, text, key), ["h0", "h1"])
+        .join(repeated, ["h0", "h1"])
         .filter(~F.col("id").eqNullSafe(F.col("owner")))
         .groupBy(F.col("id").alias("gid"), F.col("t").alias("gt"))
         .agg(F.collect_set("place").alias("places"))
