@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gradewise.llm.decontamination import find_leaks
 from gradewise.llm.exact_dedup import exact_groups
+from gradewise.llm.html_extraction import extract_main_text
 from gradewise.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, scan_licenses
 from gradewise.llm.line_dedup import drop_shared_lines
 from gradewise.llm.mixing import mix_sources
@@ -232,3 +233,12 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first
          coalesce(base.labels, []::VARCHAR[]) || coalesce(found.labels, []::VARCHAR[]))), ','), '') AS labels,
        CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(found.share, 0.0)::DOUBLE END AS score
 FROM d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
+# Web pages ---------------------------------------------------------------------------
+
+
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_main_text(table(spark, sf_dir, "pages"), into="text")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -130,7 +130,7 @@ def links(fps: DataFrame, crowd: int = 2_000) -> DataFrame:
     left, right = few.select("key", F.col("fp").alias("a")), few.select("key", F.col("fp").alias("b"))
     kind = F.shiftright("key", 40)
     near = (
-        left.join(right, "key")
+        left.join(right.hint("merge"), "key")  # Spark does not see that a row becomes 24
         .filter((F.col("a") < F.col("b")) & within_budgets(F.col("a"), F.col("b"), kind))
         .filter(distance(F.col("a"), F.col("b")) <= MOST_BITS)
         .select("a", "b")
@@ -154,7 +154,7 @@ def _links_by_points(fps: DataFrame) -> DataFrame:
     near = fps.select("fp", F.explode(inner).alias("mask")).select(point, "fp")
     far = fps.select("fp", F.explode(outer).alias("mask")).select(point, "fp")
     anchors = near.groupBy("point").agg(F.min("fp").alias("anchor"))
-    pairs = far.join(anchors, "point").select("anchor", "fp").filter(F.col("anchor") != F.col("fp"))
+    pairs = far.join(anchors.hint("merge"), "point").select("anchor", "fp").filter(F.col("anchor") != F.col("fp"))
     return pairs.select(F.least("anchor", "fp").alias("a"), F.greatest("anchor", "fp").alias("b")).distinct()
 
 
