@@ -17,6 +17,7 @@ Targets and counts are small tables of sources; documents and draws are never co
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,9 @@ from gradewise.sources.scratch import materialize
 # Fixed value: a word is a run of anything but these.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Draws that one row is exploded into.
+#: Draws that one row is exploded into, and about as many times that are one task's.
 DRAWS_PER_ROW = 1 << 14
+ROWS_PER_TASK = 32
 #: Cells a source's stream is numbered in.
 CELLS = 4096
 #: Rounds of the permutation.
@@ -139,7 +141,10 @@ def draws(sources: DataFrame, plan: MixPlan) -> DataFrame:
     runs = counted.filter("draws > 0").select("sid", "n", "draws", F.explode(pieces).alias("piece"))
     first = F.col("piece") * DRAWS_PER_ROW
     ks = F.sequence(first, F.least(first + DRAWS_PER_ROW, F.col("draws")) - 1)
-    spread = runs.repartition("sid", "piece").select("sid", "n", F.explode(ks).alias("k"))
+    # By number, since adaptive execution sees a few short rows and would make one task of them.
+    total = counted.agg(F.sum("draws")).first()[0] or 0
+    tasks = max(1, ceil(total / (DRAWS_PER_ROW * ROWS_PER_TASK)), min(total // 10_000, 8))
+    spread = runs.repartition(tasks, "sid", "piece").select("sid", "n", F.explode(ks).alias("k"))
     return spread.select(
         "sid",
         "k",
@@ -180,7 +185,8 @@ class Mix:
 
     def slots(self) -> DataFrame:
         """The mix: per draw and document piece the shard, draw, epoch, id, first word and words."""
-        return self.drawn.join(pieces(self.documents, self.plan), ["sid", "block"]).select(
+        # Hinted, here and below: by its origin in the few sources Spark takes the draws for small.
+        return self.drawn.join(pieces(self.documents, self.plan).hint("merge"), ["sid", "block"]).select(
             "shard", "sid", "k", "epoch", "block", "id", "t", "start", "first_word", "n_words"
         )
 
@@ -190,7 +196,7 @@ class Mix:
         few = _small(self.sources)
         held = (
             pieces(self.documents, self.plan)
-            .join(times, ["sid", "block"], "left")
+            .join(times.hint("merge"), ["sid", "block"], "left")
             .groupBy("sid", "start", "id", "size")  # a row of words is alone at its start
             .agg(F.sum(F.col("n_words") * F.coalesce("times", F.lit(0))).alias("taken"))
             .join(few, "sid")
@@ -223,7 +229,7 @@ class Mix:
             lambda p: F.array_join(F.slice(words, (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")), ""),
         )
         return placed.join(
-            parts, (F.col("sid") == F.col("part_sid")) & (F.col("start") == F.col("part_start"))
+            parts.hint("merge"), (F.col("sid") == F.col("part_sid")) & (F.col("start") == F.col("part_start"))
         ).select("row", F.when(whole, F.col("row")[text]).otherwise(F.array_join(cut, "")).alias("kept"))
 
 
