@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gradewise.functions import column
 from gradewise.llm.text import SPACES, fold_case, hash_pair
+from gradewise.sources.scratch import materialize
 
 SPACE_CHARS = "".join(SPACES)
 
@@ -53,7 +54,8 @@ def drop_shared_lines(
     against others; among null keys alone a line stays everywhere. A document that loses
     all lines has an empty ``kept_text``. Other columns play no part.
     """
-    shared = shared_lines(docs, text, key, min_chars, min_docs)
+    # Written, so that both sides of the join are dealt out for it and a hot line can be split.
+    shared = materialize(shared_lines(docs, text, key, min_chars, min_docs), "shared-lines")
     t0, t1 = hash_pair(F.coalesce(column(text), F.lit("")))
     rows = docs.select(column(key).alias("id"), _lines(text).alias("lines"), t0.alias("t0"), t1.alias("t1"))
     placed = rows.select("id", "t0", "t1", F.posexplode("lines").alias("place", "line"))
