@@ -65,7 +65,7 @@ TEMPLATES = {
         "mpl was not distributed with this file"
     ),
     "cc-by": "this work is licensed under a creative commons attribution 4 0 international license",
-    "cc-by-nc": "licensed under a creative commons attribution noncommercial 4 0 international license",
+    "cc-by-nc": "noncommercial you may not use the material for commercial purposes",
     "unlicense": "this is free and unencumbered software released into the public domain",
     "all-rights-reserved": "all rights reserved no part of this publication may be reproduced distributed",
 }
