@@ -1,0 +1,89 @@
+import re
+from math import ceil
+
+import pytest
+from helpers import TRICKY, documents
+
+from gradewise.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, prefixes, scan_licenses
+from gradewise.llm.text import LOWER, UPPER
+
+FOLD = str.maketrans(UPPER, LOWER)
+FILLER = " ".join(f"filler{i}" for i in range(200))
+
+LICENSED = [
+    (20, f"{FILLER} Released under the MIT License. {FILLER}", "en", "a"),
+    (21, "Under the MIT license, under the MIT-License; under the mit licenses", "en", "a"),
+    (22, f"{FILLER}\n{TEMPLATES['bsd'].title()}.\n{FILLER}", "en", "a"),
+    (23, " ".join(TEMPLATES["isc"].split()[:-6]) + " " + FILLER, "en", "a"),
+    (24, FILLER + " Licensed under CC BY-NC 4.0", "en", "a"),
+    (25, FILLER * 3 + " " + TEMPLATES["gpl-3"], "en", "a"),
+    (26, "the of and to in any or by license software free use this " * 50, "en", "a"),
+    (27, f"{TEMPLATES['mit']} {FILLER} {TEMPLATES['cc-by']}", "en", "a"),
+    (28, "licence mit under the", "en", "a"),
+]
+
+
+def words_of(text):
+    return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(FOLD)) if w]
+
+
+def brute_force(rows, threshold=0.8):
+    out = []
+    for key, text, *_ in rows:
+        words = words_of(text)
+        places, base, labels, score = [], set(), set(), 0.0
+        for phrase, label in PHRASES.items():
+            parts = phrase.split()
+            found = [i for i in range(len(words)) if words[i : i + len(parts)] == parts]
+            places += found
+            base |= {label} if found else set()
+        for block in range(max(0, ceil((len(words) - BLOCK) / STEP)) + 1):
+            own = set(words[block * STEP : block * STEP + BLOCK])
+            for label, wording in TEMPLATES.items():
+                template = set(wording.split())
+                share = len(own & template) / len(template)
+                if share >= threshold - 1e-9:
+                    labels.add(label)
+                    score = max(score, share)
+        row = (key, len(words), sorted(places), sorted(base), sorted(base | labels), 1.0 if places else score)
+        out.append(str(row))
+    return sorted(out)
+
+
+def found(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
+@pytest.mark.parametrize("rows", [TRICKY, LICENSED, LICENSED * 3 + TRICKY])
+def test_equals_brute_force(spark, rows):
+    assert found(scan_licenses(documents(spark, rows))) == brute_force(rows)
+
+
+def test_templates_are_found_wherever_they_stand(spark):
+    labels = {r.doc_id: r.labels for r in scan_licenses(documents(spark, LICENSED)).collect()}
+    assert labels[22] == ["bsd"] and labels[25] == ["gpl-3"] and labels[27] == ["cc-by", "mit"]
+    assert labels[26] == labels[28] == []
+
+
+def test_clashing_columns_play_no_part(tricky):
+    assert found(scan_licenses(tricky)) == brute_force(TRICKY)
+
+
+@pytest.mark.parametrize("shift", range(0, 70, 7))
+def test_no_overlap_is_missed_by_prefixes(spark, shift):
+    """A block with exactly the needed words, whichever they are."""
+    template = sorted(set(TEMPLATES["gpl"].split()))
+    need = ceil(0.8 * len(template))
+    kept = (template[shift % len(template) :] + template)[:need]
+    rows = [(1, " ".join([*[f"f{i}" for i in range(shift)], *kept]), "en", "a"), (2, " ".join(kept[1:]), "en", "a")]
+    labels = {r.doc_id: "gpl" in r.labels for r in scan_licenses(documents(spark, rows)).collect()}
+    assert labels == {1: any("gpl" in line for line in brute_force(rows[:1])), 2: False}
+
+
+def test_prefixes_are_the_rarest_words():
+    rows = prefixes({"x": "a b c d e"}, ["e", "d", "c", "b", "a"], 0.8)
+    assert rows == [(0, 0, "x", 5, 4, [0, 1, 2, 3, 4]), (1, 1, "x", 5, 4, [0, 1, 2, 3, 4])]
+
+
+def test_an_empty_table_gives_an_empty_one(nothing):
+    assert scan_licenses(nothing).count() == 0
