@@ -424,7 +424,7 @@ def balanced_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", (F.col("o_orderpriority") == "1-URGENT").cast("int").alias("label")
     )
-    return sampling.balanced_subsets(orders, "o_orderkey", subsets=3, rows_per_sort=1000)
+    return sampling.balanced_subsets(orders, "o_orderkey", subsets=3)
 
 
 @query

@@ -1,8 +1,9 @@
 """Confusion counts, metrics, exact ROC and AUC, error analysis, importances.
 
 The ROC needs a running total over all scores in order. Scores are first counted per
-distinct value, then cut into ranges of about equal size at sketch quantiles; each range
-is ranked in its own task and shifted by the totals of the ranges above it.
+distinct value, and these counts are stored, so the input is read once. Then the distinct
+scores are cut into ranges of about ``SCORES_PER_RANGE`` at sketch quantiles; each range is
+ranked in its own task and shifted by the totals of the ranges above it.
 """
 
 from __future__ import annotations
@@ -27,6 +28,9 @@ PREDICTION = "prediction"
 WRONG_LIMIT = 5
 TOP_FEATURES = 10
 
+#: Distinct scores that one task ranks.
+SCORES_PER_RANGE = 100_000
+
 
 def _cells(label: str, prediction: str) -> list[Column]:
     """Counts of the four outcomes; the positive class is 1."""
@@ -40,8 +44,16 @@ def _cells(label: str, prediction: str) -> list[Column]:
     ]
 
 
+def _hits(label: str, prediction: str) -> list[Column]:
+    """Rows whose prediction is their label, and all rows."""
+    return [
+        F.count_if(F.col(label) == F.col(prediction)).alias("hits"),
+        F.count(F.lit(1)).alias("judged"),
+    ]
+
+
 def confusion(df: DataFrame, label: str = LABEL, prediction: str = PREDICTION) -> DataFrame:
-    """``tp, tn, fp, fn`` as one row, in one pass."""
+    """``tp, tn, fp, fn`` as one row, in one pass. Rows that are neither 0 nor 1 are in none of them."""
     return df.agg(*_cells(label, prediction))
 
 
@@ -51,17 +63,20 @@ def _ratio(part: Column, whole: Column) -> Column:
 
 
 def with_rates(cells: DataFrame) -> DataFrame:
-    """Accuracy and class-1 precision, recall and F1 beside the confusion counts."""
-    tp, tn, fp, fn = (F.col(c) for c in ("tp", "tn", "fp", "fn"))
+    """Accuracy and class-1 precision, recall and F1 beside the confusion counts.
+
+    ``hits`` and ``judged`` count all rows, of any classes, and leave the table as accuracy.
+    """
+    tp, fp, fn = (F.col(c) for c in ("tp", "fp", "fn"))
     rates = cells.withColumns(
         {
-            "accuracy": _ratio(tp + tn, tp + tn + fp + fn),
+            "accuracy": _ratio(F.col("hits"), F.col("judged")),
             "precision": _ratio(tp, tp + fp),
             "recall": _ratio(tp, tp + fn),
         }
     )
     precision, recall = F.col("precision"), F.col("recall")
-    return rates.withColumn("f1", _ratio(2 * precision * recall, precision + recall))
+    return rates.drop("hits", "judged").withColumn("f1", _ratio(2 * precision * recall, precision + recall))
 
 
 def metrics(
@@ -70,11 +85,16 @@ def metrics(
     prediction: str = PREDICTION,
     raw_score: str | None = "raw_score",
 ) -> DataFrame:
-    """One row: confusion counts, accuracy, precision, recall, F1, and AUC if scores are given."""
+    """One row: confusion counts, accuracy, precision, recall, F1, and AUC if scores are given.
+
+    Accuracy takes any number of classes and counts every row; a null label or prediction
+    is a miss. The counts, precision, recall, F1 and AUC are about class 1 against class 0.
+    """
+    counts = [*_cells(label, prediction), *_hits(label, prediction)]
     if raw_score is None:
-        return with_rates(confusion(df, label, prediction))
-    ranges = _area_by_range(df, label, raw_score, _cells(label, prediction))
-    return with_rates(_whole_area(ranges, ["tp", "tn", "fp", "fn"]))
+        return with_rates(df.agg(*counts))
+    ranges = _area_by_range(df, label, raw_score, counts)
+    return with_rates(_whole_area(ranges, ["tp", "tn", "fp", "fn", "hits", "judged"]))
 
 
 def area_under_roc(df: DataFrame, label: str = LABEL, score: str = "raw_score") -> DataFrame:
@@ -82,8 +102,8 @@ def area_under_roc(df: DataFrame, label: str = LABEL, score: str = "raw_score")
     return _whole_area(_area_by_range(df, label, score, []), []).select("auc")
 
 
-def auc_evaluator(label: str = LABEL, bins: int = 1000) -> BinaryClassificationEvaluator:
-    """Spark's evaluator, for model selection; ``bins=0`` makes it exact."""
+def auc_evaluator(label: str = LABEL, bins: int = 0) -> BinaryClassificationEvaluator:
+    """Spark's evaluator, for model selection; exact unless it is told to merge scores into bins."""
     return BinaryClassificationEvaluator(
         labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=bins
     )
@@ -91,15 +111,19 @@ def auc_evaluator(label: str = LABEL, bins: int = 1000) -> BinaryClassificationE
 
 def _score_ranges(df: DataFrame, label: str, score: str, extra: list[Column]) -> DataFrame:
     """Positives and negatives per distinct score, with the range each score lies in."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     scores = df.select(column(score).cast("double").alias("threshold"), "*")
-    steps = [i / parts for i in range(1, parts)]
-    cuts = scores.stat.approxQuantile("threshold", steps, 1 / (4 * parts)) if steps else []
-    per_score = scores.groupBy("threshold").agg(
-        F.count_if(F.col(label) == 1).alias("pos"),
-        F.count_if(F.col(label) == 0).alias("neg"),
-        *extra,
+    per_score = materialize(
+        scores.groupBy("threshold").agg(
+            F.count_if(F.col(label) == 1).alias("pos"),
+            F.count_if(F.col(label) == 0).alias("neg"),
+            *extra,
+        ),
+        "scores",
     )
+    # Cut among distinct scores, so that a score which most rows share does not draw the cuts.
+    parts = math.ceil(per_score.count() / SCORES_PER_RANGE)
+    steps = [i / parts for i in range(1, parts)]
+    cuts = per_score.stat.approxQuantile("threshold", steps, 1 / (4 * parts)) if steps else []
     cuts = sorted({c for c in cuts if math.isfinite(c)})
     if not cuts:
         return per_score.withColumn("range", F.lit(0))
@@ -116,7 +140,7 @@ def _high_to_low():
 
 
 def _ranges_high_to_low():
-    """For tables of ranges only: at most one row per shuffle partition meets this window."""
+    """For tables of ranges only: one row per ``SCORES_PER_RANGE`` distinct scores meets this window."""
     return Window.orderBy(F.desc("range"))
 
 
@@ -164,7 +188,7 @@ def roc_points(
     count the same positives and negatives, as they do not bend the curve.
     """
     ranged = _score_ranges(df, label, score, [])
-    # One row per range, so the side is no larger than the number of shuffle partitions.
+    # One row per range: 100,000 rows for ten billion distinct scores.
     totals = ranged.groupBy("range").agg(
         F.sum("pos").alias("range_pos"),
         F.sum("neg").alias("range_neg"),
@@ -254,9 +278,11 @@ def misclassified(
     label: str = LABEL,
     prediction: str = PREDICTION,
 ) -> DataFrame:
-    """Wrong rows with the chosen columns, the first ``limit`` by key, or all of them.
+    """Wrong rows with the chosen columns, the first ``limit`` by key in order, or all of them.
 
-    Columns that scoring did not carry are fetched from ``source`` by the row key.
+    Columns that scoring did not carry are fetched from ``source`` by the row key, null
+    keys included; they are null where ``source`` lacks the key. It must hold each of the
+    wrong rows' keys once at most, so that no row is doubled.
     """
     columns = list(columns)
     wrong = df.filter(F.col(label) != F.col(prediction))
@@ -267,7 +293,15 @@ def misclassified(
         unknown = [c for c in absent if source is None or c not in source.columns]
         if unknown:
             raise ValueError(f"unknown columns: {unknown}")
-        wrong = wrong.join(source.select(*[column(c) for c in [key, *absent]]), key, "inner")
+        looked_up = source.select(column(key).alias("__key"), *[column(c) for c in absent])
+        same = column(key).eqNullSafe(F.col("__key"))
+        asked = looked_up.join(wrong.select(column(key)).distinct(), same, "left_semi")
+        doubled = asked.groupBy("__key").count().filter("count > 1").limit(1).collect()
+        if doubled:
+            raise ValueError(f"the source has several rows of key {doubled[0][0]!r}")
+        wrong = wrong.join(looked_up, same, "left")
+        if limit is not None:
+            wrong = wrong.orderBy(column(key))
     return wrong.select(column(key), label, prediction, *[column(c) for c in columns])
 
 

@@ -21,8 +21,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from gradewise.functions import column, is_missing
 
 SKETCH_ACCURACY = 1000
-# An interval this small is sorted whole, one array per column.
+# An interval this small is sorted whole, one array per column, few columns at a time.
 MAX_SORTED_VALUES = 20_000
+COLUMNS_AT_ONCE = 8
 
 
 @dataclass
@@ -105,11 +106,11 @@ def exact_medians(
         for search, sizes in zip(open_, counts):
             search.narrow(*brackets.pop(search.name), sizes)
     small = [s for s in searches if s.median is None and s.size]
-    middles = _one_row(
-        df, [F.sort_array(F.collect_list(s.inside()))[s.rank - 1] for s in small]
-    )
-    for search, middle in zip(small, middles):
-        search.median = middle
+    for at in range(0, len(small), COLUMNS_AT_ONCE):
+        few = small[at : at + COLUMNS_AT_ONCE]
+        middles = _one_row(df, [F.sort_array(F.collect_list(s.inside()))[s.rank - 1] for s in few])
+        for search, middle in zip(few, middles):
+            search.median = middle
     return {s.name: s.median for s in searches}
 
 

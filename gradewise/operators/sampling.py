@@ -6,37 +6,46 @@ cluster size or retries, and needs no shuffle.
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradewise.functions import column, hash_bucket, md5_of
+from gradewise.functions import column, hash_bucket, md5_of, row_key
 from gradewise.functions.columns import HASH_RANGE
 from gradewise.operators.labeling import LABEL
 
 TRAIN_RATIO = 0.8
 SEED = 42
-# About how many rows may share the hash prefix that one task ranks.
-ROWS_PER_SORT = 1_000_000
+# Hex digits of the hash by which a class is counted before the cut is sought: one task then
+# ranks a 65,536th of it, whatever its size.
+PREFIX_DIGITS = 4
 
 
-def in_train(key: str, ratio: float = TRAIN_RATIO, seed: int = SEED) -> Column:
+def identity(df: DataFrame, key: str) -> Column:
+    """The key as text, or the hash of the row's content where the key is null."""
+    return F.coalesce(column(key).cast("string"), row_key(df))
+
+
+def _as_column(key: str | Column) -> Column:
+    return column(key) if isinstance(key, str) else key
+
+
+def in_train(key: str | Column, ratio: float = TRAIN_RATIO, seed: int = SEED) -> Column:
     """Does the row belong to the training part?
 
     Compares digests as text, which orders hex digits like the numbers they spell.
     """
     if ratio >= 1:
         return F.lit(True)
-    return md5_of(column(key), f"split:{seed}") < f"{int(ratio * HASH_RANGE):08x}"
+    return md5_of(_as_column(key), f"split:{seed}") < f"{int(ratio * HASH_RANGE):08x}"
 
 
 def hash_split(
     df: DataFrame, key: str, ratio: float = TRAIN_RATIO, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows by key."""
-    train = in_train(key, ratio, seed)
+    """Training and test rows by key; rows without one are split by their content."""
+    train = in_train(identity(df, key), ratio, seed)
     return df.filter(train), df.filter(~train)
 
 
@@ -48,9 +57,9 @@ def random_split(
     return train, test
 
 
-def fold_of(key: str, folds: int = 3, seed: int = SEED) -> Column:
-    """Cross-validation fold of the row, independent of the split."""
-    return (hash_bucket(column(key), f"fold:{seed}") % folds).cast("int")
+def fold_of(key: str | Column, folds: int = 3, seed: int = SEED) -> Column:
+    """Cross-validation fold of the row, independent of the split. ``identity`` serves tables with null keys."""
+    return (hash_bucket(_as_column(key), f"fold:{seed}") % folds).cast("int")
 
 
 def subset_conditions(
@@ -59,14 +68,13 @@ def subset_conditions(
     label: str = LABEL,
     subsets: int = 5,
     seed: int = SEED,
-    rows_per_sort: int = ROWS_PER_SORT,
 ) -> list[Column]:
     """Row conditions of class-balanced subsets, each class cut to the smallest one's size.
 
     A subset takes, of each larger class, the rows with the smallest salted key hashes.
     The cut-off hash is found by counting hash prefixes, then the hashes under the prefix
     that holds the cut, so no task sorts a class. Copies of one key stay together; with
-    unique keys the classes come out exactly equal.
+    unique keys the classes come out exactly equal. Rows without key go by their content.
     """
     sizes = {
         r[label]: r["n"]
@@ -80,12 +88,13 @@ def subset_conditions(
     equal = F.col(label).isNotNull() & ~F.col(label).isin(larger)
     if not larger:
         return [equal] * subsets
-    cutoffs = _cutoff_hashes(df, key, label, larger, subsets, seed, target, max(sizes.values()), rows_per_sort)
+    who = identity(df, key)
+    cutoffs = _cutoff_hashes(df, who, label, larger, subsets, seed, target)
     return [
         reduce(
             lambda a, b: a | b,
             [
-                (F.col(label) == value) & (_subset_hash(key, seed, F.lit(i)) <= cutoffs[value, i])
+                (F.col(label) == value) & (_subset_hash(who, seed, F.lit(i)) <= cutoffs[value, i])
                 for value in larger
             ],
             equal,
@@ -101,35 +110,36 @@ def balanced_subsets(df: DataFrame, key: str, label: str = LABEL, subsets: int =
     return df.withColumn("subset", F.explode(members))
 
 
-def _subset_hash(key: str, seed: int, subset: Column) -> Column:
-    salted = F.concat(subset.cast("string"), F.lit(":"), column(key).cast("string"))
+def _subset_hash(who: Column, seed: int, subset: Column) -> Column:
+    salted = F.concat(subset.cast("string"), F.lit(":"), who)
     return md5_of(salted, f"subset:{seed}")
 
 
-def _cutoff_hashes(df, key, label, larger, subsets, seed, target, largest, rows_per_sort) -> dict:
-    """Per class and subset, the hash of the ``target``-th smallest row."""
-    digits = max(0, math.ceil(math.log(largest / rows_per_sort, 16)))
-    hashed = (
-        df.filter(F.col(label).isin(larger))
-        .select(label, column(key), F.explode(F.sequence(F.lit(0), F.lit(subsets - 1))).alias("subset"))
-        .select(label, "subset", _subset_hash(key, seed, F.col("subset")).alias("hash"))
-        .withColumn("prefix", F.substring("hash", 1, digits))
+def _cutoff_hashes(df, who, label, larger, subsets, seed, target) -> dict:
+    """Per class and subset, the hash of the ``target``-th smallest row.
+
+    Both passes hash a row for all subsets at once, and the second one explodes only the
+    hashes at a cut.
+    """
+    hashes = F.array(
+        *[F.struct(F.lit(i).alias("subset"), _subset_hash(who, seed, F.lit(i)).alias("hash")) for i in range(subsets)]
     )
+    rows = df.filter(F.col(label).isin(larger)).select(label, hashes.alias("hashes"))
+    prefix = F.substring("hash", 1, PREFIX_DIGITS)
+    hashed = rows.select(label, F.inline("hashes")).select(label, "subset", prefix.alias("prefix"))
     within = Window.partitionBy(label, "subset")
     counted = hashed.groupBy(label, "subset", "prefix").agg(F.count(F.lit(1)).alias("n"))
     last = counted.withColumn("upto", F.sum("n").over(within.orderBy("prefix")))
     # One row per class and subset: the prefix in which the target rank falls.
     cuts = last.filter((F.col("upto") >= target) & (F.col("upto") - F.col("n") < target)).collect()
-    at_cut = reduce(
-        lambda a, b: a | b,
-        [
-            (F.col(label) == c[label]) & (F.col("subset") == c["subset"]) & (F.col("prefix") == c["prefix"])
-            for c in cuts
-        ],
-    )
-    at_hash = (
-        hashed.filter(at_cut).groupBy(label, "subset", "hash").agg(F.count(F.lit(1)).alias("n"))
-    )
+
+    def at_cut(h: Column) -> Column:
+        start = F.substring(h["hash"], 1, PREFIX_DIGITS)
+        cut = [(F.col(label) == c[label]) & (h["subset"] == c["subset"]) & (start == c["prefix"]) for c in cuts]
+        return reduce(lambda a, b: a | b, cut)
+
+    near = rows.select(label, F.filter("hashes", at_cut).alias("hashes")).filter(F.size("hashes") > 0)
+    at_hash = near.select(label, F.inline("hashes")).groupBy(label, "subset", "hash").agg(F.count(F.lit(1)).alias("n"))
     ranked = at_hash.withColumn("upto", F.sum("n").over(within.orderBy("hash")))
     wanted = F.coalesce(
         *[

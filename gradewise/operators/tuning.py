@@ -110,10 +110,11 @@ def _fold_scores(
 
 
 def _report(df: DataFrame, grid: list[dict], means: list[float], best: int) -> DataFrame:
-    """One row per candidate: its parameters, mean AUC, and whether it was chosen."""
-    names = [p.name for p in grid[0]]
+    """One row per candidate: its parameters (null where it sets none), mean AUC, and if it was chosen."""
+    names = list(dict.fromkeys(p.name for params in grid for p in params))
+    told = [{p.name: value for p, value in params.items()} for params in grid]
     rows = [
-        (i, *params.values(), mean, i == best) for i, (params, mean) in enumerate(zip(grid, means))
+        (i, *[params.get(n) for n in names], mean, i == best) for i, (params, mean) in enumerate(zip(told, means))
     ]
     return df.sparkSession.createDataFrame(rows, ["candidate", *names, "mean_auc", "is_best"]).select(
         F.col("candidate").cast("int").alias("candidate"), *names, "mean_auc", "is_best"

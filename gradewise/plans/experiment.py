@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from gradewise.functions import column, grade_label, row_key
 from gradewise.operators import cleaning, comparison, evaluation, labeling, training, tuning
 from gradewise.operators.features import MEDIAN_ERROR, preprocess_status, vector_columns
 from gradewise.operators.labeling import LABEL
-from gradewise.operators.sampling import SEED, TRAIN_RATIO, fold_of, in_train
+from gradewise.operators.sampling import SEED, TRAIN_RATIO, fold_of, identity, in_train
 from gradewise.sources import (
     export_readable,
     fixed_decimals,
@@ -95,6 +96,8 @@ def prepare(source: DataFrame, config: ExperimentConfig) -> Prepared:
     key = cleaning.undotted(config.key or "row_key")
     if config.key is None:
         source = source.select("*", row_key(source).alias(key))
+    source = source.withColumn("__identity", identity(source, key))  # the key, content where it is null
+    who = F.col("__identity")
     candidates = cleaning.pick_columns(source, config.features)
     text = [c for c in map(cleaning.undotted, config.text_columns) if c in source.columns]
     keep = [c for c in map(cleaning.undotted, config.keep) if c in source.columns and c not in candidates]
@@ -104,15 +107,15 @@ def prepare(source: DataFrame, config: ExperimentConfig) -> Prepared:
     cleaned = cleaning.clean_text(cleaning.cast_numeric(source, candidates), text)
     labelled = labeling.assign_label(cleaned, cleaning.undotted(config.grade), config.mapping)
     has_label = F.col(LABEL).isNotNull()
-    in_training = in_train(key, config.train_ratio, config.seed)
+    in_training = in_train(who, config.train_ratio, config.seed)
     rows = labelled.select(
         *[F.when(has_label, column(c)).alias(c) for c in dict.fromkeys([key, *candidates, *keep])],
         LABEL,
         F.when(~has_label, "unlabelled").when(in_training, "train").otherwise("test").alias("part"),
-        F.when(has_label & in_training, fold_of(key, config.folds, config.seed))
+        F.when(has_label & in_training, fold_of(who, config.folds, config.seed))
         .otherwise(-1)
         .alias("fold"),
-        F.xxhash64(column(key)).alias("spread"),
+        F.xxhash64(who).alias("spread"),
     )
     even = rows.hint("rebalance", F.col("spread")).sortWithinPartitions("part", "fold", "spread")
     table = materialize(even.drop("spread"), "prepared", ("part", "fold"))
@@ -148,7 +151,8 @@ def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentRes
     train, test, key = prepared.train, prepared.test, prepared.key
     features = cleaning.dense_columns(train, prepared.candidates, config.max_missing_share)
     stages = training.fit_features(train, features, config.relative_error)
-    carried = [c for c in dict.fromkeys([key, *features, *prepared.keep])]
+    shown = [c for c in map(cleaning.undotted, config.shown_features) if c in features]
+    carried = list(dict.fromkeys([key, *shown]))  # all else is in the prepared table, by key
 
     base = training.fit_classifier(train, stages, training.base_forest())
     base_metrics, base_scored = evaluation.evaluate(base, test, carried)
@@ -170,7 +174,6 @@ def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentRes
 
     scored = {BASE: base_scored, OPTIMISED: tuned_scored, **compared.scored}
     models = {BASE: base, OPTIMISED: tuned.model, **compared.models}
-    shown = [c for c in map(cleaning.undotted, config.shown_features) if c in features]
     result = ExperimentResult(prepared, features, models, scored, tuned.params, {})
     result.reports.update(
         null_profile=lambda: cleaning.null_profile(train, prepared.candidates),
@@ -180,14 +183,16 @@ def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentRes
         preprocess_status=lambda: preprocess_status(stages),
         preview=lambda: preview(result.dataset(), order_by=key),
         training_info=lambda: training.training_info(base, train),
-        metrics=lambda: base_metrics.select(F.lit(BASE).alias("variant"), "*").unionByName(
-            tuned_metrics.select(F.lit(OPTIMISED).alias("variant"), "*")
-        ),
+        metrics=lambda: _by_variant({BASE: base_metrics, OPTIMISED: tuned_metrics}),
         tuning=lambda: tuned.report,
         importance=lambda: evaluation.importance_rank(tuned.model, features, train),
         top_features=lambda: evaluation.importance_rank(
             tuned.model, features, train, evaluation.TOP_FEATURES
         ),
+        confusions=lambda: _by_variant(
+            {BASE: evaluation.confusion(base_scored), OPTIMISED: evaluation.confusion(tuned_scored)}
+        ),
+        best_params=lambda: _name_values(train.sparkSession, tuned.params),
         base_vs_optimised=lambda: comparison.compare_confusions(
             evaluation.confusion(base_scored), evaluation.confusion(tuned_scored)
         ),
@@ -201,6 +206,15 @@ def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentRes
     return result
 
 
+def _by_variant(parts: dict[str, DataFrame]) -> DataFrame:
+    named = [df.select(F.lit(name).alias("variant"), "*") for name, df in parts.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+def _name_values(spark: SparkSession, params: dict[str, object]) -> DataFrame:
+    return spark.createDataFrame([(n, str(v)) for n, v in params.items()], "parameter string, value string")
+
+
 def run_experiment_file(
     spark: SparkSession, path: str, config: ExperimentConfig | None = None
 ) -> ExperimentResult:
@@ -218,4 +232,17 @@ def write_reports(result: ExperimentResult, path: str) -> None:
     write_report(metric_report(result.report("metrics")), f"{path}/metrics")
     write_report(fixed_decimals(compared), f"{path}/comparison")
     write_report(fixed_decimals(result.report("importance")), f"{path}/importance")
-    write_report(result.report("base_vs_optimised"), f"{path}/base_vs_optimised")
+    for name in (
+        "base_vs_optimised",
+        "confusions",
+        "label_distribution",
+        "label_stats",
+        "cleaning_summary",
+        "training_info",
+        "misclassified",
+        "tuning",
+        "best_params",
+        "roc",
+        "roc_areas",
+    ):
+        write_report(result.report(name), f"{path}/{name}")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +36,22 @@ QUOTING_OPTIONS = frozenset(
     }
 )
 
-UNSPLITTABLE = r"\.(gz|deflate|snappy|zst|lz4)$"
+# Options that choose files; the check of their content gets them too.
+FILE_OPTIONS = frozenset(
+    {
+        "pathglobfilter",
+        "recursivefilelookup",
+        "modifiedbefore",
+        "modifiedafter",
+        "ignoremissingfiles",
+        "ignorecorruptfiles",
+        "basepath",
+        "timezone",
+    }
+)
+
+# Wider types of inferred columns, narrow ones first.
+NUMBERS = ("int", "bigint", "double")
 
 
 def read_delimited(
@@ -51,34 +68,75 @@ def read_delimited(
     Inference reads the files once more. With ``infer=False`` all columns are text.
 
     Quoted cells may span lines. Spark reads such a file in one task, so with
-    ``multi_line=None`` files above one split are first checked in parallel for a
-    cell that really spans lines, and are read in splits when there is none. Both
-    ways give the same rows.
+    ``multi_line=None`` all files are first checked in parallel, each by its content:
+    those whose cells may span lines are read whole and all others in splits. Size plays
+    no part, and the rows are those of reading every file whole. Names come from the
+    first file that is read in splits, if there is one.
     """
-    if multi_line is None:
-        unusual = len(sep) > 1 or any(o.lower() in QUOTING_OPTIONS for o in options)
-        multi_line = (
-            unusual or not _has_large_files(spark, path) or has_spanning_cells(spark, path, sep)
-        )
-    reader = spark.read.options(header=True, sep=sep, multiLine=multi_line, **options)
-    reader = reader.option("inferSchema", infer) if schema is None else reader.schema(schema)
-    return reader.csv(path)
-
-
-def _has_large_files(spark: SparkSession, path: str) -> bool:
-    """Is there a file that splitting would spread over several tasks? Lists, reads nothing."""
-    limit = spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
-    units = {"k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
-    limit_bytes = int(limit[:-1]) * units[limit[-1]] if limit[-1] in units else int(limit)
-    files = spark.read.format("binaryFile").load(path).select("path", "length")
-    large = (F.col("length") > limit_bytes) & ~F.col("path").rlike(UNSPLITTABLE)
-    return bool(files.agg(F.bool_or(large)).first()[0])
+    reader = spark.read.options(header=True, sep=sep, **options)
+    unusual = len(sep) > 1 or any(o.lower() in QUOTING_OPTIONS for o in options)
+    if multi_line is None and not unusual:
+        chosen = {o: v for o, v in options.items() if o.lower() in FILE_OPTIONS}
+        groups = files_by_reading(spark, path, sep, chosen)
+    else:
+        groups = [(path, multi_line is None or multi_line)]
+    if any(isinstance(files, list) for files, _ in groups):
+        # The files are chosen; where folders name partitions, their columns stay.
+        reader = spark.read.options(header=True, sep=sep)
+        reader = reader.options(**{o: v for o, v in options.items() if o.lower() not in FILE_OPTIONS})
+        folders = any("=" in part for files, _ in groups for f in files for part in f.split("/")[-3:-1])
+        if folders and "recursivefilelookup" not in {o.lower() for o in options}:
+            reader = reader.option("basePath", options.get("basePath", path))
+
+    def read(files, whole: bool, types) -> DataFrame:
+        one = reader.option("multiLine", whole)
+        return (one.option("inferSchema", types == "inferred") if isinstance(types, str) else one.schema(types)).csv(files)
+
+    if schema is not None:
+        types = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    else:
+        types = "inferred" if infer else "text"
+    if len(groups) > 1 and types == "inferred":
+        types = _common_types([read(files, whole, types) for files, whole in groups])
+    parts = [read(files, whole, types) for files, whole in groups]
+    return reduce(DataFrame.unionAll, [p.toDF(*parts[0].columns) for p in parts])
+
+
+def files_by_reading(spark: SparkSession, path: str, sep: str, options: dict) -> list[tuple[list[str] | str, bool]]:
+    """Which files to read in splits (False) and which whole (True). One parallel pass; unsure lines count as whole."""
+    lines = spark.read.options(**options).text(path, lineSep="\n")
+    checked = (
+        lines.groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.bool_or(unclean_line(F.col("value"), sep)).alias("whole"))
+        .collect()  # one row per file, as many as the listing has
+    )
+    files = {kind: sorted(unquote(r["file"]) for r in checked if r["whole"] == kind) for kind in (False, True)}
+    if not (files[False] and files[True]):  # all alike, or none: the reader lists them itself
+        return [(path, bool(files[True]))]
+    return [(files[False], False), (files[True], True)]
+
+
+def _common_types(parts: list[DataFrame]) -> StructType:
+    """One type per column for parts inferred apart; a column without values in a part takes the others' type."""
+    fields = []
+    for i, name in enumerate(parts[0].columns):
+        types = [p.schema[i].dataType.simpleString() for p in parts]
+        if len(set(types)) > 1:
+            valued = [not p.select(p.columns[i]).filter(column(p.columns[i]).isNotNull()).isEmpty() for p in parts]
+            types = [t for t, v in zip(types, valued) if v] or types[:1]
+        if len(set(types)) == 1:
+            kind = types[0]
+        elif set(types) <= set(NUMBERS):
+            kind = max(types, key=NUMBERS.index)
+        else:
+            kind = "string"
+        fields.append(f"`{name.replace('`', '``')}` {kind}")
+    return StructType.fromDDL(", ".join(fields))
 
 
 def has_spanning_cells(spark: SparkSession, path: str, sep: str = "\t") -> bool:
     """May some record cross a line end? One parallel pass; unsure lines count as yes."""
-    lines = spark.read.text(path, lineSep="\n")
-    return bool(lines.agg(F.bool_or(unclean_line(F.col("value"), sep))).first()[0])
+    return any(whole for _, whole in files_by_reading(spark, path, sep, {}))
 
 
 def unclean_line(line: Column, sep: str = "\t") -> Column:
@@ -89,8 +147,9 @@ def unclean_line(line: Column, sep: str = "\t") -> Column:
     reading modes treat differently, count as unclean.
     """
     edge = "\\x{%x}" % ord(sep)
-    closed_cell = rf'(?<![^{edge}])"[^"\\]*+(?:\\.[^"\\]*+){{0,500}}+"(?![^{edge}])'
-    rest = F.regexp_replace(line, closed_cell, "")
+    # Escaped characters give way to one that means nothing, so none moves to a cell's start.
+    unescaped = F.regexp_replace(line, r'\\["\\]', "x")
+    rest = F.regexp_replace(unescaped, rf'(?<![^{edge}])"[^"]*+"(?![^{edge}])', "")
     open_cell = line.contains('"') & rest.rlike(rf'(?<![^{edge}])\s*"')
     return open_cell | line.contains("\r") | line.rlike(r"^[\x00-\x20]+$")
 

@@ -6,6 +6,7 @@ executor costs a re-read and no recomputation.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,15 +15,31 @@ from pyspark.sql import DataFrame, SparkSession
 from gradewise.functions import column
 
 
+_MADE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        # One process has one disk; anything else must name a folder that all its members share.
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="gradewise-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the tables written so far; call it when their results are no longer read."""
+    dropped = 0
+    while _MADE:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        dropped += files.delete(path, True)
+    return dropped
 
 
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

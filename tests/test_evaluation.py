@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
+from gradewise.operators import evaluation
 from gradewise.operators.comparison import compare_confusions
 from gradewise.operators.evaluation import (
     area_under_roc,
@@ -148,3 +149,41 @@ def test_curves_of_several_models(spark):
     assert {r["model"] for r in curves.select("model").distinct().collect()} == {"one", "two"}
     areas = {r["model"]: r["auc"] for r in roc_areas(scored).collect()}
     assert areas["two"] == area_under_roc(scored["two"]).first()["auc"]
+
+
+def test_accuracy_counts_every_row(spark):
+    def accuracy(rows):
+        df = spark.createDataFrame(rows, "label int, prediction int, raw_score double")
+        found = metrics(df).first()["accuracy"]
+        assert metrics(df, raw_score=None).first()["accuracy"] == found
+        assert "hits" not in metrics(df).columns
+        return found
+
+    assert accuracy([(0, 0, 0.1), (1, 1, 0.9), (2, 2, 0.5), (2, 0, 0.2), (1, 2, 0.7)]) == 0.6
+    assert accuracy([(0, 0, 0.1), (1, 1, 0.9), (1, None, 0.5)]) == pytest.approx(2 / 3)
+    assert accuracy([(None, 1, 0.1), (1, 1, 0.9)]) == 0.5
+
+
+def test_ranges_hold_few_distinct_scores(spark, monkeypatch):
+    """99 % of the rows share a score."""
+    monkeypatch.setattr(evaluation, "SCORES_PER_RANGE", 500)
+    rows = [(i, i % 2, 0, 0.5 if i % 100 else i / 4e5, 0.0) for i in range(400_000)]
+    df = frame(spark, rows).repartition(8)
+    ranged = evaluation._score_ranges(df, "label", "raw_score", [])
+    sizes = [r["count"] for r in ranged.groupBy("range").count().collect()]
+    assert sum(sizes) == 4_000 and max(sizes) <= 3 * 4_000 / 8
+    exact = BinaryClassificationEvaluator(rawPredictionCol="raw_score", numBins=0).evaluate(df)
+    assert area_under_roc(df).first()["auc"] == pytest.approx(exact, abs=1e-12)
+
+
+def test_looked_up_columns_lose_and_double_no_row(spark):
+    df = frame(spark, [(1, 1, 0, 0.1, 0.1), (None, 0, 1, 0.2, 0.2), (3, 0, 1, 0.3, 0.3), (4, 1, 1, 0.3, 0.3)])
+    source = spark.createDataFrame([(1, "x"), (None, "n"), (4, "y"), (4, "z")], "key int, name string")
+    for limit in (None, 5):
+        found = misclassified(df, "key", ["name"], limit=limit, source=source).collect()
+        assert sorted((str(r["key"]), str(r["name"])) for r in found) == [("1", "x"), ("3", "None"), ("None", "n")]
+    ordered = misclassified(df, "key", ["name"], limit=2, source=source).collect()
+    assert [(r["key"], r["name"]) for r in ordered] == [(None, "n"), (1, "x")]
+    doubled = source.union(spark.createDataFrame([(1, "again")], "key int, name string"))
+    with pytest.raises(ValueError, match="several rows"):
+        misclassified(df, "key", ["name"], source=doubled)

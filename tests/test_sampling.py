@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from gradewise.operators import sampling
 from gradewise.operators.sampling import balanced_subsets, fold_of, hash_split, random_split, subset_conditions
 
 
@@ -41,15 +42,16 @@ def smallest_hashes(keys, subset, n):
     return set(sorted(keys, key=lambda k: hashlib.md5(f"subset:42:{subset}:{k}".encode()).hexdigest())[:n])
 
 
-@pytest.mark.parametrize("rows_per_sort", [1_000_000, 50, 1])
-def test_subsets_equal_ranking_by_hash(spark, rows_per_sort):
-    """A class with 90 % of the rows, ranked whole or by one, two or three hash digits."""
+@pytest.mark.parametrize("digits", [0, 1, 4, 32])
+def test_subsets_equal_ranking_by_hash(spark, monkeypatch, digits):
+    """A class with 90 % of the rows, ranked whole or by some hash digits."""
+    monkeypatch.setattr(sampling, "PREFIX_DIGITS", digits)
     df = spark.range(2000).select(
         F.col("id").alias("k"),
         F.when(F.col("id") % 20 == 0, 0).when(F.col("id") % 20 == 1, None).otherwise(1).alias("label"),
     )
     minority, majority = range(0, 2000, 20), [k for k in range(2000) if k % 20 > 1]
-    rows = balanced_subsets(df, "k", subsets=3, rows_per_sort=rows_per_sort).collect()
+    rows = balanced_subsets(df, "k", subsets=3).collect()
     for subset in range(3):
         kept = {0: set(), 1: set()}
         for r in rows:
@@ -79,7 +81,7 @@ def test_copies_of_a_key_stay_together(spark):
     """A third of the larger class is one key; it counts whole wherever its hash falls."""
     keys = [0] * 300 + list(range(1, 601))
     df = spark.createDataFrame([(k, 1) for k in keys] + [(10_000 + k, 0) for k in range(400)], "k int, label int")
-    for subset, condition in enumerate(subset_conditions(df, "k", subsets=4, rows_per_sort=20)):
+    for subset, condition in enumerate(subset_conditions(df, "k", subsets=4)):
         kept = sorted(r["k"] for r in df.filter(condition & (F.col("label") == 1)).collect())
         order = sorted(set(keys), key=lambda k: hashlib.md5(f"subset:42:{subset}:{k}".encode()).hexdigest())
         expected = []
@@ -87,3 +89,16 @@ def test_copies_of_a_key_stay_together(spark):
             key = order.pop(0)
             expected += [key] * keys.count(key)
         assert kept == sorted(expected)
+
+
+def test_null_keys_are_split_by_content(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    train, test = hash_split(df, "k")
+    for part, share in ((train, 0.8), (test, 0.2)):
+        assert abs(part.filter("k IS NULL").count() / 1000 - share) < 0.04
+    assert train.count() + test.count() == 3000
+    folds = {r["f"]: r["count"] for r in df.filter("k IS NULL").groupBy(fold_of(sampling.identity(df, "k")).alias("f")).count().collect()}
+    assert set(folds) == {0, 1, 2} and min(folds.values()) > 280
+    labelled = df.withColumn("label", (F.col("v") % 10 == 0).cast("int"))
+    kept = balanced_subsets(labelled, "k", subsets=2).groupBy("subset", "label").count().collect()
+    assert {r["count"] for r in kept} == {300}

@@ -93,10 +93,51 @@ def test_other_quotes_and_long_separators_are_read_whole(spark, tmp_path, with_c
 
 def test_many_escapes_do_not_break_the_check(spark, tmp_path):
     path = _file(tmp_path, 'k\tt\n1\t"' + '\\"' * 20000 + '"\n')
-    assert has_spanning_cells(spark, path)
+    assert not has_spanning_cells(spark, path)
     assert read_delimited(spark, path).count() == 1
 
 
+MIXED = {
+    "clean.tsv": "k\tt\n" + "".join(f"{i}\tone line\n" for i in range(2000)),
+    "deep/span.tsv": "k\tt\n" + "".join(f'{i}\t"two\nlines"\n' for i in range(2000, 2010)),
+    "deep/crlf.tsv": "k\tt\r\n3000\ta\r\n",
+    "other.txt": 'k\tt\n4000\t"left\nout"\n',
+}
+
+
+@pytest.mark.parametrize("options", [{"recursiveFileLookup": True}, {"pathGlobFilter": "*.tsv"}, {"recursiveFileLookup": True, "pathGlobFilter": "*.tsv"}, {"modifiedAfter": "2001-01-01T00:00:00"}])
+@pytest.mark.parametrize("schema", [None, "k int, t string"])
+def test_rows_do_not_depend_on_the_split_size(spark, tmp_path, with_conf, options, schema):
+    for name, text in MIXED.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(text.encode())
+    whole = read_delimited(spark, str(tmp_path), schema=schema, multi_line=True, **options)
+    wanted = sorted(map(tuple, whole.collect()))
+    for size in ("128m", "4k"):
+        with_conf(spark__sql__files__maxPartitionBytes=size, spark__sql__files__openCostInBytes="0")
+        found = read_delimited(spark, str(tmp_path), schema=schema, **options)
+        assert found.dtypes == [("k", "int"), ("t", "string")]
+        assert sorted(map(tuple, found.collect())) == wanted
+    if options != {"pathGlobFilter": "*.tsv"}:
+        assert found.rdd.getNumPartitions() > 4  # one unclear file leaves the clean one in splits
+
+
+def test_types_of_apart_read_files_meet(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("k\tv\te\tc\n1\t2\t\t007\n")
+    (tmp_path / "b.tsv").write_text('k\tv\te\tc\n2\t2.5\t3\t"x\ny"\n')
+    df = read_delimited(spark, str(tmp_path))
+    assert df.dtypes == [("k", "int"), ("v", "double"), ("e", "int"), ("c", "string")]
+    assert sorted(map(tuple, df.collect())) == [(1, 2.0, None, "007"), (2, 2.5, 3, "x\ny")]
+
+
+def test_partition_columns_stay(spark, tmp_path):
+    for part, cell in (("p=1", "plain"), ("p=2", '"two\nlines"')):
+        (tmp_path / part).mkdir()
+        (tmp_path / part / "f.tsv").write_text(f"k\tt\n1\t{cell}\n")
+    rows = read_delimited(spark, str(tmp_path)).collect()
+    assert sorted((r.k, r.t, r.p) for r in rows) == [(1, "plain", 1), (1, "two\nlines", 2)]
+
+
 def test_types_are_inferred_and_empty_cells_are_null(spark, tmp_path):
     df = read_delimited(spark, _file(tmp_path, "a\tb\tc\n1\t2.5\tx\n2\t\ty\n3\t1e3\t\n"))
     assert df.dtypes == [("a", "int"), ("b", "double"), ("c", "string")]
