@@ -107,6 +107,24 @@ def _rates(cells: str) -> str:
     FROM {cells})"""
 
 
+# Of a model that finds the rule: every row of ``judged`` is right.
+PERFECT = """
+  SELECT count(*) FILTER (WHERE label = 1) AS tp, count(*) FILTER (WHERE label = 0) AS tn,
+         count(*) FILTER (WHERE label NOT IN (0, 1)) AS fp, count(*) FILTER (WHERE label IS NULL) AS fn,
+         avg((label IS NOT NULL)::INT)::DOUBLE AS auc, avg((label IS NOT NULL)::INT)::DOUBLE AS accuracy,
+         avg((label = 1)::INT) FILTER (WHERE label = 1)::DOUBLE AS precision,
+         avg((label = 1)::INT) FILTER (WHERE label = 1)::DOUBLE AS recall,
+         avg((label = 1)::INT) FILTER (WHERE label = 1)::DOUBLE AS f1
+  FROM judged"""
+
+
+def _tells(name: str, rule: str, source: str) -> str:
+    """1 if a column's value alone gives the label, else 0."""
+    return (
+        f"(SELECT (max(n) = 1)::INT::DOUBLE FROM (SELECT count(DISTINCT {rule}) AS n FROM {source} GROUP BY {name}))"
+    )
+
+
 BASE_VS_OPTIMISED = (
     f"WITH {JUDGED}, base AS ({_cells('prediction')}), optimised AS ({_cells('prediction_low')}) "
     + " UNION ALL ".join(
@@ -188,7 +206,7 @@ def oracle() -> dict[str, str]:
             ("props", "string"),
         ],
     )
-    sql["tsv_lines_in_cells"] = "SELECT doc_id, text, lang FROM documents"
+    sql["tsv_lines_in_cells"] = "SELECT * FROM documents"
     sql["table_profile_lineitem"] = _profile(
         "lineitem",
         [
@@ -211,7 +229,7 @@ SELECT p_partkey, p_size::DOUBLE AS p_size, p_retailprice, 7.0::DOUBLE AS consta
        7.0::DOUBLE AS constant_imputed
 FROM part"""
     sql["preview_long"] = _preview_cells(
-        ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+        ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
     )
     sql["preview_rows"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5"
     sql["metric_report_file"] = METRIC_REPORT
@@ -219,7 +237,7 @@ FROM part"""
 
     sql["select_by_suffix"] = (
         f"WITH {PRODUCT_EVENTS} SELECT event_id, value_100g, click_100g, error_100g, refund_100g, "
-        "mixed_100g FROM product_events"
+        "nan_100g, mixed_100g FROM product_events"
     )
     sql["cast_numeric"] = (
         f"WITH {PRODUCT_EVENTS} SELECT event_id, TRY_CAST(mixed_100g AS DOUBLE) AS mixed_100g FROM product_events"
@@ -237,12 +255,12 @@ FROM part"""
     )
     sql["clean_project"] = f"""
 WITH {PRODUCT_EVENTS}
-SELECT value_100g, click_100g, error_100g, TRY_CAST(mixed_100g AS DOUBLE) AS mixed_100g,
+SELECT value_100g, click_100g, error_100g, nan_100g, TRY_CAST(mixed_100g AS DOUBLE) AS mixed_100g,
        nutrition_grade_fr, event_id,
        lower(regexp_replace(packaging, '[^a-zA-Z0-9 ]', '', 'g')) AS packaging
 FROM product_events"""
     sql["clean_summary"] = (
-        "SELECT count(*) AS final_row_count, 4 AS numeric_features_count, "
+        "SELECT count(*) AS final_row_count, 5 AS numeric_features_count, "
         "1 AS categorical_features_count FROM events"
     )
     sql["normalize_text"] = (
@@ -331,18 +349,70 @@ FROM voted"""
         f"true AS auc_in_range FROM ({test_rows})"
         for model in ("Random Forest", "Logistic Regression", "GBT")
     )
-    sql["ensemble_votes"] = (
-        "SELECT doc_id, quality AS label, true AS is_majority FROM documents JOIN labels USING (doc_id) "
-        f"WHERE NOT ({_in_train('doc_id')})"
+    lines = f"SELECT *, (l_linenumber > 3)::INT AS label FROM lineitem WHERE NOT ({_in_train('l_orderkey')})"
+    people = f"SELECT *, (c_nationkey > 12)::INT AS label FROM customer WHERE NOT ({_in_train('c_custkey')})"
+    for name in ("train_forest", "train_boosted", "train_logistic", "select_top_features"):
+        sql[name] = f"WITH judged AS ({lines}) SELECT * FROM ({PERFECT})"
+    families = "(VALUES ('Random Forest'), ('Logistic Regression'), ('GBT')) AS m(model)"
+    variants = "(VALUES ('base'), ('optimised')) AS v(variant)"
+    sql["compare_models"] = f"WITH judged AS ({lines}) SELECT * FROM {families}, ({PERFECT})"
+    sql["model_comparison_file"] = f"WITH judged AS ({lines}) SELECT model, accuracy, auc FROM {families}, ({PERFECT})"
+    sql["experiment_metrics"] = f"WITH judged AS ({people}) SELECT * FROM {variants}, ({PERFECT})"
+    sql["model_roc_curves"] = f"""
+WITH judged AS ({lines})
+SELECT model, auc AS tpr_without_alarm, auc AS tpr_with_alarm, 1.0::DOUBLE AS last_fpr FROM {families}, ({PERFECT})"""
+    sql["train_forest_lines"] = f"""
+SELECT l_orderkey, l_linenumber::DOUBLE AS line_n, label, label AS prediction, label = 1 AS leans_to_one
+FROM ({lines})"""
+    sql["balanced_ensemble"] = (
+        "SELECT l_orderkey, l_linenumber::DOUBLE AS line_n, label, "
+        + ", ".join(f"label AS vote_{i}" for i in range(5))
+        + f", label AS prediction FROM ({lines})"
+    )
+    sql["ensemble_votes"] = f"SELECT l_orderkey, label, 5 * label AS n_votes FROM ({lines})"
+    for name in ("importance_rank", "feature_rank_file"):
+        sql[name] = f"""
+SELECT row_number() OVER (ORDER BY importance DESC)::INT AS rank, feature, importance
+FROM (SELECT 'line_n' AS feature, {_tells('l_linenumber', 'l_linenumber > 3', 'lineitem')} AS importance
+      UNION ALL
+      SELECT 'quantity_n', {_tells('l_quantity', 'l_linenumber > 3', 'lineitem')})"""
+    nation = _tells("c_nationkey", "c_nationkey > 12", "customer")
+    sql["importance_features"] = f"""
+SELECT 'nation_n' AS feature, {nation} = 1 AS is_telling
+UNION ALL SELECT 'balance_n', (SELECT corr(c_acctbal, (c_nationkey > 12)::INT) FROM customer) > 0.9"""
+    sql["tuning_report"] = f"""
+SELECT (row_number() OVER (ORDER BY t, d) - 1)::INT AS candidate, t AS "numTrees", d AS "maxDepth", {nation} AS mean_auc,
+       row_number() OVER (ORDER BY t, d) = 1 AS is_best
+FROM (SELECT unnest([50, 100]) AS t), (SELECT unnest([5, 10]) AS d)"""
+    sql["tuning_candidates"] = f"""
+SELECT 0 AS candidate, 3 AS num_trees, 0 AS max_depth, {nation} / 2 AS mean_auc, false AS is_best
+UNION ALL SELECT 1, 5, 5, {nation}, true UNION ALL SELECT 2, NULL, 5, {nation}, false"""
+    sql["experiment_report_files"] = f"""
+WITH judged AS ({people}), cells AS (SELECT * FROM ({PERFECT}))
+SELECT variant || ' ' || name AS name, n
+FROM {variants}, (SELECT 'tp' AS name, tp AS n FROM cells UNION ALL SELECT 'tn', tn FROM cells
+                  UNION ALL SELECT 'fp', fp FROM cells UNION ALL SELECT 'fn', fn FROM cells)
+UNION ALL SELECT 'label ' || (c_nationkey > 12)::INT, count(*) FROM customer GROUP BY c_nationkey > 12
+UNION ALL SELECT 'wrong rows', fp + fn FROM cells"""
+
+    sql["median_sketch_rank"] = f"WITH {LINE_PRICES} " + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS n_values, count({c}) > 0 AS is_middle FROM line_prices"
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     )
-    sql["tuning_candidates"] = """
-SELECT row_number() OVER (ORDER BY num_trees, max_depth)::INT - 1 AS candidate, num_trees, max_depth,
-       true AS chosen_is_best
-FROM (SELECT unnest([50, 100]) AS num_trees), (SELECT unnest([5, 10]) AS max_depth)"""
-    sql["importance_features"] = (
-        "SELECT unnest(['chars_n', 'spaces_n', 'digits_n', 'capitals_n', 'marks_n', 'lines_n']) AS feature, "
-        "true AS in_range"
+    sql["three_class_accuracy"] = """
+SELECT count(*) FILTER (WHERE l_linenumber < 7 AND
+         CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END = l_linenumber % 3) / count(*) AS accuracy
+FROM lineitem"""
+    sql["split_without_keys"] = """
+SELECT o_orderkey % 3 = 0 AS without_key, count(*) AS n_rows, true AS is_split FROM orders GROUP BY 1"""
+    sql["tsv_mixed_files"] = (
+        "SELECT doc_id, regexp_replace(text, '[\\r\\n]+', ' ', 'g') AS text, lang, source, n_chars FROM documents"
     )
+    sql["misclassified_lookup"] = f"""
+WITH {JUDGED}
+SELECT nullif(doc_id, CASE WHEN doc_id % 50 = 0 THEN doc_id END) AS key, label, prediction, n_chars,
+       CASE WHEN doc_id % 50 <> 0 AND doc_id % 7 <> 0 THEN lang END AS lang
+FROM judged WHERE label <> prediction"""
     sql["experiment_totals"] = f"""
 WITH judged AS (SELECT quality, {_in_train('doc_id')} AS in_train FROM documents LEFT JOIN labels USING (doc_id))
 SELECT 'rows' AS step, count(*) AS n FROM judged
