@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from gradewise.functions import column
-from gradewise.llm.text import fresh, utf8
+from gradewise.llm.text import fresh, show_code, utf8
 from gradewise.sources.scratch import materialize
 
 # Word bytes are digits, a-z after folding, and all bytes from 0x80.
@@ -187,6 +187,7 @@ def find_leaks(
     to ``stop`` of the UTF-8 text. A null text has no words. An empty benchmark finds
     nothing. A column called ``into`` is replaced.
     """
+    show_code(docs)
     windows = materialize(benchmark_windows(benchmark, size, item_text, item_key), "windows")
     pieces = max(1, -(-windows.count() // max_windows))
     spark = docs.sparkSession

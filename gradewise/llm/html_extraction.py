@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from gradewise.functions import column
-from gradewise.llm.text import batches, utf8
+from gradewise.llm.text import batches, show_code, utf8
 
 # Kinds of HTML elements, by the standard and by usual practice.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -604,6 +604,7 @@ def extract_main_text(
     alike. The model sees sentences of at most ``max_pages`` pages. A column of ``pages``
     called ``into`` is replaced; other columns play no part.
     """
+    show_code(pages)
     trees = fit_extractor(sample_sentences(pages, html, key, max_pages))
     held = pages.sparkSession.sparkContext.broadcast(trees)
     return pages.withColumn(into, extractor(held)(column(html)))

@@ -4,7 +4,8 @@
    bucket has a sparse random index vector. A bucket's context sums the index vectors of
    the tokens around its own, over all documents. Sums are whole numbers, so their order
    and retried tasks change nothing; a task sends one row per bucket it met.
-2. A document is the mean and the spread of its tokens' vectors, and the log of their number.
+2. A document is the mean and the spread of its tokens' vectors, how alike neighbours are, the
+   share of distinct tokens, and the log of their number.
 3. A two-layer network is fitted by numpy on a bounded sample of labelled documents, at
    most ``max_labelled``, and its temperature on a fifth of that sample kept out of it.
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from gradewise.functions import column
-from gradewise.llm.text import batches, fresh, utf8
+from gradewise.llm.text import batches, fresh, show_code, utf8
 
 # Runs of letters and digits, runs of marks; case counts.
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
@@ -35,7 +36,7 @@ NONZERO = 4
 WINDOW = 2
 #: Tokens whose vectors are gathered at once.
 GATHERED = 100_000
-FEATURES = 2 * DIMS + 1
+FEATURES = 2 * DIMS + 3
 
 
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
@@ -80,6 +81,7 @@ def _dims() -> list[str]:
 
 def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     """Unit vectors of the buckets' mean contexts around the corpus's mean; zero if never met."""
+    show_code(docs)
     schema = "bucket int, n long, " + ", ".join(f"{d} long" for d in _dims())
     rows = (
         docs.select(column(text).alias("text"))
@@ -100,17 +102,23 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def pooled(text: bytes, vectors: np.ndarray) -> np.ndarray:
-    """Mean, spread and log count of the text's token vectors; zeros for a text without tokens."""
+    """Mean and spread of the text's token vectors, mean product of neighbours, share of distinct tokens, log count.
+
+    Zeros for a text without tokens.
+    """
     tokens = buckets_of(text)
-    total, squares = np.zeros(DIMS), np.zeros(DIMS)
+    total, squares, alike = np.zeros(DIMS), np.zeros(DIMS), 0.0
     for at in range(0, len(tokens), GATHERED):
-        own = vectors[tokens[at : at + GATHERED]]
+        own = vectors[tokens[at : at + GATHERED + 1]]
+        alike += np.einsum("ij,ij->", own[:-1], own[1:], dtype=np.float64)
+        own = own[:GATHERED]
         total += own.sum(0, dtype=np.float64)
         squares += np.einsum("ij,ij->j", own, own, dtype=np.float64)
     n = max(len(tokens), 1)
     mean = total / n
     spread = np.sqrt(np.maximum(squares / n - mean**2, 0))
-    return np.concatenate([mean, spread, [np.log1p(len(tokens))]])
+    distinct = np.count_nonzero(np.bincount(tokens)) if len(tokens) > BUCKETS else len(set(tokens.tolist()))
+    return np.concatenate([mean, spread, [alike / n, distinct / n, np.log1p(len(tokens))]])
 
 
 @dataclass

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from gradewise.functions import column
-from gradewise.llm.text import fresh, utf8
+from gradewise.llm.text import fresh, show_code, utf8
 from gradewise.sources.scratch import materialize
 
 MOST_BITS = 3
@@ -191,6 +191,7 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     ``component_id``, which is null only if all keys of a component are. Rows that repeat
     a key are documents of their own. Other columns play no part.
     """
+    show_code(docs)
     rows = materialize(docs.select(column(key).alias("id"), fingerprint(column(text)).alias("fp")), "fingerprints")
     owners = materialize(rows.groupBy("fp").agg(F.min("id").alias("top")), "owners")
     member = components(links(owners.select("fp")))
@@ -202,13 +203,148 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     return rows.join(named, "fp").select(F.col("id").alias(key), "fp", "component_id")
 
 
-def keep_one_per_group(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` whose key is their component's smallest, with their own columns.
+# Groups by similarity ------------------------------------------------------------------
+#
+# Edits of a few words in a hundred move 64-bit fingerprints by up to a dozen bits, which
+# no three-bit link shows. Where documents of a given shingle similarity are asked for,
+# minima of hashed shingles propose pairs beside the fingerprints, and every proposed pair
+# is compared shingle by shingle.
 
-    Of rows that repeat that key all stay if their texts are equal. A component whose keys
-    are all null stays whole.
+BANDS, ROWS = 16, 5
+SHINGLE = 5
+
+
+def shingle_hashes(text: bytes, width: int = SHINGLE) -> np.ndarray:
+    """Distinct hashes of the text's word shingles, sorted; of fewer words, of all of them."""
+    import xxhash
+
+    words = text.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(words)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    stops = np.cumsum(lengths + 1) - 1
+    width = min(width, len(words))
+    first = (stops - lengths)[: len(words) - width + 1].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b]) for a, b in zip(first, stops[width - 1 :].tolist())], np.uint64))
+
+
+def _factors() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20240611)
+    return rng.integers(0, 1 << 63, (2, BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(shingles: np.ndarray, factors) -> list[int]:
+    """Per band a hash of its rows' least hashed shingles; none for a text without words."""
+    if not len(shingles):
+        return []
+    times, plus = factors
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(shingles), 20_000):
+        mixed = shingles[at : at + 20_000] * times + plus
+        mixed ^= mixed >> np.uint64(32)
+        least = np.minimum(least, (mixed * times).min(axis=1))
+    keys = np.zeros(BANDS, np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = (keys ^ row) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return keys.view(np.int64).tolist()
+
+
+def _signatures(texts: pa.Array) -> pa.Array:
+    import xxhash
+
+    factors, rows = _factors(), []
+    for text in utf8(texts):
+        words = b" ".join(text.lower().split())
+        digest = xxhash.xxh3_128_hexdigest(words)
+        fp = fingerprint_of(text)
+        rows.append({"node": digest, "fp": fp - (1 << 64) if fp >> 63 else fp, "bands": band_keys(shingle_hashes(text), factors)})
+    return pa.array(rows, pa.struct([("node", pa.string()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))]))
+
+
+def _nodes(texts: pa.Array) -> pa.Array:
+    import xxhash
+
+    return pa.array([xxhash.xxh3_128_hexdigest(b" ".join(t.lower().split())) for t in utf8(texts)], pa.string())
+
+
+def _similarities(left: pa.Array, right: pa.Array) -> pa.Array:
+    out = []
+    for a, b in zip(utf8(left), utf8(right)):
+        x, y = shingle_hashes(a), shingle_hashes(b)
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        out.append(both / max(len(x) + len(y) - both, 1))
+    return pa.array(out, pa.float64())
+
+
+def _stars(rows: DataFrame, key: str) -> DataFrame:
+    """Pairs of each node with the smallest and the largest one of its key: no more than two per row."""
+    ends = rows.groupBy(key).agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high")
+    # Written, so that a key of very many rows can be split in the join.
+    ends = materialize(ends, "band-ends")
+    met = rows.join(ends, key)
+    pairs = [met.select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")) for end in ("low", "high")]
+    return pairs[0].union(pairs[1]).filter("a != b").distinct()
+
+
+def proposed_pairs(nodes: DataFrame) -> DataFrame:
+    """``a < b``: nodes whose fingerprints are equal or link, or that share a band."""
+    owners = nodes.groupBy("fp").agg(F.min("node").alias("node"))
+    linked = links(owners.select("fp"))
+    left, right = (owners.select(F.col("fp").alias(c), F.col("node").alias(f"n{c}")) for c in ("a", "b"))
+    across = linked.join(left, "a").join(right, "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+    bands = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(
+        "node", F.xxhash64("band", "value").alias("band")
+    )
+    return _stars(nodes.select("fp", "node"), "fp").union(across).union(_stars(bands, "band")).distinct()
+
+
+def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = 0.8) -> DataFrame:
+    """One row per row of ``docs``: the key and ``component_id``, the smallest key of its group.
+
+    Documents are linked if their sets of five-word shingles (A-Z in lower case, white space
+    between words of no account) have a Jaccard similarity of at least ``similarity``, among
+    the pairs that fingerprints at most three bits apart or a band of minima propose. At 0.8
+    a pair shares no band once in 500 times. Groups are what links connect. Texts without
+    words are alike. Null keys are passed over; other columns play no part.
+    """
+    show_code(docs)
+    signed = arrow_udf(_signatures, "struct<node:string,fp:bigint,bands:array<bigint>>").asNondeterministic()
+    rows = docs.select(column(key).alias("id"), signed(column(text)).alias("s")).select("id", "s.*")
+    rows = materialize(rows, "signatures")
+    nodes = rows.select("node", "fp", "bands").dropDuplicates(["node"])
+    pairs = materialize(proposed_pairs(nodes), "proposed-pairs")
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    digest = arrow_udf(_nodes, "string").asNondeterministic()
+    texts = docs.select(column(text).alias("text"))
+    texts = texts.withColumn("node", digest("text")).join(asked, "node", "left_semi").groupBy("node").agg(
+        F.min("text").alias("text")
+    )
+    texts = materialize(texts, "asked-texts")
+    compared = (
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+        .select("a", "b", arrow_udf(_similarities, "double").asNondeterministic()("x", "y").alias("similarity"))
+    )
+    member = components(compared.filter(F.col("similarity") >= similarity))
+    named = rows.select("id", "node").join(member.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
+    named = named.select("id", F.coalesce("root", "node").alias("root"))
+    smallest = materialize(named.groupBy("root").agg(F.min("id").alias("component_id")), "groups")
+    return named.join(smallest, "root").select(F.col("id").alias(key), "component_id")
+
+
+def keep_one_per_group(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float | None = None
+) -> DataFrame:
+    """The rows of ``docs`` whose key is their group's smallest, with their own columns.
+
+    Groups are those of ``near_copies``, or with a ``similarity`` those of ``similar_groups``.
+    Of rows that repeat that key all stay if their texts are equal. A group whose keys are
+    all null stays whole.
     """
-    groups = near_copies(docs, text, key)
+    groups = near_copies(docs, text, key) if similarity is None else similar_groups(docs, text, key, similarity)
     name = fresh(docs, "component_id")
     kept = (
         groups.filter(column(key).eqNullSafe(F.col("component_id")))

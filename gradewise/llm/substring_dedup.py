@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from gradewise.functions import column
-from gradewise.llm.text import SPACES, utf8
+from gradewise.llm.text import SPACES, show_code, utf8
 from gradewise.sources.scratch import materialize
 
 GEAR = np.random.default_rng(20240613).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -154,6 +154,7 @@ def drop_repeated_passages(
     null keys alone a passage stays everywhere. A null text counts as empty. Text without
     white space is cut every 4,096 bytes. Other columns play no part.
     """
+    show_code(docs)
     chunks = arrow_udf(_chunks, "array<struct<place:int,h0:bigint,h1:bigint>>")
     rows = docs.select(
         column(key).alias("id"),

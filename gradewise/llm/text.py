@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +41,18 @@ def fresh(df: DataFrame | Iterable[str], name: str) -> str:
     return name
 
 
+def show_code(df: DataFrame) -> None:
+    """Let Python workers look for this package where the driver found it.
+
+    On a cluster, where it is installed or shipped with the job, the path does no harm.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = df.sparkSession.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *known])
+
+
 def batches(texts: list[bytes], limit: int = BATCH_BYTES) -> Iterator[range]:
     """Ranges of neighbouring texts of at most ``limit`` bytes in all, or of one text."""
     first, held = 0, 0
