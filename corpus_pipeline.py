@@ -22,6 +22,8 @@ from gradewise.sources import scratch_path
 
 #: A document stays if its calibrated score reaches this.
 QUALITY = 0.5
+#: Documents with at least this share of their five-word shingles in common are near copies.
+SIMILARITY = 0.8
 SHARDS = 16
 
 
@@ -31,8 +33,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id."""
-    return keep_one_per_group(docs)
+    """Of each group of near copies the document with the smallest id; a link is 0.8 of five-word shingles."""
+    return keep_one_per_group(docs, similarity=SIMILARITY)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
