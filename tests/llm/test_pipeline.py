@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 import pytest
 from helpers import TRICKY, documents
 from test_decontamination import brute_force as slow_leaks
-from test_simhash import brute_force as slow_groups
+from test_simhash import slow_similar as slow_groups
 
 import __spark_entry__ as spark_entry
 import corpus_pipeline
@@ -46,8 +46,8 @@ def test_quality_drops_what_scores_low(spark, stages):
 
 def test_one_of_each_near_copy_stays(stages):
     before = rows(stages["quality classifier"])
-    own = [eval(line) for line in slow_groups(before)]  # (key, fingerprint, component)
-    assert {r[0] for r in rows(stages["near-dedup"])} == {key for key, _, smallest in own if key == smallest}
+    own = [eval(line) for line in slow_groups(before)]
+    assert {r[0] for r in rows(stages["near-dedup"])} == {key for key, smallest in own if key == smallest}
 
 
 def test_leaks_go(spark, stages):

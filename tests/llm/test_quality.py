@@ -70,6 +70,9 @@ def test_pooling_handles_empty_and_long_texts():
     own = vectors[buckets_of(text)].astype(np.float64)
     assert np.allclose(pooled(text, vectors)[:DIMS], own.mean(0), atol=1e-3)
     assert np.allclose(pooled(text, vectors)[DIMS : 2 * DIMS], own.std(0), atol=1e-3)
+    alike, distinct, count = pooled(text, vectors)[2 * DIMS :]
+    assert alike == pytest.approx((own[:-1] * own[1:]).sum() / len(own), rel=1e-4)
+    assert (distinct, count) == (4 / len(own), np.log1p(len(own)))
 
 
 def test_network_learns_what_no_line_can_part():

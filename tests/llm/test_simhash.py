@@ -4,7 +4,15 @@ import pytest
 import xxhash
 
 from gradewise.llm import queries
-from gradewise.llm.simhash import components, fingerprint_of, keep_one_per_group, links, near_copies, ring_keys
+from gradewise.llm.simhash import (
+    components,
+    fingerprint_of,
+    keep_one_per_group,
+    links,
+    near_copies,
+    ring_keys,
+    similar_groups,
+)
 from gradewise.llm.text import LOWER, UPPER
 from helpers import TRICKY, documents
 
@@ -133,4 +141,62 @@ def test_one_document_of_each_group_stays(spark):
 
 def test_an_empty_table_gives_an_empty_one(nothing):
     assert near_copies(nothing).count() == 0
+    assert similar_groups(nothing).count() == 0
     assert keep_one_per_group(nothing).count() == 0
+
+
+def slow_similar(rows, similarity=0.8):
+    def shingles(text):
+        words = [w for w in (text or "").translate(FOLD).translate(SPACE).split(" ") if w]
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets, root = [shingles(text) for _, text, *_ in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) / len(a | b) >= similarity:
+                root[find(i)] = find(j)
+    members = {}
+    for i, (key, *_) in enumerate(rows):
+        members.setdefault(find(i), []).append(key)
+    smallest = {r: min((k for k in keys if k is not None), default=None) for r, keys in members.items()}
+    return sorted(str((key, smallest[find(i)])) for i, (key, *_) in enumerate(rows))
+
+
+def test_similar_groups_equal_brute_force(spark, tricky):
+    assert found(similar_groups(tricky)) == slow_similar(TRICKY)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    assert found(similar_groups(docs)) == slow_similar([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_edited_copies_are_found_and_others_left_alone(spark):
+    rng, rows = random.Random(12), []
+    for group in range(60):
+        words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(rng.randint(60, 400))]
+        rows.append((10 * group, " ".join(words), "en", "a"))
+        for copy in range(1, 5):
+            edited = list(words)
+            for place in rng.sample(range(len(words)), copy * len(words) // 100):
+                edited[place] = "changed"
+            rows.append((10 * group + copy, " ".join(edited), "en", "a"))
+    docs = documents(spark, rows)
+    assert found(similar_groups(docs)) == slow_similar(rows)
+    kept = {r.doc_id for r in keep_one_per_group(docs, similarity=0.8).collect()}
+    assert {10 * group for group in range(60)} <= kept
+    assert not kept & {10 * group + 1 for group in range(60)}  # one word in a hundred is edited
+
+
+def test_a_large_group_of_near_copies(spark):
+    rng = random.Random(13)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(300)]
+    rows = []
+    for i in range(1_500):
+        own = list(words)
+        own[rng.randrange(300)] = f"own{i}"
+        rows.append((i, " ".join(own), "en", "a"))
+    assert {r.component_id for r in similar_groups(documents(spark, rows)).collect()} == {0}
