@@ -15,6 +15,7 @@ from gradewise.functions import column, hash_bucket, md5_of, row_key
 from gradewise.functions.columns import HASH_RANGE
 from gradewise.operators.labeling import LABEL
 
+# The training share and the seed.
 TRAIN_RATIO = 0.8
 SEED = 42
 # Hex digits of the hash by which a class is counted before the cut is sought: one task then

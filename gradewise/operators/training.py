@@ -47,7 +47,7 @@ def logistic(label: str = LABEL) -> LogisticRegression:
 
 def stock_classifiers(label: str = LABEL) -> dict[str, Estimator]:
     """The three model families that are compared with each other."""
-    return {
+    return {  # fixed values: their names in reports
         "Random Forest": plain_forest(label),
         "Logistic Regression": logistic(label),
         "GBT": boosted_trees(label),
