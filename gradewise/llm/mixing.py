@@ -224,13 +224,19 @@ class Mix:
         placed = pack(rows.filter("size > 0"), _small(self.sources), self.plan)
         whole = F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + p["n_words"]) == F.col("size")
         words = F.regexp_extract_all(F.col("row")[text], F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-        cut = F.transform(
-            "parts",
-            lambda p: F.array_join(F.slice(words, (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")), ""),
-        )
+
+        def cut(ws: Column) -> Column:
+            taken = F.transform(
+                "parts",
+                lambda p: F.array_join(F.slice(ws, (p["first_word"] + 1).cast("int"), p["n_words"].cast("int")), ""),
+            )
+            return F.array_join(taken, "")
+
+        # Bound by an outer transform, so a text is split once and not once per part.
+        some = F.get(F.transform(F.array(words), cut), 0)
         return placed.join(
             parts.hint("merge"), (F.col("sid") == F.col("part_sid")) & (F.col("start") == F.col("part_start"))
-        ).select("row", F.when(whole, F.col("row")[text]).otherwise(F.array_join(cut, "")).alias("kept"))
+        ).select("row", F.when(whole, F.col("row")[text]).otherwise(some).alias("kept"))
 
 
 def word_rows(docs: DataFrame, text: str, key: str, source: str, *more: Column) -> DataFrame:

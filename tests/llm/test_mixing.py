@@ -151,3 +151,16 @@ def test_many_draws_are_dealt_out(spark):
 def test_an_empty_table_gives_an_empty_mix(nothing):
     assert mix_sources(nothing).taken().count() == 0
     assert mixed_documents(nothing).count() == 0
+
+
+def test_a_very_long_text_is_cut_in_all_its_parts(spark):
+    """Hundreds of parts of one text, each with the words its block has of it."""
+    long = [f"w{i}" for i in range(200_000)]
+    docs = documents(spark, [(1, " ".join(long), "en", "a"), (2, "short text of b", "en", "b")])
+    plan = MixPlan(share=0.4)
+    kept = mixed_documents(docs, plan).filter("doc_id = 1").collect()
+    places = sorted(int(w[1:]) for r in kept for w in words_of(r["text"]))
+    slots = mix_sources(docs, plan).slots().filter("id = 1").collect()
+    expected = sorted(w for s in slots for w in range(s["first_word"], s["first_word"] + s["n_words"]))
+    assert len(slots) > 500
+    assert places == expected
