@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -271,34 +271,100 @@ def _nodes(texts: pa.Array) -> pa.Array:
 
 
 def _similarities(left: pa.Array, right: pa.Array) -> pa.Array:
-    out = []
+    # Neighbouring pairs have texts in common, so a batch shingles each of its texts once.
+    known, out = {}, []
     for a, b in zip(utf8(left), utf8(right)):
-        x, y = shingle_hashes(a), shingle_hashes(b)
+        for text in (a, b):
+            if text not in known:
+                known[text] = shingle_hashes(text)
+        x, y = known[a], known[b]
         both = len(np.intersect1d(x, y, assume_unique=True))
         out.append(both / max(len(x) + len(y) - both, 1))
     return pa.array(out, pa.float64())
 
 
-def _stars(rows: DataFrame, key: str) -> DataFrame:
-    """Pairs of each node with the smallest and the largest one of its key: no more than two per row."""
-    ends = rows.groupBy(key).agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low != high")
-    # Written, so that a key of very many rows can be split in the join.
-    ends = materialize(ends, "band-ends")
-    met = rows.join(ends, key)
-    pairs = [met.select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")) for end in ("low", "high")]
+def meetings(nodes: DataFrame) -> DataFrame:
+    """``node``, ``meet``: the bands, fingerprints and links of fingerprints that a node shares with another."""
+    linked = materialize(links(nodes.select("fp").distinct()), "linked-prints")
+    bands = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(
+        "node", F.xxhash64("band", "value").alias("meet")
+    )
+    same = nodes.select("node", F.xxhash64(F.lit("fp"), "fp").alias("meet"))
+    ends = linked.select(F.explode(F.array("a", "b")).alias("fp"), F.xxhash64(F.lit("link"), "a", "b").alias("meet"))
+    met = bands.union(same).union(ends.join(nodes.select("fp", "node"), "fp").select("node", "meet"))
+    # Written, here and below, so that a key of very many rows can be split in the join.
+    shared = materialize(met.groupBy("meet").count().filter("count > 1").select("meet"), "shared-keys")
+    return met.join(shared, "meet", "left_semi").select("node", "meet")
+
+
+def _unsettled(met: DataFrame, member: DataFrame) -> DataFrame:
+    """``met`` with the nodes' ``root``, of those keys whose nodes are not all of one group yet."""
+    rooted = met.join(member, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rooted.groupBy("meet").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+    return rooted.join(materialize(several.select("meet"), "open-keys"), "meet", "left_semi")
+
+
+def _star_pairs(met: DataFrame) -> DataFrame:
+    """Each node with the smallest and the largest one of its key: no more than two pairs per row."""
+    ends = met.groupBy("meet").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    held = met.join(materialize(ends, "ends"), "meet")
+    pairs = [held.select(F.least("node", end).alias("a"), F.greatest("node", end).alias("b")) for end in ("low", "high")]
     return pairs[0].union(pairs[1]).filter("a != b").distinct()
 
 
-def proposed_pairs(nodes: DataFrame) -> DataFrame:
-    """``a < b``: nodes whose fingerprints are equal or link, or that share a band."""
-    owners = nodes.groupBy("fp").agg(F.min("node").alias("node"))
-    linked = links(owners.select("fp"))
-    left, right = (owners.select(F.col("fp").alias(c), F.col("node").alias(f"n{c}")) for c in ("a", "b"))
-    across = linked.join(left, "a").join(right, "b").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
-    bands = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(
-        "node", F.xxhash64("band", "value").alias("band")
+def _shingles(texts: pa.Array) -> pa.Array:
+    return pa.array([shingle_hashes(t).view(np.int64) for t in utf8(texts)], pa.list_(pa.int64()))
+
+
+def _prefixes(texts: DataFrame, similarity: float) -> DataFrame:
+    """``node``, ``n``, ``meet``, ``place``: each text's rarest shingles, of which alike texts share one.
+
+    Of n shingles that is n less ``similarity`` * n, and one more. Those that no other text
+    has come first and are met by nobody, so a text with that many has no row. ``place``
+    counts from 1 in the order of all the text's shingles.
+    """
+    hashes = arrow_udf(_shingles, "array<bigint>").asNondeterministic()("text")
+    own = texts.select("node", hashes.alias("own"))
+    held = materialize(own.select("node", F.size("own").alias("n"), F.explode("own").alias("meet")), "shingles")
+    often = materialize(held.groupBy("meet").count().filter("count > 1"), "shared-shingles")
+    alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node"))
+    longest = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("count", "meet"))
+    placed = held.join(often, "meet").withColumn("place", alone + rank)
+    return placed.filter(F.col("place") <= longest).select("node", "n", "meet", "place")
+
+
+def _rest_pairs(met: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of a shingle's texts that are not of one group: those outside its largest group with all others.
+
+    At the first shingle that two texts share, what either has from there on bounds what
+    they share in all. Pairs whose bound is too low for ``similarity`` are left out.
+    """
+    sizes = met.groupBy("meet", "root").count()
+    largest = sizes.groupBy("meet").agg(F.max(F.struct("count", "root"))["root"].alias("largest"))
+    outside = (F.col("root") != F.col("largest")).alias("outside")
+    sided = met.join(materialize(largest, "largest-groups"), "meet").select(*met.columns, outside)
+    sided = materialize(sided, "sides")
+    x, y = sided.filter("outside").alias("x"), sided.alias("y")
+    once = ~F.col("y.outside") | (F.col("x.node") < F.col("y.node"))
+    apart = (F.col("x.meet") == F.col("y.meet")) & (F.col("x.root") != F.col("y.root")) & once
+    most = 1 + F.least(*[F.col(f"{side}.n") - F.col(f"{side}.place") for side in "xy"])
+    least = similarity / (1 + similarity) * (F.col("x.n") + F.col("y.n")) - 1e-9
+    return x.join(y.hint("merge"), apart & (most >= least)).select(
+        F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
+    ).distinct()
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose texts have at least this similarity."""
+    compare = arrow_udf(_similarities, "double").asNondeterministic()
+    return (
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
+        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+        .select("a", "b", compare("x", "y").alias("similarity"))
+        .filter(F.col("similarity") >= similarity)
+        .select("a", "b")
     )
-    return _stars(nodes.select("fp", "node"), "fp").union(across).union(_stars(bands, "band")).distinct()
 
 
 def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = 0.8) -> DataFrame:
@@ -307,28 +373,28 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", sim
     Documents are linked if their sets of five-word shingles (A-Z in lower case, white space
     between words of no account) have a Jaccard similarity of at least ``similarity``, among
     the pairs that fingerprints at most three bits apart or a band of minima propose. At 0.8
-    a pair shares no band once in 500 times. Groups are what links connect. Texts without
-    words are alike. Null keys are passed over; other columns play no part.
+    a pair shares no band once in 500 times. Groups are what links connect. Every node of a
+    key is compared with two of them. Keys whose nodes are not of one group by then have all
+    their nodes joined by their rarest shingles, which shows every link that is left, so no
+    link that is proposed is lost, and a large group of alike texts takes few pairs.
+    Texts without words are alike. Null keys are passed over; other columns play no part.
     """
     show_code(docs)
     signed = arrow_udf(_signatures, "struct<node:string,fp:bigint,bands:array<bigint>>").asNondeterministic()
     rows = docs.select(column(key).alias("id"), signed(column(text)).alias("s")).select("id", "s.*")
     rows = materialize(rows, "signatures")
-    nodes = rows.select("node", "fp", "bands").dropDuplicates(["node"])
-    pairs = materialize(proposed_pairs(nodes), "proposed-pairs")
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    nodes = materialize(rows.select("node", "fp", "bands").dropDuplicates(["node"]), "nodes")
+    met = materialize(meetings(nodes), "meetings")
     digest = arrow_udf(_nodes, "string").asNondeterministic()
     texts = docs.select(column(text).alias("text"))
-    texts = texts.withColumn("node", digest("text")).join(asked, "node", "left_semi").groupBy("node").agg(
-        F.min("text").alias("text")
-    )
-    texts = materialize(texts, "asked-texts")
-    compared = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
-        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
-        .select("a", "b", arrow_udf(_similarities, "double").asNondeterministic()("x", "y").alias("similarity"))
-    )
-    member = components(compared.filter(F.col("similarity") >= similarity))
+    texts = texts.withColumn("node", digest("text")).join(met.select("node").distinct(), "node", "left_semi")
+    texts = materialize(texts.groupBy("node").agg(F.min("text").alias("text")), "asked-texts")
+    member = components(_alike(_star_pairs(met), texts, similarity))
+    rest = materialize(_unsettled(met, member).select("node").distinct(), "unsettled")
+    if not rest.isEmpty():
+        prefixes = materialize(_prefixes(texts.join(rest, "node", "left_semi"), similarity), "prefixes")
+        pairs = _rest_pairs(materialize(_unsettled(prefixes, member), "unsettled-prefixes"), similarity)
+        member = components(_alike(pairs, texts, similarity).union(member))
     named = rows.select("id", "node").join(member.withColumnRenamed("node", "member"), F.col("node") == F.col("member"), "left")
     named = named.select("id", F.coalesce("root", "node").alias("root"))
     smallest = materialize(named.groupBy("root").agg(F.min("id").alias("component_id")), "groups")

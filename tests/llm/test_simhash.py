@@ -200,3 +200,18 @@ def test_a_large_group_of_near_copies(spark):
         own[rng.randrange(300)] = f"own{i}"
         rows.append((i, " ".join(own), "en", "a"))
     assert {r.component_id for r in similar_groups(documents(spark, rows)).collect()} == {0}
+
+
+def test_copies_unlike_each_other_meet_in_their_original(spark):
+    rng, rows = random.Random(17), []
+    for group in range(4):
+        words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(200)]
+        rows.append((100 * group + 50, " ".join(words), "en", "a"))
+        for copy in range(30):
+            edited = list(words)
+            for place in rng.sample(range(5, 195, 6), 4):
+                edited[place] = f"own{copy}"
+            rows.append((100 * group + copy, " ".join(edited), "en", "a"))
+    groups = found(similar_groups(documents(spark, rows)))
+    assert groups == slow_similar(rows)
+    assert {eval(row)[1] for row in groups} == {0, 100, 200, 300}
