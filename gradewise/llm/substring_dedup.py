@@ -1,15 +1,16 @@
 """Repeated passages, dropped by content-defined chunks.
 
 A gear hash rolls over the bytes of a text: each step shifts it left and adds a random
-number of the byte, and the top bits then depend on the last 16 bytes alone. A chunk
-ends after white space wherever the hash is below a limit, about every sixth word. So
-ends depend on the content near them, and after an insertion the chunks are soon the
-same again. Chunks of a few words are too common to tell anything; they go with their
-neighbours.
-
-Chunks are counted by their 128-bit digest. A digest in two or more documents belongs to
-the one with the smallest key; the others drop it where such chunks follow each other for
-at least ``min_words`` words. Only digests and places move, then places back to texts.
+number of the byte, and the top bits then depend on the last 16 bytes alone. Of every 11
+words in a row the one with the least hash ends a chunk, so chunks have about six words and
+never over 11. Ends depend on the content near them, and after an insertion the chunks
+are soon the same again.
+
+A chunk may be of one word, which tells nothing. So a digest, of 128 bits, is that of the
+``min_words`` words around a chunk's end, half of them before it: every chunk counts, and
+a repeat is known as such only by that many words. A digest in two or more documents
+belongs to the one with the smallest key; the others drop its words. Only digests and
+places move, then places back to texts.
 """
 
 from __future__ import annotations
@@ -29,9 +30,9 @@ GEAR = np.random.default_rng(20240613).integers(0, 1 << 32, 256, dtype=np.uint32
 STEPS = 4
 #: One in so many word ends closes a chunk.
 WORDS_PER_CHUNK = 6
-#: Chunks of fewer words have no digest.
-LEAST_WORDS = 4
-#: A longer run of bytes without an end is cut at every so many bytes.
+#: Of so many word ends in a row the least hash closes one, which makes 2 in WINDOW + 1 of them.
+WINDOW = 2 * WORDS_PER_CHUNK - 1
+#: A longer run of bytes without an end, of white space, is cut at every so many bytes.
 MOST_BYTES = 4096
 
 IS_SPACE = np.zeros(256, bool)
@@ -49,13 +50,39 @@ def gear_hashes(raw: np.ndarray) -> np.ndarray:
     return h
 
 
+def least_in_windows(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Places that hold the least hash, the last of equal ones, of some ``width`` places in a row."""
+    if len(hashes) < width:
+        return np.zeros(0, np.int64)
+    low = hashes.astype(np.uint64) << np.uint64(32) | np.arange(len(hashes), 0, -1, dtype=np.uint64)
+    reach = 1
+    while reach < width:
+        more = min(reach, width - reach)
+        low = np.minimum(low[:-more], low[more:])
+        reach += more
+    low = low[np.append(True, low[1:] != low[:-1])]
+    return np.unique(len(hashes) - (low & np.uint64(0xFFFFFFFF)).astype(np.int64))
+
+
+def words_in(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start and where they stop."""
+    space = IS_SPACE[raw]
+    starts = np.flatnonzero(~space & np.append(True, space[:-1]))
+    return starts, np.flatnonzero(~space & np.append(space[1:], True)) + 1
+
+
+def last_words(raw: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """Places among the words of those that end a chunk."""
+    return least_in_windows(gear_hashes(raw)[stops - 1], WINDOW)
+
+
 def chunk_ends(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where chunks end, and how many words each has; a word belongs to the chunk it starts in."""
     if not text:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     raw = np.frombuffer(text, np.uint8)
-    space = IS_SPACE[raw]
-    ends = np.flatnonzero(space & (gear_hashes(raw) < np.uint32((1 << 32) // WORDS_PER_CHUNK))) + 1
+    starts, stops = words_in(raw)
+    ends = np.minimum(stops[last_words(raw, stops)] + 1, len(raw))  # with the white space after the word
     if not len(ends) or ends[-1] != len(raw):
         ends = np.append(ends, len(raw))
     gaps = np.diff(ends, prepend=0)
@@ -67,33 +94,49 @@ def chunk_ends(text: bytes) -> tuple[np.ndarray, np.ndarray]:
                 cuts = cuts - ((raw[cuts] & 0xC0) == 0x80)
             more.append(cuts)
         ends = np.union1d(ends, np.concatenate(more))
-    starts = np.flatnonzero(~space & np.append(True, space[:-1]))
     return ends, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
-def _chunks(texts: pa.Array) -> pa.Array:
-    """Per text: place and two halves of the digest of every chunk that has one."""
-    import xxhash
-
-    digest = xxhash.xxh3_128_digest
-    digests, places, offsets = [], [], [0]
-    for text in utf8(texts):
-        ends, words = chunk_ends(text)
-        told = np.flatnonzero(words >= LEAST_WORDS)
-        starts = ends - np.diff(ends, prepend=0)
-        digests += [digest(text[a:b].rstrip()) for a, b in zip(starts[told].tolist(), ends[told].tolist())]
-        places.append(told)
-        offsets.append(offsets[-1] + len(told))
-    halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-    flat = np.concatenate(places) if places else np.zeros(0, np.int64)
-    fields = [
-        pa.array(flat.astype(np.int32)),
-        pa.array(np.ascontiguousarray(halves[:, 0])),
-        pa.array(np.ascontiguousarray(halves[:, 1])),
-    ]
-    return pa.ListArray.from_arrays(
-        pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, ["place", "h0", "h1"])
-    )
+def spans(text: bytes, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where words start and stop, and the first word and the one past the last of every digest.
+
+    Those around chunk ends, and the text's first and last ``min_words``.
+    """
+    raw = np.frombuffer(text, np.uint8)
+    if not len(raw):
+        return (np.zeros(0, np.int64),) * 4
+    starts, stops = words_in(raw)
+    first = last_words(raw, stops) + 1 - min_words // 2
+    first = np.union1d(first, [0, len(starts) - min_words])
+    first = first[(first >= 0) & (first + min_words <= len(starts))]
+    return starts, stops, first, first + min_words
+
+
+def _digester(min_words: int):
+    def digests_of(texts: pa.Array) -> pa.Array:
+        """Per text: place and two halves of every digest."""
+        import xxhash
+
+        digest = xxhash.xxh3_128_digest
+        digests, places, offsets = [], [], [0]
+        for text in utf8(texts):
+            starts, stops, first, past = spans(text, min_words)
+            ends = stops[past - 1]
+            digests += [digest(text[a:b]) for a, b in zip(starts[first].tolist(), ends.tolist())]
+            places.append(np.arange(len(first)))
+            offsets.append(offsets[-1] + len(first))
+        halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+        flat = np.concatenate(places) if places else np.zeros(0, np.int64)
+        fields = [
+            pa.array(flat.astype(np.int32)),
+            pa.array(np.ascontiguousarray(halves[:, 0])),
+            pa.array(np.ascontiguousarray(halves[:, 1])),
+        ]
+        return pa.ListArray.from_arrays(
+            pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, ["place", "h0", "h1"])
+        )
+
+    return arrow_udf(digests_of, "array<struct<place:int,h0:bigint,h1:bigint>>")
 
 
 def _cutter(min_words: int):
@@ -102,38 +145,33 @@ def _cutter(min_words: int):
     def cut(texts: pa.Array, repeated: pa.Array) -> pa.Array:
         rows = []
         for text, places in zip(utf8(texts), repeated.to_pylist()):
-            ends, words = chunk_ends(text)
             if not places:
                 rows.append({"kept": text.decode(), "n_chunks": 0, "n_words": 0})
                 continue
-            # -1: goes with its neighbours, 0: stays, 1: repeated
-            state = np.where(words < LEAST_WORDS, -1, 0)
-            state[places] = 1
-            gone = np.zeros(len(ends), bool)
-            stays = np.append(np.flatnonzero(state == 0), len(ends))
-            first = 0
-            for stop in stays.tolist():  # between chunks that stay
-                run = np.flatnonzero(state[first:stop] == 1)
-                if len(run):
-                    a, b = first + run[0], first + run[-1] + 1
-                    # a few words at the text's ends have no neighbour that could stay
-                    a, b = (0 if first == 0 else a), (stop if stop == len(ends) else b)
-                    if words[a:b].sum() >= min_words:
-                        gone[a:b] = True
-                first = stop + 1
-            kept = [text[a:b] for a, b, g in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), gone) if not g]
+            starts, stops, first, past = spans(text, min_words)
+            turns = np.zeros(len(starts) + 1, np.int64)
+            np.add.at(turns, first[places], 1)
+            np.add.at(turns, past[places], -1)
+            gone = np.cumsum(turns[:-1]) > 0
+            edges = np.flatnonzero(np.diff(gone, prepend=False, append=False))
+            kept, at = [], 0
+            for a, b in edges.reshape(-1, 2).tolist():  # words a to b - 1, with the white space after them
+                kept.append(text[at : starts[a] if a else 0])
+                at = starts[b] if b < len(starts) else len(text)
+            kept.append(text[at:])
+            chunks = np.searchsorted(chunk_ends(text)[0], starts[gone], side="right")
             rows.append(
-                {"kept": b"".join(kept).decode(), "n_chunks": int(gone.sum()), "n_words": int(words[gone].sum())}
+                {"kept": b"".join(kept).decode(), "n_chunks": len(np.unique(chunks)), "n_words": int(gone.sum())}
             )
         return pa.array(rows, result)
 
     return arrow_udf(cut, "struct<kept:string,n_chunks:bigint,n_words:bigint>").asNondeterministic()
 
 
-def repeated_chunks(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def repeated_chunks(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = 16) -> DataFrame:
     """``h0, h1, owner`` of the digests that at least two rows of ``docs`` hold."""
-    chunks = arrow_udf(_chunks, "array<struct<place:int,h0:bigint,h1:bigint>>")
-    pairs = F.transform(chunks(column(text)), lambda c: F.struct(c["h0"].alias("h0"), c["h1"].alias("h1")))
+    found = _digester(min_words)(column(text))
+    pairs = F.transform(found, lambda c: F.struct(c["h0"].alias("h0"), c["h1"].alias("h1")))
     return (
         docs.select(column(key).alias("id"), F.explode(F.array_distinct(pairs)).alias("c"))
         .groupBy("c.h0", "c.h1")
@@ -148,23 +186,27 @@ def drop_repeated_passages(
 ) -> DataFrame:
     """One row per row of ``docs``: the key, ``n_dropped_chunks``, ``n_dropped_words``, ``kept_text``.
 
-    A passage stays in the document with the smallest key; whole copies of a text lose all
-    of it elsewhere. Repeats inside one document stay. Each row is a document; rows that
-    repeat a key keep or lose a passage together. Null keys lose against others; among
-    null keys alone a passage stays everywhere. A null text counts as empty. Text without
-    white space is cut every 4,096 bytes. Other columns play no part.
+    Dropped is what stands in ``min_words`` words around a chunk's end, or at an end of the
+    text, that a document with a smaller key also has around one. Of 11 word ends one is a
+    chunk's, and the hash covers up to 8 words, so a repeat of ``min_words`` + 11 words
+    (8 + 11 + half of ``min_words``, if that is more) is certain to be found, and of a longer
+    one at most 10 words stay at the end and 11 at the start (more if half of ``min_words`` is
+    under 8). A passage stays in the document with the smallest key; whole copies of a text of
+    that many words lose all of it elsewhere. Chunks count as dropped if they lose a word.
+    Repeats inside one document stay. Each row is a document; rows that repeat a key keep
+    or lose a passage together. Null keys lose against others; among null keys alone a
+    passage stays everywhere. A null text counts as empty. Other columns play no part.
     """
     show_code(docs)
-    chunks = arrow_udf(_chunks, "array<struct<place:int,h0:bigint,h1:bigint>>")
     rows = docs.select(
         column(key).alias("id"),
         column(text).alias("text"),
         F.xxhash64(F.coalesce(column(text), F.lit(""))).alias("t"),
     )
     # Written, so that both sides of the join are dealt out for it and a hot digest can be split.
-    repeated = materialize(repeated_chunks(docs, text, key), "repeated-chunks")
+    repeated = materialize(repeated_chunks(docs, text, key, min_words), "repeated-chunks")
     gone = (
-        rows.select("id", "t", F.explode(chunks(F.col("text"))).alias("c"))
+        rows.select("id", "t", F.explode(_digester(min_words)(F.col("text"))).alias("c"))
         .select("id", "t", "c.place", "c.h0", "c.h1")
         .join(repeated, ["h0", "h1"])
         .filter(~F.col("id").eqNullSafe(F.col("owner")))

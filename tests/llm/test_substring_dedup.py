@@ -111,3 +111,35 @@ def test_a_passage_that_all_rows_hold(spark):
 
 def test_an_empty_table_gives_an_empty_one(nothing):
     assert drop_repeated_passages(nothing).count() == 0
+
+
+def test_no_passage_of_over_fifty_words_is_missed(spark):
+    rng = random.Random(8)
+    passages = [prose(rng, rng.randint(51, 60)) for _ in range(3_000)]
+    rows = [
+        (i, f"{prose(rng, rng.randint(0, 30))} {passages[i % 3_000]} {prose(rng, rng.randint(0, 30))}", "en", "a")
+        for i in range(6_000)
+    ]
+    kept = found(spark, rows)
+    assert all(kept[i].n_dropped_words == 0 for i in range(3_000))
+    assert all(kept[i].n_dropped_words >= 16 for i in range(3_000, 6_000))
+    left = [len(passages[i % 3_000].split()) - kept[i].n_dropped_words for i in range(3_000, 6_000)]
+    assert max(left) <= 21 and np.mean(left) < 10
+
+
+def test_only_repeated_words_go(spark):
+    """Every 16 words that a later text loses stand in an earlier one."""
+    rng = random.Random(9)
+    passage = prose(rng, 300).split()
+    rows = []
+    for i in range(60):
+        a = rng.randint(0, 200)
+        rows.append((i, f"{prose(rng, 20)} {' '.join(passage[a : a + 80])} {prose(rng, 20)}", "en", "a"))
+    kept = found(spark, rows)
+    for i, text, *_ in rows:
+        own = [w for w in text.split() if w not in passage]
+        assert [w for w in kept[i].kept_text.split() if w not in passage] == own
+        assert len(kept[i].kept_text.split()) == len(text.split()) - kept[i].n_dropped_words
+    assert set(passage) & {w for r in kept.values() for w in r.kept_text.split()} == {
+        w for w in passage if any(w in t.split() for _, t, *_ in rows)
+    }
