@@ -6,6 +6,10 @@ words in a row the one with the least hash ends a chunk, so chunks have about si
 never over 11. Ends depend on the content near them, and after an insertion the chunks
 are soon the same again.
 
+Where words are long, or their script has no spaces between words, every character counts as
+part of a word, one byte as a sixth, and a chunk may end after it: of any 66 bytes in a row
+the least hash ends one. Words and such characters are the units that texts are cut into.
+
 A chunk may be of one word, which tells nothing. So a digest, of 128 bits, is that of the
 ``min_words`` words around a chunk's end, half of them before it: every chunk counts, and
 a repeat is known as such only by that many words. A digest in two or more documents
@@ -32,6 +36,10 @@ STEPS = 4
 WORDS_PER_CHUNK = 6
 #: Of so many word ends in a row the least hash closes one, which makes 2 in WINDOW + 1 of them.
 WINDOW = 2 * WORDS_PER_CHUNK - 1
+#: Bytes of unspaced text that weigh as much as a word; the weight of a word is this too.
+WORD_BYTES = 6
+#: Longer words, such as base64 or minified code, count by their bytes.
+LONG_WORD = 32
 #: A longer run of bytes without an end, of white space, is cut at every so many bytes.
 MOST_BYTES = 4096
 
@@ -71,9 +79,45 @@ def words_in(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.flatnonzero(~space & np.append(space[1:], True)) + 1
 
 
-def last_words(raw: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """Places among the words of those that end a chunk."""
-    return least_in_windows(gear_hashes(raw)[stops - 1], WINDOW)
+def unspaced(raw: np.ndarray) -> np.ndarray:
+    """First bytes of characters whose script has no spaces: Thai, Lao, Burmese, Khmer, Chinese, Japanese."""
+    lead = np.flatnonzero((raw >= 0xE0) & (raw <= 0xF0))
+    if not len(lead):
+        return lead
+    a, b = raw[lead], raw[np.minimum(lead + 1, len(raw) - 1)]
+    thai_lao = (a == 0xE0) & (b >= 0xB8) & (b <= 0xBB)
+    burmese_khmer = (a == 0xE1) & ((b <= 0x82) | (b == 0x9E) | (b == 0x9F))
+    return lead[thai_lao | burmese_khmer | (a >= 0xE3) & (a <= 0xE9) | (a == 0xF0) & (b >= 0xA0) & (b <= 0xB3)]
+
+
+def units_in(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where units start and stop, and the weight of all up to each: words, or characters of unspaced text."""
+    starts, stops = words_in(raw)
+    split = stops - starts > LONG_WORD
+    split[np.searchsorted(starts, unspaced(raw), side="right") - 1] = True
+    if not split.any():
+        return starts, stops, WORD_BYTES * np.arange(1, len(starts) + 1)
+    inside = np.zeros(len(raw) + 1, np.int64)
+    inside[starts[split]] += 1
+    inside[stops[split]] -= 1
+    first = (np.cumsum(inside[:-1]) > 0) & ((raw & 0xC0) != 0x80)
+    first[starts] = True
+    begins = np.flatnonzero(first)
+    word = np.searchsorted(starts, begins, side="right") - 1
+    ends = np.minimum(np.append(begins[1:], len(raw)), stops[word])
+    return begins, ends, np.cumsum(np.where(split[word], ends - begins, WORD_BYTES))
+
+
+def closing(raw: np.ndarray, stops: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Places among the units of those that end a chunk."""
+    hashes = gear_hashes(raw)[stops - 1]
+    if not len(stops) or weights[-1] == WORD_BYTES * len(stops) and (np.diff(weights, prepend=0) == WORD_BYTES).all():
+        return least_in_windows(hashes, WINDOW)
+    # A place for each byte of weight; only those at which units end can be the least.
+    spread = np.full(weights[-1], np.iinfo(np.uint32).max, np.uint32)
+    spread[weights - 1] = np.minimum(hashes, np.uint32(np.iinfo(np.uint32).max - 1))
+    least = least_in_windows(spread, WINDOW * WORD_BYTES)
+    return np.searchsorted(weights, least[spread[least] < np.iinfo(np.uint32).max] + 1)
 
 
 def chunk_ends(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -81,8 +125,10 @@ def chunk_ends(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     if not text:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     raw = np.frombuffer(text, np.uint8)
-    starts, stops = words_in(raw)
-    ends = np.minimum(stops[last_words(raw, stops)] + 1, len(raw))  # with the white space after the word
+    starts, _ = words_in(raw)
+    _, stops, weights = units_in(raw)
+    ends = stops[closing(raw, stops, weights)]
+    ends = ends + (IS_SPACE[raw[np.minimum(ends, len(raw) - 1)]] & (ends < len(raw)))  # with the white space after a word
     if not len(ends) or ends[-1] != len(raw):
         ends = np.append(ends, len(raw))
     gaps = np.diff(ends, prepend=0)
@@ -97,19 +143,25 @@ def chunk_ends(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return ends, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
-def spans(text: bytes, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Where words start and stop, and the first word and the one past the last of every digest.
+def spans(text: bytes, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where units start and stop, their weights, and the first unit and the one past the last of every digest.
 
     Those around chunk ends, and the text's first and last ``min_words``.
     """
     raw = np.frombuffer(text, np.uint8)
     if not len(raw):
-        return (np.zeros(0, np.int64),) * 4
-    starts, stops = words_in(raw)
-    first = last_words(raw, stops) + 1 - min_words // 2
-    first = np.union1d(first, [0, len(starts) - min_words])
-    first = first[(first >= 0) & (first + min_words <= len(starts))]
-    return starts, stops, first, first + min_words
+        return (np.zeros(0, np.int64),) * 5
+    starts, stops, weights = units_in(raw)
+    total, need = np.append(0, weights), WORD_BYTES * min_words
+    if total[-1] < need:
+        return starts, stops, np.diff(total), *(np.zeros(0, np.int64),) * 2
+    middle = weights[closing(raw, stops, weights)]
+    low, high = middle - need // 2, middle + need - need // 2
+    inside = (low >= 0) & (high <= total[-1])
+    low, high = np.append(low[inside], [0, total[-1] - need]), np.append(high[inside], [need, total[-1]])
+    first = np.searchsorted(total, low, side="right") - 1
+    past = np.searchsorted(total, high)
+    return starts, stops, np.diff(total), first, past
 
 
 def _digester(min_words: int):
@@ -120,7 +172,7 @@ def _digester(min_words: int):
         digest = xxhash.xxh3_128_digest
         digests, places, offsets = [], [], [0]
         for text in utf8(texts):
-            starts, stops, first, past = spans(text, min_words)
+            starts, stops, _, first, past = spans(text, min_words)
             ends = stops[past - 1]
             digests += [digest(text[a:b]) for a, b in zip(starts[first].tolist(), ends.tolist())]
             places.append(np.arange(len(first)))
@@ -148,20 +200,22 @@ def _cutter(min_words: int):
             if not places:
                 rows.append({"kept": text.decode(), "n_chunks": 0, "n_words": 0})
                 continue
-            starts, stops, first, past = spans(text, min_words)
+            starts, stops, weights, first, past = spans(text, min_words)
             turns = np.zeros(len(starts) + 1, np.int64)
             np.add.at(turns, first[places], 1)
             np.add.at(turns, past[places], -1)
             gone = np.cumsum(turns[:-1]) > 0
             edges = np.flatnonzero(np.diff(gone, prepend=False, append=False))
             kept, at = [], 0
-            for a, b in edges.reshape(-1, 2).tolist():  # words a to b - 1, with the white space after them
+            for a, b in edges.reshape(-1, 2).tolist():  # units a to b - 1
                 kept.append(text[at : starts[a] if a else 0])
                 at = starts[b] if b < len(starts) else len(text)
+                if a and starts[a] == stops[a - 1]:  # the white space after them parts what is left
+                    at = stops[b - 1]
             kept.append(text[at:])
             chunks = np.searchsorted(chunk_ends(text)[0], starts[gone], side="right")
             rows.append(
-                {"kept": b"".join(kept).decode(), "n_chunks": len(np.unique(chunks)), "n_words": int(gone.sum())}
+                {"kept": b"".join(kept).decode(), "n_chunks": len(np.unique(chunks)), "n_words": -(-int(weights[gone].sum()) // WORD_BYTES)}
             )
         return pa.array(rows, result)
 
@@ -193,7 +247,8 @@ def drop_repeated_passages(
     one at most 10 words stay at the end and 11 at the start (more if half of ``min_words`` is
     under 8). A passage stays in the document with the smallest key; whole copies of a text of
     that many words lose all of it elsewhere. Chunks count as dropped if they lose a word.
-    Repeats inside one document stay. Each row is a document; rows that repeat a key keep
+    In unspaced text (long words, and scripts without spaces) six bytes count as a word, here
+    and in ``n_dropped_words``. Repeats inside one document stay. Each row is a document; rows that repeat a key keep
     or lose a passage together. Null keys lose against others; among null keys alone a
     passage stays everywhere. A null text counts as empty. Other columns play no part.
     """

@@ -143,3 +143,48 @@ def test_only_repeated_words_go(spark):
     assert set(passage) & {w for r in kept.values() for w in r.kept_text.split()} == {
         w for w in passage if any(w in t.split() for _, t, *_ in rows)
     }
+
+
+def unspaced(rng, letters, n):
+    return "".join(rng.choices(letters, k=n))
+
+
+HAN = [chr(c) for c in range(0x4E00, 0x5200)]
+THAI = [chr(c) for c in range(0x0E01, 0x0E2F)]
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+@pytest.mark.parametrize("letters, n", [(HAN, 100), (THAI, 100), (BASE64, 300)])
+def test_unspaced_passages_go_from_all_but_one(spark, letters, n):
+    rng = random.Random(10)
+    passages = [unspaced(rng, letters, n) for _ in range(100)]
+    rows = [
+        (i, f"{unspaced(rng, letters, rng.randint(0, 500))}{passages[i % 100]}{unspaced(rng, letters, rng.randint(0, 500))}", "zh", "a")
+        for i in range(400)
+    ]
+    rows += [(1_000 + i, passages[i], "zh", "a") for i in range(100)]
+    rows += [(2_000 + i, unspaced(rng, letters, 700), "zh", "a") for i in range(100)]
+    kept = found(spark, rows)
+    for i, text, *_ in rows:
+        if i < 100 or i >= 2_000:
+            assert kept[i].kept_text == text and kept[i].n_dropped_words == 0
+        else:
+            at = text.index(passages[i % 100])
+            assert len(kept[i].kept_text) <= len(text) - n * 0.3 and kept[i].n_dropped_words >= 16
+            # letters next to the passage may be the same elsewhere by chance
+            assert kept[i].kept_text.startswith(text[: max(0, at - 3)]) and kept[i].kept_text.endswith(text[at + n + 3 :])
+
+
+def test_whole_unspaced_copies_lose_everything_but_once(spark):
+    text = unspaced(random.Random(11), HAN, 90) + "\n" + unspaced(random.Random(12), HAN, 900)
+    kept = found(spark, [(i, text, "zh", "a") for i in (7, 3, 9)])
+    assert {i: r.kept_text for i, r in kept.items()} == {3: text, 7: "", 9: ""}
+
+
+def test_a_cut_in_a_long_word_glues_no_words(spark):
+    rng = random.Random(13)
+    passage = unspaced(rng, BASE64, 300)
+    rows = [(i, f"word{i} {unspaced(rng, BASE64, 50)}{passage} next{i} and more", "en", "a") for i in range(5)]
+    kept = found(spark, rows)
+    for i in range(1, 5):
+        assert kept[i].kept_text.split()[0] == f"word{i}" and kept[i].kept_text.split()[-3:] == [f"next{i}", "and", "more"]
