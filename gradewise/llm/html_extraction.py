@@ -32,13 +32,20 @@ from gradewise.llm.text import batches, show_code, utf8
 # Kinds of HTML elements, by the standard and by usual practice.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = set(
-    "head script style template noscript iframe object svg math canvas audio video map title "
-    "select option datalist textarea button".split()
+    "head script style template noscript iframe object svg canvas audio video map title "
+    "select option datalist textarea button annotation annotation-xml".split()
+)
+#: What may stand in a head; any other start tag, and text, ends an open one, as its end tag may be left out.
+IN_HEAD = set("title meta link base basefont bgsound script style noscript noframes template".split())
+#: Elements of formulas, which are part of the text around them.
+MATH = set(
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts "
+    "none mtable mtr mlabeledtr mtd mspace mstyle mpadded mphantom menclose merror mfenced maction semantics".split()
 )
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
     "strike strong sub sup time tt u var ruby rt rp".split()
-)
+) | MATH
 #: Starting one of these ends an open one of the same group.
 CLOSES = {
     "p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -90,6 +97,10 @@ class TreeBuilder(HTMLParser):
         self.root = self.here = Node("#page")
 
     def handle_starttag(self, tag: str, attrs) -> None:
+        if tag == "body":
+            self._end({"head"})
+        elif tag not in IN_HEAD:
+            self._end_head()
         if tag in ENDS_P:
             self._end({"p"})
         if tag in CLOSES:
@@ -119,6 +130,10 @@ class TreeBuilder(HTMLParser):
                 return
             node = node.parent
 
+    def _end_head(self) -> None:
+        if self.here.tag == "head":
+            self.here = self.here.parent
+
     def handle_endtag(self, tag: str) -> None:
         node = self.here
         while node.parent is not None and node.tag != tag:
@@ -129,6 +144,8 @@ class TreeBuilder(HTMLParser):
             self.here = node.parent
 
     def handle_data(self, data: str) -> None:
+        if not data.isspace():
+            self._end_head()
         self.here.content.append(data)
 
 
@@ -178,7 +195,7 @@ def blocks_of(root: Node) -> list[Block]:
             if inline:
                 block.links += item.tag == "a"
                 block.fields += item.tag == "input"
-                block.elements += 1
+                block.elements += item.tag not in MATH
                 stack.append((item, at, link or item.tag == "a", iter(item.content)))
             else:
                 blocks.append(Block(item, at, block.depth + 1, order=len(blocks)))
@@ -537,6 +554,8 @@ def text_of(blocks: list[Block], keep: np.ndarray) -> str:
                     run.append(" ")
                 continue
             inline = item.tag in INLINE
+            if item.tag in ("mtr", "mtd"):
+                run.append(" ")
             if not inline:
                 close()
                 if id(item) not in kept:
@@ -600,7 +619,9 @@ def extract_main_text(
 
     Null html is the empty page. Markup of any kind of fault is read as far as it goes, and
     plain text without elements is kept. Character references are decoded; white space in a
-    block becomes one space; blocks are joined by a space. Pages that repeat are extracted
+    block becomes one space; blocks are joined by a space. Formulas in MathML are text like
+    any other; what is not shown as text (``HIDDEN``: scripts, drawings, form fields, what stands
+    in for embedded objects) is left out. Pages that repeat are extracted
     alike. The model sees sentences of at most ``max_pages`` pages. A column of ``pages``
     called ``into`` is replaced; other columns play no part.
     """

@@ -124,3 +124,30 @@ def test_odd_rows(spark):
     assert texts["1"] == texts["None"] == "" and out.count() == len(rows)
     assert texts["3"] == ("long words, many. " * 20_000).strip()
     assert extract_main_text(pages.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("head", [
+    "<head><title>t</title>",
+    "<head><meta charset=utf-8><title>t</title><script>var a = 1;</script>",
+    "<head><title>t</title><noscript><img src=x></noscript><link rel=icon href=x>",
+])
+@pytest.mark.parametrize("body", ["<body>", ""])
+def test_an_unclosed_head_ends_where_the_body_begins(trees, head, body):
+    story = "".join(f"<p>{s}</p>" for s in SENTENCES[:6])
+    page = f"<html>{head}{body}<article><h1>Story</h1>{story}</article><footer>&copy; 2020 Somebody</footer></html>"
+    closed = page.replace(head, f"{head}</head>")
+    assert main_texts([page], trees) == main_texts([closed], trees) == [" ".join(["Story", *SENTENCES[:6]])]
+
+
+def test_text_ends_a_head():
+    root = parse("<html><head><title>t</title>plain words<b>more</b></html>")
+    blocks = blocks_of(root)
+    assert text_of(blocks, np.ones(len(blocks), bool)) == "plain wordsmore"
+
+
+def test_formulas_are_text(trees):
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math>"
+    table = "<math><mtable><mtr><mtd>1</mtd><mtd>2</mtd></mtr></mtable></math>"
+    story = "".join(f"<p>{s}</p>" for s in SENTENCES[:4])
+    page = f"<html><body><article>{story}<p>We see that {formula} holds, as does {table}, for all.</p></article></body></html>"
+    assert main_texts([page], trees) == [" ".join([*SENTENCES[:4], "We see that x=2 holds, as does 1 2, for all."])]
