@@ -12,5 +12,6 @@ Nothing else in the library imports this package. One module per operator:
 ``exact_dedup``      copies of whole texts
 ``line_dedup``       lines that many documents share
 ``simhash``          near copies, by fingerprints
+``divergence``       word use by source, by stripes of terms
 ``queries``          one query per operator, and the SQL that computes the same
 """

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradewise.llm.decontamination import find_leaks
+from gradewise.llm.divergence import source_divergence
 from gradewise.llm.exact_dedup import exact_groups
 from gradewise.llm.html_extraction import extract_main_text
 from gradewise.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, scan_licenses
@@ -242,3 +243,45 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)"""
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = extract_main_text(table(spark, sf_dir, "pages"), into="text")
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+# Source divergence -------------------------------------------------------------------
+
+
+@query
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
+# Fixed value: what separates terms.
+SQL_NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+ORACLE["op11_source_divergence"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  list_filter(string_split_regex({sql_fold("text")}, '{SQL_NO_TERM}'), lambda x: x <> '') AS w
+           FROM documents),
+     t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+     kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+     v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+     own AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+     groups AS (SELECT DISTINCT lang, source FROM d),
+     grid AS (SELECT groups.lang, source, kept.term, coalesce(own.n, 0) AS n
+              FROM groups JOIN kept USING (lang) LEFT JOIN own USING (lang, source, term)),
+     p AS (SELECT lang, source, term, n,
+                  1 + (1000000000::HUGEINT * (n + 5)) // ((sum(n) OVER (PARTITION BY lang, source)) + 5 * v) AS p
+           FROM grid JOIN v USING (lang)),
+     whole AS (SELECT lang, term, sum(n) AS n FROM grid GROUP BY lang, term),
+     q AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 5)) // ((sum(n) OVER (PARTITION BY lang)) + 5 * v) AS q
+           FROM whole JOIN v USING (lang)),
+     apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+               FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+               GROUP BY a.lang, a.source, b.source),
+     found AS (
+       SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+       FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source
+       UNION ALL
+       SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 50"""

@@ -1,0 +1,111 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from gradewise.llm import divergence
+from gradewise.llm.divergence import PRIOR, SCALE, count_terms, probabilities, source_divergence
+from gradewise.llm.text import LOWER, UPPER
+from helpers import TRICKY, documents
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+FOLD = str.maketrans(UPPER, LOWER)
+
+
+def brute_force(rows, min_docs, top=50):
+    docs = [(lang or "", source or "", TERM.findall((text or "").translate(FOLD))) for _, text, lang, source in rows]
+    found = []
+    for lang in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == lang]
+        held = Counter(term for _, _, terms in own for term in set(terms))
+        kept = [term for term, n in held.items() if n >= min_docs]
+        counts = defaultdict(Counter)
+        for _, source, terms in own:
+            counts[source].update(t for t in terms if t in set(kept))
+        every = sum(counts.values(), Counter())
+
+        def p(count):
+            total = sum(count.values())
+            return {t: 1 + SCALE * (count[t] + PRIOR) // (total + PRIOR * len(kept)) for t in kept}
+
+        sources, q = {d[1] for d in own}, p(every)
+        ps = {s: p(counts[s]) for s in sources}
+        for s in sources:
+            pairs = [(sum(abs(ps[s][t] - ps[o][t]) for t in kept), o) for o in sources if o != s]
+            terms = [(ps[s][t] - q[t], t) for t in kept if counts[s][t] and ps[s][t] > q[t]]
+            for part, items in (("pair", pairs), ("term", terms)):
+                ranked = sorted(items, key=lambda x: (-x[0], x[1].encode()))
+                for rank, (value, item) in enumerate(ranked[: top if part == "term" else None], 1):
+                    found.append((lang, s, part, item, value, rank))
+    return sorted(found)
+
+
+def rows_found(df):
+    return sorted(tuple(r) for r in df.select("lang", "source", "part", "item", "value", "rank").collect())
+
+
+def corpus(n):
+    """Common and rare words by source, one source with half of all rows, some without terms."""
+    rng = np.random.default_rng(3)
+    for i in range(n):
+        source = None if i % 17 == 0 else "big" if i % 2 else f"s{i % 7}"
+        words = [f"w{chr(97 + int(k))}" for k in rng.geometric(0.15, rng.integers(0, 40)) % 26]
+        extra = ["Été ÉTÉ"] if i % 3 else [f"only{chr(97 + i % 5)}"]
+        yield i, " ".join(words + extra) if i % 11 else "12 34 -- !", ["en", "fr", None][i % 3], source
+
+
+@pytest.mark.parametrize("min_docs", [1, 5, 30])
+def test_equals_brute_force(spark, min_docs):
+    rows = list(corpus(400))
+    assert rows_found(source_divergence(documents(spark, rows), min_docs)) == brute_force(rows, min_docs)
+
+
+def test_only_the_best_terms_are_listed_but_all_pairs(spark):
+    rows = list(corpus(300))
+    assert rows_found(source_divergence(documents(spark, rows), 1, top=3)) == brute_force(rows, 1, top=3)
+
+
+def test_spills_and_blocks_change_nothing(spark, monkeypatch):
+    rows = list(corpus(200))
+    expected = brute_force(rows, 2)
+    monkeypatch.setattr(divergence, "MAX_CELLS", 10)
+    monkeypatch.setattr(divergence, "BLOCK_CELLS", (1, 8))
+    monkeypatch.setattr(divergence, "BATCH_ROWS", 7)
+    assert rows_found(source_divergence(documents(spark, rows).repartition(5), 2)) == expected
+
+
+def test_nulls_empty_and_long_texts_repeated_rows_and_clashing_columns(spark, tricky):
+    assert rows_found(source_divergence(tricky, 1)) == brute_force(TRICKY, 1)
+    more = documents(spark, TRICKY, part="x", item="y", value=3, rank=4, term="t", cells="c", n=1, block=2, n_terms=7)
+    assert rows_found(source_divergence(more, 2)) == brute_force(TRICKY, 2)
+
+
+def test_no_kept_terms_gives_pairs_of_value_zero(spark):
+    rows = [(1, "one two", "en", "a"), (2, "one", "en", "b"), (3, None, "en", "c"), (4, "one", "fr", "a")]
+    found = rows_found(source_divergence(documents(spark, rows)))
+    assert found == brute_force(rows, 30)
+    assert len(found) == 6 and {(part, value) for _, _, part, _, value, _ in found} == {("pair", 0)}
+
+
+def test_an_empty_table_gives_an_empty_one(nothing):
+    assert source_divergence(nothing).count() == 0
+
+
+def test_ties_go_by_item(spark):
+    rows = [(i, "bb aa cc", "en", s) for i, s in enumerate("ab")] + [(9, "zz zz", "en", "z")]
+    found = [r[3:] for r in rows_found(source_divergence(documents(spark, rows), 1)) if r[:3] == ("en", "a", "term")]
+    assert [item for item, _, _ in sorted(found, key=lambda r: r[2])] == ["aa", "bb", "cc"]
+
+
+def test_terms_of_a_text_in_pieces(monkeypatch):
+    text = "Aa bB, ccc\n漢字 漢字 x9y" * 50
+    whole = count_terms(text.encode())
+    monkeypatch.setattr(divergence, "PIECE_BYTES", 5)
+    assert count_terms(text.encode()) == whole == Counter(t.encode() for t in TERM.findall(text.translate(FOLD)))
+
+
+def test_huge_counts_stay_exact():
+    counts, totals = np.array([[10**15, 3], [0, 10**17]]), np.array([10**15 + 1, 10**17 + 3])
+    exact = [[1 + SCALE * (int(c) + 5) // (int(n) + 10) for c, n in zip(row, totals)] for row in counts]
+    assert probabilities(counts, totals, 2).tolist() == exact
