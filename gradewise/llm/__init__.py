@@ -13,5 +13,6 @@ Nothing else in the library imports this package. One module per operator:
 ``line_dedup``       lines that many documents share
 ``simhash``          near copies, by fingerprints
 ``divergence``       word use by source, by stripes of terms
+``whitening``        decorrelated embeddings, by variances of sums
 ``queries``          one query per operator, and the SQL that computes the same
 """

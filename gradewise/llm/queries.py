@@ -19,6 +19,7 @@ from gradewise.llm.sharding import hex_hash, shard_documents, text_bytes
 from gradewise.llm.simhash import near_copies
 from gradewise.llm.substring_dedup import drop_repeated_passages
 from gradewise.llm.text import LOWER, UPPER
+from gradewise.llm.whitening import whitened_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -285,3 +286,11 @@ WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesc
      ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
 SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 50"""
+
+
+# Whitened embeddings -----------------------------------------------------------------
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_components(table(spark, sf_dir, "embeddings"))
