@@ -14,5 +14,6 @@ Nothing else in the library imports this package. One module per operator:
 ``simhash``          near copies, by fingerprints
 ``divergence``       word use by source, by stripes of terms
 ``whitening``        decorrelated embeddings, by variances of sums
+``pii``              personal data, by contexts learned from sure finds
 ``queries``          one query per operator, and the SQL that computes the same
 """

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradewise.llm.decontamination import find_leaks
@@ -14,6 +14,7 @@ from gradewise.llm.html_extraction import extract_main_text
 from gradewise.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, scan_licenses
 from gradewise.llm.line_dedup import drop_shared_lines
 from gradewise.llm.mixing import mix_sources
+from gradewise.llm.pii import KINDS, in_order, personal_data
 from gradewise.llm.quality import held_out, score_documents
 from gradewise.llm.sharding import hex_hash, shard_documents, text_bytes
 from gradewise.llm.simhash import near_copies
@@ -294,3 +295,25 @@ FROM ranked WHERE part = 'pair' OR rank <= 50"""
 @query
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_components(table(spark, sf_dir, "embeddings"))
+
+
+# Personal data -----------------------------------------------------------------------
+
+
+def written(spans: Column) -> Column:
+    """Spans as kind:start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def number_of(kind: str) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
+@query
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    counts = [number_of(kind).alias(f"n_{kind}") for kind in KINDS]
+    every = in_order(F.concat("base", "added"))
+    return found.select(
+        "doc_id", *counts, F.sha2(written(F.col("base")), 256).alias("base_sha256"), written(every).alias("spans")
+    )
