@@ -207,6 +207,7 @@ def oracle() -> dict[str, str]:
         ],
     )
     sql["tsv_lines_in_cells"] = "SELECT * FROM documents"
+    sql["tsv_one_spanning_file"] = "SELECT * FROM documents"
     sql["table_profile_lineitem"] = _profile(
         "lineitem",
         [

@@ -210,6 +210,15 @@ def tsv_lines_in_cells(spark, sf_dir):
     return read_delimited(spark, path, schema=docs.schema, lineSep="\n")
 
 
+@query
+def tsv_one_spanning_file(spark, sf_dir):
+    """Texts over many lines in one file, read in as many tasks as it has splits."""
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "one-tsv")
+    export_readable(docs.coalesce(1), path, sep="\t")
+    return read_delimited(spark, path, schema=docs.schema, lineSep="\n", min_splits=1)
+
+
 @query
 def table_profile_lineitem(spark, sf_dir):
     return table_profile(table(spark, sf_dir, "lineitem"))

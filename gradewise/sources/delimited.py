@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gradewise.functions import column
+from gradewise.sources.scratch import scratch_path
+from gradewise.sources.spanning import spanning_records
 
 # Columns an export leaves out unless the caller says otherwise.
 TECHNICAL_COLUMNS = frozenset({"features", "unscaled_features"})
@@ -50,6 +52,12 @@ FILE_OPTIONS = frozenset(
     }
 )
 
+# How a file is read: by lines, by records put together from lines, or in one task.
+IN_SPLITS, PUT_TOGETHER, WHOLE = "in splits", "put together", "whole"
+
+# Putting records together takes several times the work of one task that reads a file whole.
+MIN_SPLITS = 16
+
 # Wider types of inferred columns, narrow ones first.
 NUMBERS = ("int", "bigint", "double")
 
@@ -61,59 +69,116 @@ def read_delimited(
     sep: str = "\t",
     multi_line: bool | None = None,
     infer: bool = True,
+    min_splits: int = MIN_SPLITS,
     **options,
 ) -> DataFrame:
     """Headered delimited files as a DataFrame; types are inferred when no schema is given.
 
     Inference reads the files once more. With ``infer=False`` all columns are text.
 
-    Quoted cells may span lines. Spark reads such a file in one task, so with
-    ``multi_line=None`` all files are first checked in parallel, each by its content:
-    those whose cells may span lines are read whole and all others in splits. Size plays
-    no part, and the rows are those of reading every file whole. Names come from the
-    first file that is read in splits, if there is one.
+    Quoted cells may span lines, and Spark reads such a file in one task. So with
+    ``multi_line=None`` all files are first checked in parallel, each by its content: those
+    whose lines are records are read in splits. Of the others the records are put together
+    split by split and stored (``spanning_records``), so that one large file takes many
+    tasks too. Read whole are files of fewer than ``min_splits`` splits, which one task reads
+    sooner, and files that leave unclear where a cell ends, hold carriage returns or lie in
+    folders that name partitions. The rows are always those of reading every file whole. Names come from the first file that is read in
+    splits, then from the first one put together.
     """
     reader = spark.read.options(header=True, sep=sep, **options)
-    unusual = len(sep) > 1 or any(o.lower() in QUOTING_OPTIONS for o in options)
+    unusual = len(sep) > 1 or any(
+        o.lower() in QUOTING_OPTIONS and (o.lower(), v) != ("linesep", "\n") for o, v in options.items()
+    )
+    chosen = {o: v for o, v in options.items() if o.lower() in FILE_OPTIONS}
     if multi_line is None and not unusual:
-        chosen = {o: v for o, v in options.items() if o.lower() in FILE_OPTIONS}
-        groups = files_by_reading(spark, path, sep, chosen)
+        groups = files_by_reading(spark, path, sep, chosen, min_splits)
     else:
-        groups = [(path, multi_line is None or multi_line)]
+        groups = [(path, WHOLE if multi_line is None or multi_line else IN_SPLITS)]
+    format_options = {o: v for o, v in options.items() if o.lower() not in FILE_OPTIONS}
     if any(isinstance(files, list) for files, _ in groups):
         # The files are chosen; where folders name partitions, their columns stay.
-        reader = spark.read.options(header=True, sep=sep)
-        reader = reader.options(**{o: v for o, v in options.items() if o.lower() not in FILE_OPTIONS})
-        folders = any("=" in part for files, _ in groups for f in files for part in f.split("/")[-3:-1])
-        if folders and "recursivefilelookup" not in {o.lower() for o in options}:
+        reader = spark.read.options(header=True, sep=sep).options(**format_options)
+        if any(_in_partition(f) for files, _ in groups for f in files) and "recursivefilelookup" not in {
+            o.lower() for o in options
+        }:
             reader = reader.option("basePath", options.get("basePath", path))
 
-    def read(files, whole: bool, types) -> DataFrame:
-        one = reader.option("multiLine", whole)
+    def read(files, how: str, types) -> DataFrame:
+        if how == PUT_TOGETHER:
+            return _parsed(together[0], reader, files, sep, format_options, types)
+        one = reader.option("multiLine", how == WHOLE)
         return (one.option("inferSchema", types == "inferred") if isinstance(types, str) else one.schema(types)).csv(files)
 
+    together = [None]
+    for files, how in list(groups):
+        if how == PUT_TOGETHER:
+            together[0], left = spanning_records(spark, files, sep)
+            groups.remove((files, how))
+            sure = sorted(set(files) - set(left))
+            groups += [(sure, how)] * bool(sure) + [(sorted(left), WHOLE)] * bool(left)
+    whole = [f for files, how in groups if how == WHOLE and isinstance(files, list) for f in files]
+    if whole:
+        groups = [g for g in groups if g[1] != WHOLE] + [(sorted(whole), WHOLE)]
+
     if schema is not None:
         types = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     else:
         types = "inferred" if infer else "text"
     if len(groups) > 1 and types == "inferred":
-        types = _common_types([read(files, whole, types) for files, whole in groups])
-    parts = [read(files, whole, types) for files, whole in groups]
+        types = _common_types([read(files, how, types) for files, how in groups])
+    parts = [read(files, how, types) for files, how in groups]
     return reduce(DataFrame.unionAll, [p.toDF(*parts[0].columns) for p in parts])
 
 
-def files_by_reading(spark: SparkSession, path: str, sep: str, options: dict) -> list[tuple[list[str] | str, bool]]:
-    """Which files to read in splits (False) and which whole (True). One parallel pass; unsure lines count as whole."""
+def _in_partition(file: str) -> bool:
+    return any("=" in part for part in file.split("/")[-3:-1])
+
+
+def files_by_reading(
+    spark: SparkSession, path: str, sep: str, options: dict, min_splits: int = MIN_SPLITS
+) -> list[tuple[list[str] | str, str]]:
+    """Which files to read in splits, to put together or to read whole, by one parallel pass."""
     lines = spark.read.options(**options).text(path, lineSep="\n")
     checked = (
         lines.groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.bool_or(unclean_line(F.col("value"), sep)).alias("whole"))
+        .agg(
+            F.bool_or(unclean_line(F.col("value"), sep)).alias("unclean"),
+            F.bool_or(F.col("value").contains("\r")).alias("returns"),
+            F.count_distinct("_metadata.file_block_start").alias("n_splits"),
+        )
         .collect()  # one row per file, as many as the listing has
     )
-    files = {kind: sorted(unquote(r["file"]) for r in checked if r["whole"] == kind) for kind in (False, True)}
-    if not (files[False] and files[True]):  # all alike, or none: the reader lists them itself
-        return [(path, bool(files[True]))]
-    return [(files[False], False), (files[True], True)]
+    if not any(r["unclean"] for r in checked):  # the reader lists them itself
+        return [(path, IN_SPLITS)]
+    files: dict[str, list[str]] = {IN_SPLITS: [], PUT_TOGETHER: [], WHOLE: []}
+    for r in checked:
+        file = unquote(r["file"])
+        together = r["n_splits"] >= min_splits and not r["returns"] and not _in_partition(file)
+        how = IN_SPLITS if not r["unclean"] else PUT_TOGETHER if together else WHOLE
+        files[how].append(file)
+    if len(files[WHOLE]) == len(checked):
+        return [(path, WHOLE)]
+    return [(sorted(found), how) for how, found in files.items() if found]
+
+
+def _parsed(records: DataFrame, reader, files: list[str], sep: str, options: dict, types) -> DataFrame:
+    """Records as columns, by the same parser and options as files. ``types``: a schema, "text" or "inferred"."""
+    options = {**options, "sep": sep, "multiLine": "true"}
+    if isinstance(types, str):
+        names = reader.option("multiLine", True).csv(files[0]).columns  # of its header
+        if types == "inferred":
+            # Where no cell goes over lines Spark's inference reads splits; a letter in place of a
+            # line end keeps such a cell what it is, a text.
+            path = scratch_path(records.sparkSession, "records")
+            records.select(F.replace("record", F.lit("\n"), F.lit("x"))).write.text(path, lineSep="\n")
+            flat = {**options, "multiLine": "false", "lineSep": "\n", "header": "false", "inferSchema": "true"}
+            kinds = [f.dataType.simpleString() for f in records.sparkSession.read.options(**flat).csv(path).schema]
+            kinds += ["string"] * (len(names) - len(kinds))
+        else:
+            kinds = ["string"] * len(names)
+        types = StructType.fromDDL(", ".join(f"`{n.replace('`', '``')}` {k}" for n, k in zip(names, kinds)))
+    ddl = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in types)
+    return records.select(F.from_csv("record", ddl, options).alias("r")).select("r.*")
 
 
 def _common_types(parts: list[DataFrame]) -> StructType:
@@ -136,7 +201,7 @@ def _common_types(parts: list[DataFrame]) -> StructType:
 
 def has_spanning_cells(spark: SparkSession, path: str, sep: str = "\t") -> bool:
     """May some record cross a line end? One parallel pass; unsure lines count as yes."""
-    return any(whole for _, whole in files_by_reading(spark, path, sep, {}))
+    return any(how != IN_SPLITS for _, how in files_by_reading(spark, path, sep, {}))
 
 
 def unclean_line(line: Column, sep: str = "\t") -> Column:

@@ -1,11 +1,13 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from gradewise.sources import export_readable, preview, read_delimited, scratch_path, table_profile
 from gradewise.sources.delimited import has_spanning_cells, unclean_line
 from gradewise.sources.scratch import materialize
+from gradewise.sources.spanning import _composed, _pieces, line_ends, spanning_records
 
 # Files whose cells stay within their lines, and files where telling needs the whole file.
 CLEAN = {
@@ -68,21 +70,123 @@ def test_clean_lines_read_the_same_on_random_files(spark, tmp_path):
 
 
 @pytest.mark.parametrize("name", SPANNING)
-def test_unclear_files_are_read_whole(spark, tmp_path, name):
+def test_files_that_may_span_lines_are_told(spark, tmp_path, name):
     assert has_spanning_cells(spark, _file(tmp_path, SPANNING[name]))
 
 
 @pytest.mark.parametrize("spanning", [False, True])
-def test_large_files_are_split_only_when_clean(spark, tmp_path, with_conf, spanning):
+def test_large_files_are_split(spark, tmp_path, with_conf, spanning):
     cell = '"two\nlines"' if spanning else "one line"
     text = "k\tt\n" + "".join(f"{i}\t{cell}\n" for i in range(5000))
     with_conf(spark__sql__files__maxPartitionBytes="4k", spark__sql__files__openCostInBytes="0")
     df = read_delimited(spark, _file(tmp_path, text), schema="k int, t string")
-    assert (df.rdd.getNumPartitions() > 1) is not spanning
+    assert df.rdd.getNumPartitions() > 1
     assert df.distinct().count() == 5000
     assert df.select("t").distinct().first()[0] == cell.strip('"')
 
 
+def random_table(rng, records, width=3):
+    """Cells with and without quotes, over lines, with escaped quotes, separators, and quotes amid text."""
+    inside = ["a", "\n", "\t", '\\"', "\\\\", " ", "b\n", "\n\n"]
+    outside = ["a", "b", "1", '5"', " ", '\\"']
+
+    def cell():
+        if rng.random() < 0.5:
+            return "x" * (rng.random() < 0.7) + "".join(rng.choice(outside) for _ in range(rng.randint(0, 3)))
+        return '"' + "".join(rng.choice(inside) for _ in range(rng.randint(0, 8))) + '"'
+
+    return "".join("\t".join(cell() for _ in range(width)) + "\n" for _ in range(records))
+
+
+def test_records_put_together_are_those_of_whole_files(spark, tmp_path):
+    """Tables, and texts of random pieces; what is unclear is left out and said to be."""
+    rng = random.Random(11)
+    pieces = ["a", "b", "\t", "\n", '"', '\t"', '"\t', '"\n', '\n"', '\\"', "\\\\", " ", '"a"', '""', "\n\n", "12"]
+    for i in range(400):
+        junk = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 14)))
+        body = junk if i % 2 else random_table(rng, rng.randint(1, 8))
+        (tmp_path / f"f{i:03}.tsv").write_bytes(f"k\tt\tu\n{body}".encode())
+    files = sorted(str(f) for f in tmp_path.glob("*.tsv"))
+    _, unclear = spanning_records(spark, files, "\t")
+    sure = sorted(set(files) - {"/" + f.split(":", 1)[1].lstrip("/") for f in unclear})
+    assert 250 < len(sure) < 400
+    records, none = spanning_records(spark, sure, "\t")
+    assert none == []
+    schema = "k string, t string, u string"
+    for options in ({}, {"lineSep": "\n"}):
+        parsed = records.select(F.from_csv("record", schema, {"sep": "\t", "multiLine": "true", **options}).alias("r"))
+        whole = spark.read.options(header=True, sep="\t", multiLine=True, **options).schema(schema).csv(sure)
+        assert sorted(map(str, parsed.select("r.*").collect())) == sorted(map(str, whole.collect()))
+
+
+def test_records_do_not_depend_on_where_a_file_is_split(spark):
+    """Pieces of random splits, composed, against the same lines as one split."""
+    rng = random.Random(2)
+    tables = ["k\tt\tu\n" + random_table(rng, 30) for _ in range(12)]
+    lines = [(t, i, line) for t, text in enumerate(tables) for i, line in enumerate(text[:-1].split("\n"))]
+    outside, inside = line_ends(F.col("line"), "\t")
+    ends = spark.createDataFrame(lines, "t int, i int, line string").select("t", "i", "line", outside, inside)
+    by_table = {}
+    for r in sorted(ends.collect(), key=lambda r: (r.t, r.i)):
+        by_table.setdefault(r.t, []).append(tuple(r)[2:])
+
+    def records(rows, cuts):
+        blocks = [sum(c <= i for c in cuts) for i in range(len(rows))]
+        columns = [["f"] * len(rows), blocks, *zip(*rows)]
+        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["file", "block", "line", "o", "i"])
+        pieces = [r for b in _pieces(iter([batch])) for r in b.to_pylist()]
+        last = {p["block"]: p for p in pieces}
+        states = _composed(pa.Table.from_pylist(list(last.values()))).to_pylist()
+        assert all(s["is_sure"] for s in states)
+        starts, texts = {s["block"]: s["state"] for s in states}, []
+        for p in pieces:
+            if p["out_outside" if starts[p["block"]] == 0 else "out_inside"] == 2:
+                raise AssertionError("unclear")
+            begins = p["in_outside" if starts[p["block"]] == 0 else "in_inside"] == 0
+            texts += [[p["text"]]] if begins else []
+            if not begins:
+                texts[-1].append(p["text"])
+        return [t for t in map("\n".join, texts) if t]
+
+    for rows in by_table.values():
+        one = records(rows, [])
+        assert one[0] == "k\tt\tu" and len(one) == 31
+        for _ in range(30):
+            cuts = sorted(rng.sample(range(1, len(rows)), rng.randint(1, min(12, len(rows) - 1))))
+            assert records(rows, cuts) == one
+
+
+def test_a_cell_longer_than_splits_is_one_cell(spark, tmp_path, with_conf):
+    with_conf(spark__sql__files__maxPartitionBytes="16k", spark__sql__files__openCostInBytes="0")
+    long = "line\n" * 20_000
+    path = _file(tmp_path, f'k\tt\n1\t"{long}end"\n2\t"{long}"\n3\tx\n')
+    rows = read_delimited(spark, path, schema="k int, t string", lineSep="\n", min_splits=2).collect()
+    assert sorted(map(tuple, rows)) == [(1, f"{long}end"), (2, long), (3, "x")]
+
+
+@pytest.mark.parametrize("cell", ['"left\nopen', '"two" words\nend', '"a\n"b'])
+def test_files_that_end_unclearly_are_read_whole(spark, tmp_path, with_conf, cell):
+    path = _file(tmp_path, "k\tt\n" + '1\t"two\nlines"\n' * 2000 + f"2\t{cell}\n")
+    whole = read_delimited(spark, path, schema="k string, t string", multi_line=True)
+    with_conf(spark__sql__files__maxPartitionBytes="16k", spark__sql__files__openCostInBytes="0")
+    found = read_delimited(spark, path, schema="k string, t string", min_splits=2)
+    assert found.rdd.getNumPartitions() == 1
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_names_and_types_of_files_that_span_lines(spark, tmp_path, with_conf):
+    rows = '1\t2.5\t"a\nb"\t"2024-01-01\n10:00:00"\n2\t\tc\t\n'
+    path = _file(tmp_path, '"k\n1"\tv\tt\td\n' + rows * 1500)
+    whole = [read_delimited(spark, path, infer=i, multi_line=True) for i in (True, False)]
+    with_conf(spark__sql__files__maxPartitionBytes="16k", spark__sql__files__openCostInBytes="0")
+    found = [read_delimited(spark, path, infer=i, min_splits=2) for i in (True, False)]
+    for ours, theirs in zip(found, whole):
+        assert ours.dtypes == theirs.dtypes and ours.rdd.getNumPartitions() > 1
+        assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
+    assert found[0].columns[0] == "k\n1" and dict(found[0].dtypes)["v"] == "double"
+    assert dict(found[0].dtypes)["d"] == "string" and {kind for _, kind in found[1].dtypes} == {"string"}
+
+
 def test_other_quotes_and_long_separators_are_read_whole(spark, tmp_path, with_conf):
     with_conf(spark__sql__files__maxPartitionBytes="1k", spark__sql__files__openCostInBytes="0")
     path = _file(tmp_path, "k\tt\n" + "".join(f"{i}\t'two\nlines'\n" for i in range(500)))
