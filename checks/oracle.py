@@ -118,6 +118,82 @@ PERFECT = """
   FROM judged"""
 
 
+def _bucket(key: str, salt: str) -> str:
+    return f"('0x' || substr(md5('{salt}:' || {key}::VARCHAR), 1, 8))::BIGINT"
+
+
+def _in_train(key: str) -> str:
+    return f"{_bucket(key, 'split:42')} < {int(0.8 * 2**32)}"
+
+
+# Line items with two flags and labels that overlap: four cells, each with its own share of ones.
+FLAGGED = f"""
+flagged AS (
+  SELECT (l_linenumber > 3)::INT AS late, (l_quantity > 25)::INT AS large,
+         (l_partkey % 10 < CASE WHEN l_linenumber <= 3 AND l_quantity <= 25 THEN 2 WHEN l_quantity <= 25 THEN 7
+                                WHEN l_linenumber <= 3 THEN 6 ELSE 4 END)::INT AS label,
+         {_in_train("l_orderkey")} AS in_train
+  FROM lineitem),
+shares AS (SELECT late, large, count(*)::DOUBLE AS n, sum(label)::DOUBLE AS y, avg(label) AS p
+           FROM flagged WHERE in_train GROUP BY late, large)"""
+
+# Scores by family. Boosting: the first tree has the means of labels -1 and 1, nine more follow the slope
+# of the logistic loss at a tenth of their leaves' means. Logistic: Newton's method on the cells, without interaction.
+FAMILY_SCORES = {
+    "forest": "SELECT late, large, p AS score FROM shares",
+    "boosted": """
+  WITH RECURSIVE boost AS (
+    SELECT late, large, p, 1 AS step, 2 * p - 1 AS f FROM shares
+    UNION ALL
+    SELECT late, large, p, step + 1, f + 0.1 * (4 * p / (1 + exp(2 * f)) - 4 * (1 - p) / (1 + exp(-2 * f)))
+    FROM boost WHERE step < 10)
+  SELECT late, large, 1 / (1 + exp(-2 * f)) AS score FROM boost WHERE step = 10""",
+    "logistic": """
+  WITH RECURSIVE
+    t AS (SELECT max(n) FILTER (WHERE late + large = 0) AS n0, max(n) FILTER (WHERE late > large) AS na,
+                 max(n) FILTER (WHERE late < large) AS nb, max(n) FILTER (WHERE late + large = 2) AS nc,
+                 max(y) FILTER (WHERE late + large = 0) AS y0, max(y) FILTER (WHERE late > large) AS ya,
+                 max(y) FILTER (WHERE late < large) AS yb, max(y) FILTER (WHERE late + large = 2) AS yc
+          FROM shares),
+    newton AS (
+      SELECT 1 AS step, 0.0::DOUBLE AS w, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb
+      UNION ALL
+      SELECT step + 1, w + (g * (haa * hbb - hab * hab) + ga * (hab * hb - ha * hbb) + gb * (ha * hab - haa * hb)) / det,
+             wa + (g * (hab * hb - ha * hbb) + ga * (h * hbb - hb * hb) + gb * (ha * hb - h * hab)) / det,
+             wb + (g * (ha * hab - haa * hb) + ga * (ha * hb - h * hab) + gb * (h * haa - ha * ha)) / det
+      FROM (
+        SELECT *, h * (haa * hbb - hab * hab) - ha * (ha * hbb - hab * hb) + hb * (ha * hab - haa * hb) AS det
+        FROM (
+          SELECT step, w, wa, wb, y0 - n0 * p0 + ya - na * pa + yb - nb * pb + yc - nc * pc AS g,
+                 ya - na * pa + yc - nc * pc AS ga, yb - nb * pb + yc - nc * pc AS gb,
+                 v0 + va + vb + vc AS h, va + vc AS ha, vb + vc AS hb, va + vc AS haa, vb + vc AS hbb, vc AS hab
+          FROM (
+            SELECT *, n0 * p0 * (1 - p0) AS v0, na * pa * (1 - pa) AS va, nb * pb * (1 - pb) AS vb, nc * pc * (1 - pc) AS vc
+            FROM (
+              SELECT *, 1 / (1 + exp(-w)) AS p0, 1 / (1 + exp(-w - wa)) AS pa, 1 / (1 + exp(-w - wb)) AS pb,
+                     1 / (1 + exp(-w - wa - wb)) AS pc
+              FROM newton, t WHERE step < 20)))))
+  SELECT late, large, 1 / (1 + exp(-w - late * wa - large * wb)) AS score FROM newton, shares WHERE step = 20""",
+}
+
+
+def _cell_scores(model: str, family: str, n_trees: str = "NULL") -> str:
+    return f"""
+SELECT '{model}' AS model, {n_trees}::INT AS n_trees, late::DOUBLE AS late_n, large::DOUBLE AS large_n, n_test,
+       true AS is_one_score, round(score, 4) AS score
+FROM ({FAMILY_SCORES[family]}) JOIN (SELECT late, large, count(*) AS n_test FROM flagged WHERE NOT in_train GROUP BY late, large)
+     USING (late, large)"""
+
+
+def _flag_metrics(model: str, family: str) -> str:
+    return f"""
+SELECT '{model}' AS model, * FROM (
+  WITH judged AS (SELECT label, score, (score > 0.5)::INT AS prediction
+                  FROM flagged JOIN ({FAMILY_SCORES[family]}) USING (late, large) WHERE NOT in_train),
+       {ALL_POINTS}, cells AS ({_cells('prediction')})
+  SELECT *, (SELECT auc FROM area) AS auc FROM ({_rates('cells')}))"""
+
+
 def _tells(name: str, rule: str, source: str) -> str:
     """1 if a column's value alone gives the label, else 0."""
     return (
@@ -148,14 +224,6 @@ METRIC_REPORT = (
 )
 
 
-def _bucket(key: str, salt: str) -> str:
-    return f"('0x' || substr(md5('{salt}:' || {key}::VARCHAR), 1, 8))::BIGINT"
-
-
-def _in_train(key: str) -> str:
-    return f"{_bucket(key, 'split:42')} < {int(0.8 * 2**32)}"
-
-
 def _scaled(name: str, bounds: str) -> str:
     return (
         f"round(coalesce(({name} - (SELECT min({name}) FROM {bounds})) / "
@@ -396,6 +464,52 @@ FROM {variants}, (SELECT 'tp' AS name, tp AS n FROM cells UNION ALL SELECT 'tn',
 UNION ALL SELECT 'label ' || (c_nationkey > 12)::INT, count(*) FROM customer GROUP BY c_nationkey > 12
 UNION ALL SELECT 'wrong rows', fp + fn FROM cells"""
 
+    families = {"Random Forest": "forest", "Logistic Regression": "logistic", "GBT": "boosted"}
+    sql["trained_cells"] = (
+        f"WITH {FLAGGED} {_cell_scores('base forest', 'forest', '100')} "
+        f"UNION ALL {_cell_scores('boosted trees', 'boosted')} UNION ALL {_cell_scores('logistic', 'logistic')}"
+    )
+    sql["compared_cells"] = f"WITH {FLAGGED} " + " UNION ALL ".join(
+        _cell_scores(model, family, "20" if family == "forest" else "NULL") for model, family in families.items()
+    )
+    sql["compare_overlapping"] = f"WITH {FLAGGED} " + " UNION ALL ".join(
+        _flag_metrics(model, family) for model, family in families.items()
+    )
+    sql["train_stump"] = f"""
+WITH lines AS (
+       SELECT l_linenumber::DOUBLE AS line, l_quantity AS quantity, {_in_train('l_orderkey')} AS in_train,
+              (l_partkey % 10 < CASE WHEN l_quantity > 33 THEN 7 WHEN l_linenumber > 5 THEN 5 ELSE 3 END)::INT AS label
+       FROM lineitem),
+     counted AS (
+       SELECT feature, value, sum(n)::DOUBLE AS n, sum(y)::DOUBLE AS y FROM (
+         SELECT 'line' AS feature, line AS value, count(*) AS n, sum(label) AS y FROM lines WHERE in_train GROUP BY line
+         UNION ALL
+         SELECT 'quantity', quantity, count(*), sum(label) FROM lines WHERE in_train GROUP BY quantity)
+       GROUP BY feature, value),
+     sides AS (
+       SELECT feature, value, sum(n) OVER low AS n1, sum(y) OVER low AS y1,
+              sum(n) OVER (PARTITION BY feature) AS n, sum(y) OVER (PARTITION BY feature) AS y
+       FROM counted WINDOW low AS (PARTITION BY feature ORDER BY value)),
+     best AS (  -- the least mean Gini impurity of both sides
+       SELECT * FROM sides WHERE n1 < n
+       ORDER BY y1 * (n1 - y1) / n1 + (y - y1) * (n - n1 - y + y1) / (n - n1), feature, value LIMIT 1),
+     sided AS (
+       SELECT quantity, CASE WHEN (CASE feature WHEN 'line' THEN line ELSE quantity END) <= value
+                             THEN y1 / n1 ELSE (y - y1) / (n - n1) END AS score
+       FROM lines, best WHERE NOT in_train)
+SELECT (score > 0.5)::INT AS prediction, round(score, 6) AS score, count(*) AS n_test,
+       min(quantity) AS least, max(quantity) AS most
+FROM sided GROUP BY 1, 2"""
+    votes = ", ".join(f"max(vote) FILTER (WHERE subset = {i}) AS vote_{i}" for i in range(5))
+    sql["balanced_votes"] = f"""
+WITH told AS (SELECT o_orderkey, (o_custkey % 8)::DOUBLE AS cell_n, (o_orderkey % 7 < 2)::INT AS label,
+                     {_in_train('o_orderkey')} AS in_train FROM orders),
+     members AS ({_subsets('SELECT o_orderkey, label FROM told WHERE in_train', 'o_orderkey', 5)}),
+     voted AS (SELECT cell_n, subset, (avg(m.label) > 0.5)::INT AS vote
+               FROM members m JOIN told USING (o_orderkey) GROUP BY cell_n, subset),
+     by_cell AS (SELECT cell_n, {votes}, (sum(vote) > 2)::INT AS prediction FROM voted GROUP BY cell_n)
+SELECT o_orderkey, cell_n, label, by_cell.* EXCLUDE (cell_n) FROM told JOIN by_cell USING (cell_n) WHERE NOT in_train"""
+
     sql["median_sketch_rank"] = f"WITH {LINE_PRICES} " + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count({c}) AS n_values, count({c}) > 0 AS is_middle FROM line_prices"
         for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -749,6 +750,126 @@ def misclassified_lookup(spark, sf_dir):
     return evaluation.misclassified(judged, "key", ["n_chars", "lang"], limit=None, source=docs)
 
 
+# Overlapping classes: no rule tells the label, yet what each family makes of four cells of two
+# flags is known. Trees end at the share of ones of each cell, or at the steps of boosting
+# towards it; a logistic model has no interaction of the flags, on which the shares do depend.
+
+
+def flagged_lines(spark: SparkSession, sf_dir: str) -> tuple[Prepared, list[str]]:
+    """All line items with two flags, labelled 1 in 2, 7, 6 or 4 of ten cases, by the part's key."""
+    late, large = F.col("l_linenumber") > 3, F.col("l_quantity") > 25
+    tenths = F.when(~late & ~large, 2).when(late & ~large, 7).when(~late, 6).otherwise(4)
+    source = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        late.cast("int").alias("late_n"),
+        large.cast("int").alias("large_n"),
+        (F.col("l_partkey") % 10 < tenths).cast("int").alias("rule"),
+    )
+    prepared = prepare(source, rule_config("l_orderkey"))
+    return prepared, ["late_n", "large_n"]
+
+
+def cell_scores(prepared: Prepared, scored: DataFrame, model: str, n_trees: int | None) -> DataFrame:
+    """Test rows and mean score of each cell; a forest's score counts as the share it is near to.
+
+    Near is within six standard errors of a mean over that many bootstrap samples.
+    """
+    cells = ["late_n", "large_n"]
+    shares = prepared.train.groupBy(cells).agg(F.avg(F.col("label").cast("double")).alias("p"), F.count("label").alias("n"))
+    found = scored.groupBy(cells).agg(
+        F.count(F.lit(1)).alias("n_test"),
+        (F.max("score") == F.min("score")).alias("is_one_score"),
+        F.avg("score").alias("score"),
+    )
+    score = F.col("score")
+    if n_trees is not None:
+        near = F.abs(score - F.col("p")) < 6 * F.sqrt(F.col("p") * (1 - F.col("p")) / F.col("n") / n_trees)
+        score = F.when(near, F.col("p")).otherwise(score)
+    return found.join(shares, cells).select(
+        F.lit(model).alias("model"),
+        F.lit(n_trees).cast("int").alias("n_trees"),
+        *cells,
+        "n_test",
+        "is_one_score",
+        F.round(score, 4).alias("score"),
+    )
+
+
+@query
+def trained_cells(spark, sf_dir):
+    """Each stock model's score in each cell."""
+    prepared, names = flagged_lines(spark, sf_dir)
+    split = prepared.train, prepared.test
+    found = []
+    for name, classifier in (
+        ("base forest", training.base_forest()),
+        ("boosted trees", training.boosted_trees()),
+        ("logistic", training.logistic()),
+    ):
+        trained = training.train_model(prepared.labelled, names, classifier, split=split)
+        scored = training.score(trained.model, trained.test, names)
+        model = training.classifier_of(trained.model)
+        trees = model.getNumTrees if "RandomForest" in type(model).__name__ else None
+        found.append(cell_scores(prepared, scored, name, trees))
+    return reduce(DataFrame.unionAll, found)
+
+
+def _compared_flags(spark, sf_dir):
+    prepared, names = flagged_lines(spark, sf_dir)
+    return prepared, comparison.compare_models(prepared.train, prepared.test, names, names)
+
+
+@query
+def compare_overlapping(spark, sf_dir):
+    """Metrics of the three families: trees catch the interaction, the logistic model does not."""
+    return _compared_flags(spark, sf_dir)[1].report
+
+
+@query
+def compared_cells(spark, sf_dir):
+    """Scores of the compared models in each cell, which differ by family where the metrics agree."""
+    prepared, compared = _compared_flags(spark, sf_dir)
+    trees = {"Random Forest": training.classifier_of(compared.models["Random Forest"]).getNumTrees}
+    found = [cell_scores(prepared, scored, name, trees.get(name)) for name, scored in compared.scored.items()]
+    return reduce(DataFrame.unionAll, found)
+
+
+@query
+def train_stump(spark, sf_dir):
+    """A tree of one split must take the best of all features and values."""
+    lines = table(spark, sf_dir, "lineitem")
+    source = lines.select(
+        "l_orderkey",
+        F.col("l_linenumber").alias("line_n"),
+        F.col("l_quantity").alias("quantity_n"),
+        (F.col("l_partkey") % 10 < F.when(F.col("l_quantity") > 33, 7).when(F.col("l_linenumber") > 5, 5).otherwise(3))
+        .cast("int")
+        .alias("rule"),
+    )
+    prepared = prepare(source, rule_config("l_orderkey"))
+    stump = RandomForestClassifier(numTrees=1, maxDepth=1, maxBins=64, bootstrap=False, labelCol="label")
+    trained = training.train_model(
+        prepared.labelled, ["line_n", "quantity_n"], stump, split=(prepared.train, prepared.test)
+    )
+    scored = training.score(trained.model, trained.test, ["quantity_n"])
+    return scored.groupBy("prediction", F.round("score", 6).alias("score")).agg(
+        F.count(F.lit(1)).alias("n_test"), F.min("quantity_n").alias("least"), F.max("quantity_n").alias("most")
+    )
+
+
+@query
+def balanced_votes(spark, sf_dir):
+    """Votes of trees on labels that features tell nothing of, so that members disagree and the majority decides."""
+    source = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.pmod("o_custkey", F.lit(8)).alias("cell_n"), (F.col("o_orderkey") % 7 < 2).cast("int").alias("rule")
+    )
+    prepared = prepare(source, rule_config("o_orderkey"))
+    # One tree on all of its rows, deep enough for a leaf per cell.
+    tree = RandomForestClassifier(numTrees=1, maxDepth=8, bootstrap=False, labelCol="label")
+    ensemble = training.fit_balanced_ensemble(prepared.train, ["cell_n"], "o_orderkey", classifier=tree)
+    return ensemble.score(prepared.test, ["o_orderkey", "cell_n"])
+
+
 # What must hold of any trained model, whatever it learned ----------------------------
 
 

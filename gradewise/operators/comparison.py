@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradewise.operators.evaluation import evaluate
-from gradewise.operators.features import MEDIAN_ERROR
+from gradewise.operators.features import MEDIAN_ERROR, store_vectors
 from gradewise.operators.labeling import LABEL
-from gradewise.operators.training import fit_classifier, fit_features, stock_classifiers
+from gradewise.operators.training import classifier_of, fit_features, fit_on_vectors, in_pool, stock_classifiers
 from gradewise.sources.reports import BASE, OPTIMISED
 
 # Measures of the base-optimised comparison, in report order.
@@ -26,6 +27,38 @@ class Compared:
     scored: dict[str, DataFrame]
 
 
+def fit_and_evaluate(
+    vectors: tuple[DataFrame, DataFrame],
+    prepared: PipelineModel,
+    classifiers: dict[str, Estimator],
+    keep: Iterable[str],
+    label: str = LABEL,
+    parallelism: int = 2,
+) -> dict[str, tuple[PipelineModel, DataFrame, DataFrame]]:
+    """By name the model, its metrics and the scored test rows; ``parallelism`` models at a time.
+
+    ``vectors`` are stored training and test rows with the ``features`` that ``prepared`` makes.
+    """
+    train, test = vectors
+
+    def one(classifier: Estimator) -> tuple[PipelineModel, DataFrame, DataFrame]:
+        model = fit_on_vectors(train, prepared, classifier)
+        return model, *evaluate(classifier_of(model), test, keep, label)
+
+    found = in_pool(train.sparkSession, parallelism, one, classifiers.values())
+    return dict(zip(classifiers, found))
+
+
+def compared(found: dict[str, tuple[PipelineModel, DataFrame, DataFrame]]) -> Compared:
+    """The report of models that were fitted on the same rows, a row each."""
+    rows = [metrics.select(F.lit(name).alias("model"), "*") for name, (_, metrics, _) in found.items()]
+    return Compared(
+        reduce(DataFrame.unionByName, rows),
+        {name: model for name, (model, _, _) in found.items()},
+        {name: scored for name, (_, _, scored) in found.items()},
+    )
+
+
 def compare_models(
     train: DataFrame,
     test: DataFrame,
@@ -35,16 +68,17 @@ def compare_models(
     label: str = LABEL,
     prepared: PipelineModel | None = None,
     relative_error: float = MEDIAN_ERROR,
+    parallelism: int = 2,
 ) -> Compared:
-    """Fit and evaluate each classifier on the same rows behind the same feature stages."""
+    """Fit and evaluate each classifier on the same rows behind the same feature stages.
+
+    Both parts' vectors are stored, once for all classifiers.
+    """
+    keep = list(keep)
     prepared = prepared or fit_features(train, features, relative_error)
-    report, models, scored = None, {}, {}
-    for name, classifier in (classifiers or stock_classifiers(label)).items():
-        models[name] = fit_classifier(train, prepared, classifier)
-        found, scored[name] = evaluate(models[name], test, keep, label)
-        row = found.select(F.lit(name).alias("model"), "*")
-        report = row if report is None else report.unionByName(row)
-    return Compared(report, models, scored)
+    vectors = tuple(store_vectors(rows, {"features": prepared}, [*keep, label]) for rows in (train, test))
+    classifiers = classifiers or stock_classifiers(label)
+    return compared(fit_and_evaluate(vectors, prepared, classifiers, keep, label, parallelism))
 
 
 def compare_confusions(base: DataFrame, optimised: DataFrame) -> DataFrame:

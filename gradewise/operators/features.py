@@ -6,7 +6,7 @@ the training rows it belongs to and on nothing else.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import (
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from gradewise.functions import column
 from gradewise.operators.medians import ExactMedianImputer
+from gradewise.sources.scratch import materialize
 
 # Spark's own default error of the median sketch; 0 means exact.
 MEDIAN_ERROR = 0.001
@@ -63,6 +64,22 @@ def feature_stages(features: list[str], relative_error: float = MEDIAN_ERROR) ->
     ]
 
 
+def store_vectors(
+    df: DataFrame, stages: Mapping[str, PipelineModel], keep: Iterable[str], partition_by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Written table of the columns ``keep`` and one vector column per fitted set of stages, named as it is in ``stages``.
+
+    All sets run in one pass over ``df``; whatever learns from the vectors then reads one
+    column, without imputing or scaling again.
+    """
+    keep, vectors = list(dict.fromkeys(keep)), df
+    for i, model in enumerate(stages.values()):
+        made = model.transform(vectors)
+        vectors = made.select(*[column(c) for c in vectors.columns], F.col("features").alias(f"__vector_{i}"))
+    named = [F.col(f"__vector_{i}").alias(name) for i, name in enumerate(stages)]
+    return materialize(vectors.select(*[column(c) for c in keep], *named), "vectors", partition_by)
+
+
 def vector_columns(
     df: DataFrame, features: list[str], vector: str = "features", keep: Iterable[str] = ()
 ) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -12,11 +15,11 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradewise.functions import column, majority
-from gradewise.operators.features import MEDIAN_ERROR, feature_stages, top_feature_slicer
+from gradewise.operators.features import MEDIAN_ERROR, feature_stages, store_vectors, top_feature_slicer
 from gradewise.operators.labeling import LABEL
 from gradewise.operators.sampling import SEED, hash_split, random_split, subset_conditions
 
@@ -24,6 +27,9 @@ from gradewise.operators.sampling import SEED, hash_split, random_split, subset_
 BASE_TREES, BASE_DEPTH = 100, 5
 ITERATIONS = 10
 
+#: Subsets that one number tells of.
+MASK_BITS = 62
+
 
 def base_forest(label: str = LABEL) -> RandomForestClassifier:
     """The default model: 100 trees of depth 5."""
@@ -63,8 +69,24 @@ def fit_features(
 
 def fit_classifier(train: DataFrame, prepared: PipelineModel, classifier: Estimator) -> PipelineModel:
     """Fit any classifier behind already fitted feature stages; one model from raw columns."""
-    vectors = prepared.transform(train).select("features", classifier.getLabelCol())
-    return PipelineModel(stages=[*prepared.stages, classifier.fit(vectors)])
+    return fit_on_vectors(prepared.transform(train), prepared, classifier)
+
+
+def fit_on_vectors(
+    vectors: DataFrame, prepared: PipelineModel, classifier: Estimator, name: str = "features"
+) -> PipelineModel:
+    """Fit a classifier on vectors that ``prepared`` made; one model from raw columns."""
+    rows = vectors.select(column(name).alias("features"), classifier.getLabelCol())
+    return PipelineModel(stages=[*prepared.stages, classifier.fit(rows)])
+
+
+def in_pool(spark: SparkSession, parallelism: int, work: Callable, tasks: Iterable) -> list:
+    """Results of ``work`` for each task, in their order, with at most ``parallelism`` of them under way."""
+    tasks = list(tasks)
+    if not tasks:
+        return []
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), tasks, chunksize=1)
 
 
 @dataclass
@@ -172,12 +194,28 @@ def fit_balanced_ensemble(
     classifier: Estimator | None = None,
     label: str = LABEL,
     relative_error: float = MEDIAN_ERROR,
+    parallelism: int = 2,
 ) -> VotingEnsemble:
-    """One classifier per class-balanced subset; subsets are filters, never copies."""
+    """One classifier per class-balanced subset, ``parallelism`` of them fitted at a time.
+
+    Vectors are stored once, each with the subsets its row belongs to as bits of a mask, so a
+    member reads its rows by testing a bit.
+    """
     classifier = classifier or plain_forest(label)
     prepared = fit_features(train, features, relative_error)
-    members = [
-        classifier_of(fit_classifier(train.filter(c), prepared, classifier))
-        for c in subset_conditions(train, key, label, subsets)
-    ]
-    return VotingEnsemble(prepared, members)
+    conditions = subset_conditions(train, key, label, subsets)
+    masks = {f"__mask_{at}": subset_mask(conditions[at : at + MASK_BITS]) for at in range(0, subsets, MASK_BITS)}
+    vectors = store_vectors(train.withColumns(masks), {"features": prepared}, [label, *masks])
+
+    def member(i: int) -> Model:
+        at, bit = i // MASK_BITS * MASK_BITS, i % MASK_BITS
+        rows = vectors.filter(F.col(f"__mask_{at}").bitwiseAND(F.lit(1 << bit)) != 0)
+        return classifier_of(fit_on_vectors(rows, prepared, classifier.copy()))
+
+    return VotingEnsemble(prepared, in_pool(train.sparkSession, parallelism, member, range(subsets)))
+
+
+def subset_mask(conditions: list[Column]) -> Column:
+    """The places of the conditions that hold, as bits of one number."""
+    bits = [F.when(c, F.lit(1 << i).cast("long")).otherwise(F.lit(0)) for i, c in enumerate(conditions)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)

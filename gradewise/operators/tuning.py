@@ -1,17 +1,15 @@
 """Parameter grid, k-fold cross-validation and its report.
 
 Spark's own cross-validator would refit the feature stages for every candidate and,
-given a fold column from Python, check it with a row-at-a-time UDF. Here folds are
-plain filters, and the feature stages are fitted once per fold.
+given a fold column from Python, check it with a row-at-a-time UDF. Here the feature stages
+are fitted once per fold, their vectors are stored in one table, and folds are its folders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.tuning import ParamGridBuilder
@@ -20,8 +18,8 @@ from pyspark.sql import functions as F
 
 from gradewise.functions import column
 from gradewise.operators.evaluation import auc_evaluator
-from gradewise.operators.features import MEDIAN_ERROR
-from gradewise.operators.training import fit_classifier, fit_features
+from gradewise.operators.features import MEDIAN_ERROR, store_vectors
+from gradewise.operators.training import fit_features, fit_on_vectors, in_pool
 
 # The grid and the folds.
 TREES = (50, 100)
@@ -49,6 +47,43 @@ class Tuned:
     report: DataFrame
 
 
+@dataclass
+class FoldVectors:
+    """Vectors of training rows as all of them, and as those outside each fold, make them; with the stages that do."""
+
+    stages: dict[str, PipelineModel]
+    table: DataFrame
+
+
+def without(fold: int) -> str:
+    """Name of the vectors that know nothing of a fold."""
+    return f"features_without_{fold}"
+
+
+def fold_stages(
+    train: DataFrame,
+    features: list[str],
+    fold: str,
+    folds: int = FOLDS,
+    parallelism: int = PARALLELISM,
+    relative_error: float = MEDIAN_ERROR,
+) -> dict[str, PipelineModel]:
+    """Feature stages fitted on all training rows, ``features``, and on those outside each fold."""
+    parts = {"features": train} | {without(i): train.filter(column(fold) != i) for i in range(folds)}
+    fitted = in_pool(
+        train.sparkSession, parallelism, lambda rows: fit_features(rows, features, relative_error), parts.values()
+    )
+    return dict(zip(parts, fitted))
+
+
+def fold_vectors(
+    train: DataFrame, features: list[str], label: str, fold: str, folds: int = FOLDS, **options
+) -> FoldVectors:
+    """Fit the stages and store all vectors of ``train``, laid out by fold."""
+    stages = fold_stages(train, features, fold, folds, **options)
+    return FoldVectors(stages, store_vectors(train, stages, [label, fold], (fold,)))
+
+
 def cross_validate(
     train: DataFrame,
     features: list[str],
@@ -59,56 +94,40 @@ def cross_validate(
     parallelism: int = PARALLELISM,
     evaluator: Evaluator | None = None,
     relative_error: float = MEDIAN_ERROR,
-    prepared: PipelineModel | None = None,
+    vectors: FoldVectors | None = None,
 ) -> Tuned:
     """Choose the candidate with the best mean AUC over the folds named by column ``fold``.
 
-    ``prepared`` are feature stages already fitted on all of ``train``, for the refit.
+    All fits, each of a candidate without a fold, share one pool of ``parallelism`` threads,
+    so no fold waits for another one's last fit. They read stored vectors, ``vectors`` if they
+    are there already; beside those there are no more copies than the fits under way hold.
     """
     foreign = {p.name for params in grid for p in params if p.parent != classifier.uid}
     if foreign:
         raise ValueError(f"grid parameters of another estimator: {sorted(foreign)}")
-    evaluator = evaluator or auc_evaluator(classifier.getLabelCol())
-    scores = [
-        _fold_scores(train, features, classifier, grid, fold, i, parallelism, evaluator, relative_error)
-        for i in range(folds)
-    ]
-    means = [sum(s[i] for s in scores) / folds for i in range(len(grid))]
+    label = classifier.getLabelCol()
+    evaluator = evaluator or auc_evaluator(label)
+    vectors = vectors or fold_vectors(
+        train, features, label, fold, folds, parallelism=parallelism, relative_error=relative_error
+    )
+
+    def fold_score(task: tuple[int, int]) -> float:
+        candidate, held_out = task
+        rows = vectors.table.select(column(without(held_out)).alias("features"), label, column(fold))
+        model = classifier.copy(grid[candidate]).fit(rows.filter(column(fold) != held_out).drop(fold))
+        return evaluator.evaluate(model.transform(rows.filter(column(fold) == held_out)))
+
+    # Grids tend to list small models first; begun last they fill what the large ones leave.
+    tasks = [(c, i) for c in reversed(range(len(grid))) for i in range(folds)]
+    found = dict(zip(tasks, in_pool(train.sparkSession, parallelism, fold_score, tasks)))
+    means = [sum(found[c, i] for i in range(folds)) / folds for c in range(len(grid))]
     pick = max if evaluator.isLargerBetter() else min
     best = means.index(pick(means))
-    prepared = prepared or fit_features(train, features, relative_error)
-    model = fit_classifier(train, prepared, classifier.copy(grid[best]))
+    model = fit_on_vectors(vectors.table, vectors.stages["features"], classifier.copy(grid[best]))
     params = {p.name: value for p, value in grid[best].items()}
     return Tuned(model, params, _report(train, grid, means, best))
 
 
-def _fold_scores(
-    train, features, classifier, grid, fold, held_out, parallelism, evaluator, relative_error
-) -> list[float]:
-    """Every candidate's score on one fold, with all learning done on the other folds."""
-    label = classifier.getLabelCol()
-    fit_rows = train.filter(column(fold) != held_out)
-    prepared = fit_features(fit_rows, features, relative_error)
-    fit_vectors, test_vectors = (
-        prepared.transform(rows).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
-        for rows in (fit_rows, train.filter(column(fold) == held_out))
-    )
-    candidates = classifier.fitMultiple(fit_vectors, grid)
-
-    def next_score(_) -> tuple[int, float]:
-        index, model = next(candidates)
-        return index, evaluator.evaluate(model.transform(test_vectors))
-
-    try:
-        with ThreadPool(min(parallelism, len(grid))) as pool:
-            target = inheritable_thread_target(train.sparkSession)(next_score)
-            found = dict(pool.imap_unordered(target, range(len(grid))))
-    finally:
-        fit_vectors.unpersist()
-        test_vectors.unpersist()
-    return [found[i] for i in range(len(grid))]
-
-
 def _report(df: DataFrame, grid: list[dict], means: list[float], best: int) -> DataFrame:
     """One row per candidate: its parameters (null where it sets none), mean AUC, and if it was chosen."""
     names = list(dict.fromkeys(p.name for params in grid for p in params))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gradewise.functions import column, grade_label, row_key
 from gradewise.operators import cleaning, comparison, evaluation, labeling, training, tuning
-from gradewise.operators.features import MEDIAN_ERROR, preprocess_status, vector_columns
+from gradewise.operators.features import MEDIAN_ERROR, preprocess_status, store_vectors, vector_columns
 from gradewise.operators.labeling import LABEL
 from gradewise.operators.sampling import SEED, TRAIN_RATIO, fold_of, identity, in_train
 from gradewise.sources import (
@@ -150,12 +150,15 @@ def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentRes
     prepared = prepare(source, config)
     train, test, key = prepared.train, prepared.test, prepared.key
     features = cleaning.dense_columns(train, prepared.candidates, config.max_missing_share)
-    stages = training.fit_features(train, features, config.relative_error)
     shown = [c for c in map(cleaning.undotted, config.shown_features) if c in features]
     carried = list(dict.fromkeys([key, *shown]))  # all else is in the prepared table, by key
 
-    base = training.fit_classifier(train, stages, training.base_forest())
-    base_metrics, base_scored = evaluation.evaluate(base, test, carried)
+    # Imputing and scaling run once per fitted set of stages; every model reads the stored vectors.
+    sets = tuning.fold_stages(train, features, "fold", config.folds, config.parallelism, config.relative_error)
+    stages = sets["features"]
+    layout = ("part", "fold")
+    vectors = store_vectors(prepared.labelled, sets, [*carried, LABEL, *layout], layout)
+    train_vectors, test_vectors = (vectors.filter(F.col("part") == part) for part in ("train", "test"))
 
     forest = training.plain_forest()
     tuned = tuning.cross_validate(
@@ -166,11 +169,18 @@ def run_experiment(source: DataFrame, config: ExperimentConfig) -> ExperimentRes
         fold="fold",
         folds=config.folds,
         parallelism=config.parallelism,
-        relative_error=config.relative_error,
-        prepared=stages,
+        vectors=tuning.FoldVectors(sets, train_vectors),
     )
-    tuned_metrics, tuned_scored = evaluation.evaluate(tuned.model, test, carried)
-    compared = comparison.compare_models(train, test, features, carried, prepared=stages)
+    tuned_metrics, tuned_scored = evaluation.evaluate(training.classifier_of(tuned.model), test_vectors, carried)
+    fitted = comparison.fit_and_evaluate(
+        (train_vectors, test_vectors),
+        stages,
+        {BASE: training.base_forest(), **training.stock_classifiers()},
+        carried,
+        parallelism=config.parallelism,
+    )
+    base, base_metrics, base_scored = fitted.pop(BASE)
+    compared = comparison.compared(fitted)
 
     scored = {BASE: base_scored, OPTIMISED: tuned_scored, **compared.scored}
     models = {BASE: base, OPTIMISED: tuned.model, **compared.models}

@@ -4,6 +4,9 @@ import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
 
+from checks.compare import connect, differences
+from checks.oracle import oracle
+from checks.queries import REGISTRY
 from gradewise.operators import evaluation, training, tuning
 from gradewise.operators.comparison import compare_models
 from gradewise.operators.sampling import fold_of, hash_split
@@ -209,3 +212,20 @@ def test_rows_without_a_key_are_hashed(graded):
     assert prepared.key == "row_key" and prepared.table.count() == 1200
     parts = prepared.labelled.groupBy("row_key").agg(F.countDistinct("part").alias("n"))
     assert parts.filter("n > 1").isEmpty()
+
+
+@pytest.mark.parametrize(
+    "name, swapped",
+    [
+        ("boosted_trees", lambda: training.boosted_trees().setMaxIter(9)),
+        ("base_forest", lambda: training.base_forest().setNumTrees(50)),
+        ("base_forest", lambda: training.base_forest().setMaxDepth(1)),
+        ("logistic", lambda: training.logistic().setMaxIter(1)),
+        ("logistic", lambda: training.boosted_trees()),
+    ],
+)
+def test_the_check_on_overlapping_classes_sees_other_models(spark, monkeypatch, name, swapped):
+    sf_dir = "/root/testdata/sf0.001"
+    other = swapped()
+    monkeypatch.setattr(training, name, lambda: other)
+    assert differences(spark, connect(sf_dir), sf_dir, REGISTRY["trained_cells"], oracle()["trained_cells"])
