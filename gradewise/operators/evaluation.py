@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.ml import Model
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -109,11 +110,11 @@ def auc_evaluator(label: str = LABEL, bins: int = 0) -> BinaryClassificationEval
     )
 
 
-def _score_ranges(df: DataFrame, label: str, score: str, extra: list[Column]) -> DataFrame:
-    """Positives and negatives per distinct score, with the range each score lies in."""
+def _score_ranges(df: DataFrame, label: str, score: str, extra: list[Column], by: tuple[str, ...] = ()) -> DataFrame:
+    """Positives and negatives per distinct score, with the range each score lies in; ``by`` names kinds of scores."""
     scores = df.select(column(score).cast("double").alias("threshold"), "*")
     per_score = materialize(
-        scores.groupBy("threshold").agg(
+        scores.groupBy(*by, "threshold").agg(
             F.count_if(F.col(label) == 1).alias("pos"),
             F.count_if(F.col(label) == 0).alias("neg"),
             *extra,
@@ -121,27 +122,32 @@ def _score_ranges(df: DataFrame, label: str, score: str, extra: list[Column]) ->
         "scores",
     )
     # Cut among distinct scores, so that a score which most rows share does not draw the cuts.
-    parts = math.ceil(per_score.count() / SCORES_PER_RANGE)
-    steps = [i / parts for i in range(1, parts)]
-    cuts = per_score.stat.approxQuantile("threshold", steps, 1 / (4 * parts)) if steps else []
-    cuts = sorted({c for c in cuts if math.isfinite(c)})
-    if not cuts:
-        return per_score.withColumn("range", F.lit(0))
-    splits = [float("-inf"), *cuts, float("inf")]
-    ranged = Bucketizer(
-        splits=splits, inputCol="threshold", outputCol="range", handleInvalid="keep"
-    ).transform(per_score)
+    counts = per_score.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per kind
+    ranges = []
+    ranged = per_score
+    for i, row in enumerate(counts):
+        parts = math.ceil(row["n"] / SCORES_PER_RANGE)
+        own = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by], F.lit(True))
+        steps = [k / parts for k in range(1, parts)]
+        cuts = per_score.filter(own).stat.approxQuantile("threshold", steps, 1 / (4 * parts)) if steps else []
+        cuts = sorted({c for c in cuts if math.isfinite(c)})
+        if not cuts:
+            continue
+        splits = [float("-inf"), *cuts, float("inf")]
+        one = Bucketizer(splits=splits, inputCol=f"__score_{i}", outputCol=f"__range_{i}", handleInvalid="keep")
+        ranged = one.transform(ranged.withColumn(f"__score_{i}", F.when(own, F.col("threshold"))))
+        ranges.append(F.when(own, F.coalesce(F.col(f"__range_{i}").cast("int"), F.lit(-1))))
     # Never null, so that joins on it add no filter and both sides share one shuffle.
-    return ranged.withColumn("range", F.coalesce(F.col("range").cast("int"), F.lit(-1)))
+    return ranged.select(*per_score.columns, F.coalesce(*ranges, F.lit(0)).alias("range"))
 
 
-def _high_to_low():
-    return Window.partitionBy("range").orderBy(F.desc("threshold"))
+def _high_to_low(by: tuple[str, ...] = ()):
+    return Window.partitionBy(*by, "range").orderBy(F.desc("threshold"))
 
 
-def _ranges_high_to_low():
+def _ranges_high_to_low(by: tuple[str, ...] = ()):
     """For tables of ranges only: one row per ``SCORES_PER_RANGE`` distinct scores meets this window."""
-    return Window.orderBy(F.desc("range"))
+    return Window.partitionBy(*by).orderBy(F.desc("range"))
 
 
 def _sum_above(name: str, window) -> Column:
@@ -187,32 +193,42 @@ def roc_points(
     Tied scores make one step. ``drop_collinear`` leaves out points whose neighbours
     count the same positives and negatives, as they do not bend the curve.
     """
-    ranged = _score_ranges(df, label, score, [])
+    origin = df.sparkSession.range(1).select(
+        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
+    )
+    return origin.unionAll(_points(df, label, score, drop_collinear, ()))
+
+
+def _points(df: DataFrame, label: str, score: str, drop_collinear: bool, by: tuple[str, ...]) -> DataFrame:
+    """The curves' points but their origins, one curve for each value of ``by``."""
+    ranged = _score_ranges(df, label, score, [], by)
     # One row per range: 100,000 rows for ten billion distinct scores.
-    totals = ranged.groupBy("range").agg(
+    totals = ranged.groupBy(*by, "range").agg(
         F.sum("pos").alias("range_pos"),
         F.sum("neg").alias("range_neg"),
         F.max_by(F.struct("pos", "neg"), "threshold").alias("first_step"),
     )
-    everywhere = Window.partitionBy()
+    everywhere = Window.partitionBy(*by)
     offsets = totals.select(
+        *by,
         "range",
-        _sum_above("range_pos", _ranges_high_to_low()).alias("pos_offset"),
-        _sum_above("range_neg", _ranges_high_to_low()).alias("neg_offset"),
+        _sum_above("range_pos", _ranges_high_to_low(by)).alias("pos_offset"),
+        _sum_above("range_neg", _ranges_high_to_low(by)).alias("neg_offset"),
         F.sum("range_pos").over(everywhere).alias("all_pos"),
         F.sum("range_neg").over(everywhere).alias("all_neg"),
-        F.lead("first_step").over(_ranges_high_to_low()).alias("next_range_step"),
+        F.lead("first_step").over(_ranges_high_to_low(by)).alias("next_range_step"),
     )
-    upto = _high_to_low().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = _high_to_low(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     steps = ranged.select(
+        *by,
         "range",
         "threshold",
         "pos",
         "neg",
         F.sum("pos").over(upto).alias("pos_upto"),
         F.sum("neg").over(upto).alias("neg_upto"),
-        F.lead(F.struct("pos", "neg")).over(_high_to_low()).alias("next_step"),
-    ).join(F.broadcast(offsets), "range")
+        F.lead(F.struct("pos", "neg")).over(_high_to_low(by)).alias("next_step"),
+    ).join(F.broadcast(offsets), [*by, "range"])
     if drop_collinear:
         following = F.coalesce("next_step", "next_range_step")
         first = (F.col("pos_upto") + F.col("pos_offset") == F.col("pos")) & (
@@ -220,22 +236,36 @@ def roc_points(
         )
         bends = (following["pos"] != F.col("pos")) | (following["neg"] != F.col("neg"))
         steps = steps.filter(first | following.isNull() | bends)
-    points = steps.select(
+    return steps.select(
+        *by,
         "threshold",
         F.try_divide(F.col("neg_upto") + F.col("neg_offset"), "all_neg").alias("fpr"),
         F.try_divide(F.col("pos_upto") + F.col("pos_offset"), "all_pos").alias("tpr"),
     )
-    origin = df.sparkSession.range(1).select(
-        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return origin.unionAll(points)
 
 
 def roc_curves(
     scored: dict[str, DataFrame], label: str = LABEL, drop_collinear: bool = False
 ) -> DataFrame:
-    """ROC points of several scored models, ``(model, threshold, fpr, tpr)``."""
-    return _stack(scored, "model", lambda df: roc_points(df, label, "score", drop_collinear))
+    """ROC points of several scored models, ``(model, threshold, fpr, tpr)``.
+
+    All models' scores are counted by one shuffle and ranked by one window.
+    """
+    every = reduce(
+        DataFrame.unionAll,
+        [
+            df.select(F.lit(name).alias("model"), F.col(label), column("score").cast("double").alias("score"))
+            for name, df in scored.items()
+        ],
+    )
+    spark = every.sparkSession
+    origins = spark.range(1).select(
+        F.explode(F.array(*[F.lit(name) for name in scored])).alias("model"),
+        F.lit(float("inf")).alias("threshold"),
+        F.lit(0.0).alias("fpr"),
+        F.lit(0.0).alias("tpr"),
+    )
+    return origins.unionAll(_points(every, label, "score", drop_collinear, ("model",)))
 
 
 def roc_areas(scored: dict[str, DataFrame], label: str = LABEL) -> DataFrame:
@@ -293,13 +323,22 @@ def misclassified(
         unknown = [c for c in absent if source is None or c not in source.columns]
         if unknown:
             raise ValueError(f"unknown columns: {unknown}")
-        looked_up = source.select(column(key).alias("__key"), *[column(c) for c in absent])
-        same = column(key).eqNullSafe(F.col("__key"))
-        asked = looked_up.join(wrong.select(column(key)).distinct(), same, "left_semi")
-        doubled = asked.groupBy("__key").count().filter("count > 1").limit(1).collect()
+        # One read of the source: its rows of the keys asked for, counted and stored by key.
+        asked = wrong.select(column(key).alias("__asked")).distinct()
+        same = F.col("__key").eqNullSafe(F.col("__asked"))
+        cells = F.struct(*[column(c) for c in absent])
+        fetched = (
+            source.select(column(key).alias("__key"), cells.alias("__cells"))
+            .join(asked, same, "left_semi")
+            .groupBy("__key")
+            .agg(F.count(F.lit(1)).alias("__rows"), F.first("__cells").alias("__cells"))
+        )
+        fetched = materialize(fetched, "looked-up")
+        doubled = fetched.filter("__rows > 1").limit(1).collect()
         if doubled:
             raise ValueError(f"the source has several rows of key {doubled[0][0]!r}")
-        wrong = wrong.join(looked_up, same, "left")
+        cells_of = fetched.select("__key", *[F.col("__cells").getField(c).alias(c) for c in absent])
+        wrong = wrong.join(cells_of, column(key).eqNullSafe(F.col("__key")), "left")
         if limit is not None:
             wrong = wrong.orderBy(column(key))
     return wrong.select(column(key), label, prediction, *[column(c) for c in columns])

@@ -43,17 +43,17 @@ def in_train(key: str | Column, ratio: float = TRAIN_RATIO, seed: int = SEED) ->
 
 
 def hash_split(
-    df: DataFrame, key: str, ratio: float = TRAIN_RATIO, seed: int = SEED
+    df: DataFrame, key: str | None, ratio: float = TRAIN_RATIO, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Training and test rows by key; rows without one are split by their content."""
-    train = in_train(identity(df, key), ratio, seed)
+    """Training and test rows by key; rows without one, and tables without, are split by their content."""
+    train = in_train(row_key(df) if key is None else identity(df, key), ratio, seed)
     return df.filter(train), df.filter(~train)
 
 
 def random_split(
     df: DataFrame, ratio: float = TRAIN_RATIO, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Spark's own split, for tables without a key. It changes with the partitioning."""
+    """Spark's own split. It changes with the partitioning, which ``hash_split`` does not."""
     train, test = df.randomSplit([ratio, 1 - ratio], seed=seed)
     return train, test
 

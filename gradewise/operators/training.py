@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from gradewise.functions import column, majority
 from gradewise.operators.features import MEDIAN_ERROR, feature_stages, store_vectors, top_feature_slicer
 from gradewise.operators.labeling import LABEL
-from gradewise.operators.sampling import SEED, hash_split, random_split, subset_conditions
+from gradewise.operators.sampling import SEED, hash_split, subset_conditions
 
 # Sizes of the stock models.
 BASE_TREES, BASE_DEPTH = 100, 5
@@ -106,10 +106,10 @@ def train_model(
 ) -> Trained:
     """Fit the base forest or the given classifier; split first when no split is given.
 
-    With a ``key`` the split hashes it, without one it is Spark's random split.
+    The split hashes the ``key``, or the rows' content where there is none.
     """
     if split is None:
-        split = random_split(df) if key is None else hash_split(df, key)
+        split = hash_split(df, key)
     train, test = split
     prepared = fit_features(train, features, relative_error)
     return Trained(fit_classifier(train, prepared, classifier or base_forest()), train, test)

@@ -187,3 +187,48 @@ def test_looked_up_columns_lose_and_double_no_row(spark):
     doubled = source.union(spark.createDataFrame([(1, "again")], "key int, name string"))
     with pytest.raises(ValueError, match="several rows"):
         misclassified(df, "key", ["name"], source=doubled)
+
+
+def test_curves_of_several_models_are_those_of_each(spark, monkeypatch):
+    """Models of many and of few distinct scores, of one class, and without rows; null and NaN scores."""
+    monkeypatch.setattr(evaluation, "SCORES_PER_RANGE", 40)
+    nan = float("nan")
+    rows = {
+        "many": [(k, k % 3 % 2, 0, 0.0, (k * 37 % 500) / 500) for k in range(700)] + [(9, 1, 0, 0.0, None), (8, 0, 0, 0.0, nan)],
+        "few": [(k, k % 2, 0, 0.0, float(k % 7)) for k in range(100)],
+        "one class": [(k, 1, 0, 0.0, k / 90) for k in range(90)],
+        "none": [],
+    }
+    scored = {name: frame(spark, r) for name, r in rows.items()}
+    for drop in (False, True):
+        found = {}
+        for r in roc_curves(scored, drop_collinear=drop).collect():
+            found.setdefault(r["model"], []).append((str(r["threshold"]), r["fpr"], r["tpr"]))
+        assert set(found) == set(rows)
+        for name, df in scored.items():
+            alone = [(str(r[0]), r[1], r[2]) for r in roc_points(df, drop_collinear=drop).collect()]
+            assert sorted(found[name], key=str) == sorted(alone, key=str)
+
+
+def test_scores_of_all_models_take_one_shuffle(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(evaluation, "materialize", lambda df, name: made.append(df) or df)
+    roc_curves({name: frame(spark, judged(spark, seed=i)) for i, name in enumerate("abcd")})
+    plan = made[0]._jdf.queryExecution().executedPlan().toString()
+    assert len(made) == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_a_lookup_reads_its_source_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    df = frame(spark, [(k, 1, k % 2, 0.1, 0.1) for k in range(50)])
+    source = spark.range(1000).selectExpr("cast(id as int) key", "concat('n', id) name")
+    source = source.mapInPandas(counted, "key int, name string")
+    rows = misclassified(df, "key", ["name"], limit=None, source=source).collect()
+    assert sorted((r["key"], r["name"]) for r in rows) == [(k, f"n{k}") for k in range(0, 50, 2)]
+    assert read.value == 1000

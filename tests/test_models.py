@@ -1,4 +1,6 @@
 import random
+import threading
+import time
 
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -73,6 +75,61 @@ def test_train_model_splits_when_given_no_split(learnable):
         assert info == ("DecisionTreeClassificationModel", trained.train.count())
 
 
+def test_without_a_key_the_layout_does_not_matter(learnable):
+    tree = DecisionTreeClassifier(labelCol="label", seed=1)
+    keyless = learnable.drop("k")
+    parts = [
+        sorted(map(str, training.train_model(rows, FEATURES, tree).train.collect()))
+        for rows in (keyless, keyless.repartition(7, "y_100g"))
+    ]
+    assert parts[0] == parts[1] and 0 < len(parts[0]) < 600
+
+
+def test_at_most_so_many_fits_are_under_way(spark):
+    lock, state = threading.Lock(), {"now": 0, "most": 0}
+
+    def work(task):
+        with lock:
+            state["now"] += 1
+            state["most"] = max(state["most"], state["now"])
+        time.sleep(0.05)
+        with lock:
+            state["now"] -= 1
+        return task * 10
+
+    assert training.in_pool(spark, 3, work, range(12)) == [10 * t for t in range(12)]
+    assert state == {"now": 0, "most": 3}
+    assert training.in_pool(spark, 3, work, []) == []
+
+
+def test_candidates_read_stored_vectors_only(learnable, split):
+    """Neither imputing nor scaling is done again: the table that is read has no feature columns."""
+    train = split[0].withColumn("fold", fold_of("k"))
+    vectors = tuning.fold_vectors(train, FEATURES, "label", "fold")
+    assert set(vectors.table.columns) == {"label", "fold", "features", *map(tuning.without, range(3))}
+    forest = training.plain_forest()
+    grid = tuning.forest_grid(forest, (5,), (2, 3))
+    nothing = train.sparkSession.createDataFrame([], "label int, fold int")
+    given = tuning.cross_validate(nothing, FEATURES, forest, grid, "fold", vectors=vectors)
+    own = tuning.cross_validate(train, FEATURES, forest, grid, "fold")
+    assert given.report.collect() == own.report.collect() and given.params == own.params
+
+
+def test_fold_vectors_know_nothing_of_their_fold(spark):
+    """The largest value is in fold 0, so without that fold another one scales to 1."""
+    rows = [(float(v), v % 2, int(v < 90)) for v in range(100)]
+    train = spark.createDataFrame(rows, "x double, label int, fold int")
+    vectors = tuning.fold_vectors(train, ["x"], "label", "fold", folds=2).table.collect()
+    largest = {name: max(float(r[name][0]) for r in vectors if r["fold"] == 1) for name in ("features", "features_without_0")}
+    assert largest["features_without_0"] == 1 and largest["features"] == pytest.approx(89 / 99)
+
+
+def test_members_are_told_by_bits(spark):
+    conditions = [F.col("id") % n == 0 for n in range(1, 63)]
+    masks = spark.range(200).select("id", training.subset_mask(conditions).alias("m")).collect()
+    assert all((r.m >> i & 1) == (r.id % (i + 1) == 0) for r in masks for i in range(62))
+
+
 def test_importance_rank(learnable, split, stages):
     model = training.fit_classifier(split[0], stages, training.base_forest())
     rows = evaluation.importance_rank(model, FEATURES, learnable).collect()
