@@ -60,6 +60,9 @@ ENDS_P = set(
 #: An element of these is not closed from outside by a tag for something within.
 SCOPES = set("table td th ul ol dl article aside section nav header footer main div form body html".split())
 
+#: No part of an article by their tag, on pages that mark one.
+NEVER_MAIN = set("footer nav form menu dialog".split())
+
 # Words of class and id attributes that tell what an element is for.
 GOOD_WORDS = "article content main post body entry story text prose blog page".split()
 BAD_WORDS = (
@@ -90,11 +93,35 @@ class Node:
 
 
 class TreeBuilder(HTMLParser):
-    """Builds a tree whatever the markup's faults."""
+    """Builds a tree whatever the markup's faults, in time in proportion to the page.
+
+    The depths of open elements are kept by tag, so an end tag is matched without a walk.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = self.here = Node("#page")
+        self.root = Node("#page")
+        self.open = [self.root]
+        self.depths: dict[str, list[int]] = {}
+        self.scopes = [0]
+
+    def _enter(self, node: Node) -> None:
+        self.depths.setdefault(node.tag, []).append(len(self.open))
+        if node.tag in SCOPES:
+            self.scopes.append(len(self.open))
+        self.open.append(node)
+
+    def _leave(self, depth: int) -> None:
+        """Close the element at ``depth`` and all within."""
+        while len(self.open) > depth:
+            tag = self.open.pop().tag
+            self.depths[tag].pop()
+            if tag in SCOPES:
+                self.scopes.pop()
+
+    def _innermost(self, tags) -> int:
+        """Depth of the innermost open element of ``tags``, 0 if none is open."""
+        return max((self.depths[t][-1] for t in tags if self.depths.get(t)), default=0)
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag == "body":
@@ -107,12 +134,12 @@ class TreeBuilder(HTMLParser):
             self._end(CLOSES[tag])
         told = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden")}
         raw = f"{told.get('class', '')} {told.get('id', '')}"
-        node = Node(tag, [w.lower() for w in WORD.findall(raw)], self.here, role=told.get("role", "").lower())
+        node = Node(tag, [w.lower() for w in WORD.findall(raw)], self.open[-1], role=told.get("role", "").lower())
         if "hidden" in told or told.get("aria-hidden") == "true":
             node.words.append("popup")
-        self.here.content.append(node)
+        self.open[-1].content.append(node)
         if tag not in VOID:
-            self.here = node
+            self._enter(node)
 
     def handle_startendtag(self, tag: str, attrs) -> None:
         self.handle_starttag(tag, attrs)
@@ -121,32 +148,23 @@ class TreeBuilder(HTMLParser):
 
     def _end(self, tags: set[str]) -> None:
         """Close the innermost open element of ``tags`` unless a scope lies between."""
-        node = self.here
-        while node.parent is not None:
-            if node.tag in tags:
-                self.here = node.parent
-                return
-            if node.tag in SCOPES:
-                return
-            node = node.parent
+        depth = self._innermost(tags)
+        if depth and depth >= self.scopes[-1]:
+            self._leave(depth)
 
     def _end_head(self) -> None:
-        if self.here.tag == "head":
-            self.here = self.here.parent
+        if self.open[-1].tag == "head":
+            self._leave(len(self.open) - 1)
 
     def handle_endtag(self, tag: str) -> None:
-        node = self.here
-        while node.parent is not None and node.tag != tag:
-            if node.tag in SCOPES and tag not in SCOPES:
-                return
-            node = node.parent
-        if node.parent is not None:
-            self.here = node.parent
+        depth = self._innermost((tag,))
+        if depth and (tag in SCOPES or depth >= self.scopes[-1]):
+            self._leave(depth)
 
     def handle_data(self, data: str) -> None:
         if not data.isspace():
             self._end_head()
-        self.here.content.append(data)
+        self.open[-1].content.append(data)
 
 
 def parse(html: str) -> Node:
@@ -484,7 +502,7 @@ class MarkedBuilder(TreeBuilder):
 
     def handle_starttag(self, tag: str, attrs) -> None:
         super().handle_starttag(tag, attrs)
-        node = self.here.content[-1] if tag in VOID else self.here
+        node = self.open[-1].content[-1] if tag in VOID else self.open[-1]
         if any(k == "data-keep" for k, _ in attrs):
             self.marked.add(id(node))
 
@@ -507,8 +525,26 @@ def fit_extractor(sentences: list[str], n_pages: int = 900, seed: int = 11) -> T
 # Decoding ----------------------------------------------------------------------------
 
 
+def never_main(blocks: list[Block]) -> np.ndarray:
+    """Blocks whose tag says that they are no part of an article: page ends, menus and forms.
+
+    One that holds an article or main element is judged by the trees like any other, as some
+    pages stand in a form as a whole; so is the end of a quotation, which names its source.
+    """
+    holds_main = np.zeros(len(blocks), bool)
+    quoted = np.zeros(len(blocks), bool)
+    for i in range(len(blocks) - 1, 0, -1):
+        if holds_main[i] or blocks[i].node.tag in ("article", "main") or blocks[i].node.role in ("main", "article"):
+            holds_main[blocks[i].parent] = True
+    for i, b in enumerate(blocks[1:], 1):
+        quoted[i] = quoted[b.parent] or b.node.tag == "blockquote"
+    told = np.array([b.node.tag in NEVER_MAIN for b in blocks], bool)
+    any_main = bool(holds_main[0]) if len(blocks) else False
+    return told & ~holds_main & ~quoted & any_main
+
+
 def decode(blocks: list[Block], log_odds: np.ndarray) -> np.ndarray:
-    """The consistent set of kept blocks with the largest sum: none without its parent.
+    """The consistent set of kept blocks with the largest sum: none without its parent, none of ``never_main``.
 
     A block kept gains its weighted log odds and the best of its children; one rejected
     gains the loss of all that hangs below it, so rejection is a choice about the subtree.
@@ -517,14 +553,17 @@ def decode(blocks: list[Block], log_odds: np.ndarray) -> np.ndarray:
     value = weight * np.clip(log_odds, -8, 8)
     inside = value.copy()  # best sum if kept
     dropped = -value  # sum if the whole subtree is rejected
+    never = never_main(blocks)
     for i in range(len(blocks) - 1, 0, -1):
+        if never[i]:
+            continue
         up = blocks[i].parent
         inside[up] += max(inside[i], dropped[i])
         dropped[up] += dropped[i]
     keep = np.zeros(len(blocks), bool)
     keep[0] = True
     for i, b in enumerate(blocks[1:], 1):
-        keep[i] = keep[b.parent] and inside[i] > dropped[i]
+        keep[i] = keep[b.parent] and not never[i] and inside[i] > dropped[i]
     return keep
 
 

@@ -1,5 +1,6 @@
 import html as references
 import re
+import time
 
 import numpy as np
 import pytest
@@ -16,6 +17,7 @@ from gradewise.llm.html_extraction import (
     fit_extractor,
     fit_trees,
     main_texts,
+    never_main,
     parse,
     text_of,
 )
@@ -151,3 +153,42 @@ def test_formulas_are_text(trees):
     story = "".join(f"<p>{s}</p>" for s in SENTENCES[:4])
     page = f"<html><body><article>{story}<p>We see that {formula} holds, as does {table}, for all.</p></article></body></html>"
     assert main_texts([page], trees) == [" ".join([*SENTENCES[:4], "We see that x=2 holds, as does 1 2, for all."])]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<b>" * 100_000 + "</i>" * 100_000,
+        "<i><table>" + "<b>" * 100_000 + "</i>" * 100_000,
+        "<p>" + "<b>" * 100_000 + "<p>x" * 50_000,
+        "<ul>" + "<li><b>x" * 50_000,
+        "<td>" * 100_000,
+        "<div>" * 100_000 + "</span></div>" * 50_000,
+    ],
+)
+def test_faulty_markup_takes_time_in_proportion(page):
+    start = time.process_time()
+    parse(page)
+    assert time.process_time() - start < 6
+
+
+FOOTER = " ".join(f"This is footer sentence {i}, as long as the ones of an article." for i in range(6))
+
+
+@pytest.mark.parametrize("end", ["footer", "nav", "form", "menu"])
+def test_page_ends_menus_and_forms_are_no_main_text(trees, end):
+    page = f"<html><body><article><p>Short one, and a whole sentence.</p></article><{end}><p>{FOOTER}</p></{end}></body></html>"
+    assert main_texts([page], trees) == ["Short one, and a whole sentence."]
+
+
+def test_a_form_around_the_page_keeps_its_article(trees):
+    body = "".join(f"<p>{s}</p>" for s in SENTENCES[:8])
+    page = f"<html><body><form><article>{body}</article><footer><p>{FOOTER}</p></footer></form></body></html>"
+    assert main_texts([page], trees) == [" ".join(SENTENCES[:8])]
+
+
+def test_a_quotation_keeps_its_source(trees):
+    body = "".join(f"<p>{s}</p>" for s in SENTENCES[:8])
+    quote = "<blockquote><p>To quote this sentence, name its author.</p><footer>A named author of the sentence.</footer></blockquote>"
+    blocks = blocks_of(parse(f"<article>{body}{quote}</article>"))
+    assert not never_main(blocks).any()
