@@ -58,6 +58,10 @@ def hash_words(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64) * FACTOR
 
 
+#: Windows scanned for at a time; they take some 250 MB of a worker.
+MAX_WINDOWS = 400_000
+
+
 class WindowSet:
     """Benchmark windows, and the bit tables by which texts are looked up in them."""
 
@@ -161,6 +165,7 @@ def benchmark_windows(benchmark: DataFrame, size: int = 10, text: str = "text",
 
     An item of fewer than ``size`` words is one window; an item without words has none.
     """
+    show_code(benchmark)
     grams = benchmark.select(
         column(key).cast("string").alias("item"), F.explode(_windows_udf(size)(column(text))).alias("gram")
     )
@@ -177,7 +182,7 @@ def find_leaks(
     text: str = "text",
     item_text: str = "text",
     item_key: str = "item_id",
-    max_windows: int = 2_000_000,
+    max_windows: int = MAX_WINDOWS,
 ) -> DataFrame:
     """``docs`` with a struct ``into``: n_words, n_hit, items, hits.
 
@@ -186,6 +191,9 @@ def find_leaks(
     no entry. ``hits`` are merged runs: words ``first`` up to ``last``, bytes ``start`` up
     to ``stop`` of the UTF-8 text. A null text has no words. An empty benchmark finds
     nothing. A column called ``into`` is replaced.
+
+    Beyond ``max_windows`` the benchmark is cut into pieces, each scanned for by a pass of its
+    own whose result is written, so the driver and a worker hold one piece at a time.
     """
     show_code(docs)
     windows = materialize(benchmark_windows(benchmark, size, item_text, item_key), "windows")
@@ -196,6 +204,9 @@ def find_leaks(
         part = windows.filter(F.pmod("piece_hash", F.lit(pieces)) == piece).select("gram", "items")
         held = spark.sparkContext.broadcast(WindowSet([(r.gram, list(r["items"])) for r in part.collect()]))
         rows = rows.withColumn(into, _scanner(held)(column(text), column(into)))
+        if piece < pieces - 1:
+            rows = materialize(rows, "scanned")
+            held.unpersist()
     return rows
 
 

@@ -86,3 +86,12 @@ def test_empty_tables(spark, tricky, nothing, items):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert found(find_leaks(tricky, none)) == brute_force(TRICKY, [])
     assert drop_leaks(tricky, none).count() == tricky.count()
+
+
+def test_one_piece_is_held_at_a_time(spark, items):
+    """Whatever the number of pieces, one scan stands between what is written and what is read."""
+    scans = {}
+    for most in (2_000_000, 2):
+        plan = find_leaks(documents(spark, LEAKY), items, max_windows=most)._jdf.queryExecution().executedPlan().toString()
+        scans[most] = plan.count("ArrowEvalPython")
+    assert scans[2_000_000] == scans[2] == 1
