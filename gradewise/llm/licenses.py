@@ -1,9 +1,15 @@
 """License notices in texts: exact phrases, and templates by an exact set-similarity join.
 
 Base labels come from phrases whose words stand consecutively. The method's own labels
-come from templates. A block is ``BLOCK`` consecutive words, blocks start every ``STEP``
-words, and every text is covered whole. A block carries a template's label if it holds
-at least the share ``threshold`` of the template's distinct words. The join is exact:
+come from templates. A text carries a template's label if some run of ``BLOCK``
+consecutive words, wherever it starts (or the whole text, if shorter), holds at least the
+share ``threshold`` of the template's distinct words and the template's telling wording.
+The telling wording is what sets a license apart from its siblings: "attribution
+sharealike 4" against "attribution 4", "lesser general public license" against "general
+public license", "version 2" against "version 3". Sets of words alone cannot tell these.
+
+Runs are sought in blocks of ``BLOCK + STEP - 1`` words that start every ``STEP`` words,
+so each run lies whole in a block. The join of blocks and templates is exact:
 
 1. The template words are counted in the whole corpus and ordered from rare to frequent.
 2. Prefix filter: of a template of r words, a block with an overlap of at least
@@ -13,13 +19,17 @@ at least the share ``threshold`` of the template's distinct words. The join is e
 4. Positional filter: the rarest common word at place i of the template and j of the
    block's template words leaves an overlap of at most 1 + min(r - i, x - j) (0-based,
    words after it); less than a drops out.
-5. The overlap itself is counted for what is left.
+5. The overlap itself is counted for what is left, then that of each run in the block,
+   and the telling wording is looked for in the runs that meet the threshold.
 
 Words outside all templates change no overlap, so they are never counted or sorted.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from math import ceil
 
@@ -37,39 +47,146 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 
-# The wording by which public licenses are commonly given.
-TEMPLATES = {
-    "mit": (
+
+@dataclass(frozen=True)
+class Template:
+    """``telling`` is a pattern that a run's words, each with a space on both sides, must hold."""
+
+    label: str
+    wording: str
+    telling: str = ""
+
+
+# The wording by which public licenses are commonly given, and by which siblings differ.
+VERSIONED = r"(\d|license|international|unported|generic)"
+TEMPLATES = (
+    Template(
+        "mit",
         "permission is hereby granted free of charge to any person obtaining a copy of this software and "
-        "associated documentation files to deal in the software without restriction"
+        "associated documentation files to deal in the software without restriction",
+        " deal in the software ",
     ),
-    "apache-2": (
+    Template(
+        "apache-2",
         "licensed under the apache license version 2 0 you may not use this file except in compliance with "
-        "the license you may obtain a copy of the license at"
+        "the license you may obtain a copy of the license at",
+        " apache license (version |v ?)?2 ",
     ),
-    "bsd": (
+    Template(
+        "bsd",
         "redistribution and use in source and binary forms with or without modification are permitted "
-        "provided that the following conditions are met"
+        "provided that the following conditions are met",
+    ),
+    Template(
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu "
+        "general public license as published by the free software foundation",
+        " gnu general public license ",
+    ),
+    Template(
+        "lgpl",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu "
+        "lesser general public license as published by the free software foundation",
+        " gnu (lesser|library) general public license ",
     ),
-    "gpl": (
+    Template(
+        "agpl",
         "this program is free software you can redistribute it and or modify it under the terms of the gnu "
-        "general public license as published by the free software foundation"
+        "affero general public license as published by the free software foundation",
+        " gnu affero general public license ",
     ),
-    "gpl-3": "licensed under the gnu general public license version 3",
-    "isc": (
+    Template(
+        "gpl-2",
+        "licensed under the gnu general public license version 2",
+        " gnu general public license (version |v ?)?2 ",
+    ),
+    Template(
+        "gpl-3",
+        "licensed under the gnu general public license version 3",
+        " gnu general public license (version |v ?)?3 ",
+    ),
+    Template(
+        "lgpl-2.1",
+        "licensed under the gnu lesser general public license version 2 1",
+        " gnu lesser general public license (version |v ?)?2 1 ",
+    ),
+    Template(
+        "lgpl-3",
+        "licensed under the gnu lesser general public license version 3",
+        " gnu lesser general public license (version |v ?)?3 ",
+    ),
+    Template(
+        "agpl-3",
+        "licensed under the gnu affero general public license version 3",
+        " gnu affero general public license (version |v ?)?3 ",
+    ),
+    Template(
+        "isc",
         "permission to use copy modify and or distribute this software for any purpose with or without fee "
-        "is hereby granted provided that the above copyright notice"
+        "is hereby granted provided that the above copyright notice",
+        " with or without fee ",
     ),
-    "mpl-2": (
+    Template(
+        "mpl-2",
         "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the "
-        "mpl was not distributed with this file"
+        "mpl was not distributed with this file",
+        " mozilla public license (version |v ?)?2 ",
     ),
-    "cc-by": "this work is licensed under a creative commons attribution 4 0 international license",
-    "cc-by-nc": "noncommercial you may not use the material for commercial purposes",
-    "unlicense": "this is free and unencumbered software released into the public domain",
-    "all-rights-reserved": "all rights reserved no part of this publication may be reproduced distributed",
-}
+    Template(
+        "cc-by",
+        "this work is licensed under a creative commons attribution 4 0 international license",
+        f" commons attribution {VERSIONED} ",
+    ),
+    Template(
+        "cc-by-nc",
+        "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+        f" attribution non ?commercial {VERSIONED} ",
+    ),
+    Template(
+        "cc-by-nc",
+        "noncommercial you may not use the material for commercial purposes",
+        " not use the material for commercial purposes ",
+    ),
+    Template(
+        "cc-by-sa",
+        "this work is licensed under a creative commons attribution sharealike 4 0 international license",
+        f" attribution share ?alike {VERSIONED} ",
+    ),
+    Template(
+        "cc-by-nd",
+        "this work is licensed under a creative commons attribution noderivatives 4 0 international license",
+        f" attribution no ?deriv(ative)?s( works)? {VERSIONED} ",
+    ),
+    Template(
+        "cc-by-nd",
+        "this work is licensed under a creative commons attribution noderivs 3 0 unported license",
+        f" attribution no ?deriv(ative)?s( works)? {VERSIONED} ",
+    ),
+    Template(
+        "cc-by-nc-sa",
+        "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international "
+        "license",
+        f" attribution non ?commercial share ?alike {VERSIONED} ",
+    ),
+    Template(
+        "cc-by-nc-nd",
+        "this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 "
+        "international license",
+        f" attribution non ?commercial no ?deriv(ative)?s( works)? {VERSIONED} ",
+    ),
+    Template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain",
+        " unencumbered ",
+    ),
+    Template(
+        "all-rights-reserved",
+        "all rights reserved no part of this publication may be reproduced distributed",
+        " all rights reserved ",
+    ),
+)
 
+#: Words of a run, and how far apart the blocks start that runs are sought in.
 BLOCK, STEP = 64, 32
 
 
@@ -113,51 +230,51 @@ def rare_first(rows: DataFrame, vocabulary: list[str]) -> list[str]:
     return sorted(vocabulary, key=lambda w: (known.get(w, 0), w))
 
 
-def prefixes(templates: dict[str, str], order: list[str], threshold: float) -> list[tuple]:
-    """Per template and word of its prefix: rank, place in the template, label, r, a and all ranks."""
+def prefixes(templates: Sequence[Template], order: list[str], threshold: float) -> list[tuple]:
+    """Per template and word of its prefix: rank, place in the template, the template's number, r, a and all ranks."""
     place = {w: i for i, w in enumerate(order)}
     rows = []
-    for label, wording in templates.items():
-        ranks = sorted({place[w] for w in wording.split(" ")})
+    for number, template in enumerate(templates):
+        ranks = sorted({place[w] for w in template.wording.split(" ")})
         need = ceil(threshold * len(ranks) - 1e-9)
-        rows += [(ranks[i], i, label, len(ranks), need, ranks) for i in range(len(ranks) - need + 1)]
+        rows += [(ranks[i], i, number, len(ranks), need, ranks) for i in range(len(ranks) - need + 1)]
     return rows
 
 
-def _as_table(spark, rows: list[tuple]) -> DataFrame:
-    names = ("rank", "i", "label", "r", "need", "ranks")
-    structs = [
-        F.struct(*[(F.array(*map(F.lit, v)) if isinstance(v, list) else F.lit(v)).alias(n) for n, v in zip(names, row)])
-        for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+def _as_table(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table as one literal, since a column per cell would take seconds to plan."""
+    names = [field.split(" ")[0] for field in schema.split(", ")]
+    text = json.dumps([dict(zip(names, row)) for row in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{schema}>>")))
 
 
-def matching_blocks(
-    rows: DataFrame, templates: dict[str, str], threshold: float = 0.8, block: int = BLOCK, step: int = STEP
+def candidate_blocks(
+    rows: DataFrame, templates: Sequence[Template], threshold: float = 0.8, block: int = BLOCK, step: int = STEP
 ) -> DataFrame:
-    """``id, t0, t1, block, label, overlap, share`` of every block that meets a template's threshold.
+    """``id, t0, t1, own, number, r, need`` of every block that meets a template's threshold as a whole.
 
-    ``rows`` has id, t0, t1 and words. Blocks start at words 0, step, 2 step, ..., as long as
-    the text goes on after the last one's end.
+    ``rows`` has id, t0, t1 and words; ``own`` are the block's words. Blocks have block +
+    step - 1 words and start at words 0, step, 2 step, ..., up to the last run's start.
     """
-    vocabulary = sorted({w for wording in templates.values() for w in wording.split(" ")})
+    vocabulary = sorted({w for t in templates for w in t.wording.split(" ")})
     order = rare_first(rows, vocabulary)
     listed = prefixes(templates, order, threshold)
-    index = _as_table(rows.sparkSession, listed)  # one row per template word at most
+    schema = "rank int, i int, number int, r int, need int, ranks array<int>"
+    index = _as_table(rows.sparkSession, listed, schema)  # as many rows as the templates' prefixes have words
     prefix = sorted({order[row[0]] for row in listed})
+    wide = block + step - 1
 
     # Blocks that hold a prefix word: those that start at most a block's length before it.
     hits = F.filter(
         F.transform("words", lambda w, i: F.when(w.isin(prefix), i)),
         lambda i: i.isNotNull(),
     )
-    last_block = F.greatest(F.lit(0), F.ceil((F.size("words") - block) / step).cast("int"))
+    last_block = F.floor(F.greatest(F.lit(0), F.size("words") - block) / step).cast("int")
     around = F.flatten(
         F.transform(
             hits,
             lambda i: F.sequence(
-                F.greatest(F.lit(0), F.ceil((i - (block - 1)) / step).cast("int")),
+                F.least(F.greatest(F.lit(0), F.ceil((i - (wide - 1)) / step).cast("int")), last_block),
                 F.least(F.floor(i / step).cast("int"), last_block),
             ),
         )
@@ -165,23 +282,52 @@ def matching_blocks(
     likely = rows.filter(F.exists("words", lambda w: w.isin(prefix)))
     blocks = likely.select(
         "id", "t0", "t1", "words", F.explode(F.array_distinct(around)).alias("block")
-    ).select("id", "t0", "t1", "block", F.slice("words", F.col("block") * step + 1, block).alias("own"))
+    ).select("id", "t0", "t1", F.slice("words", F.col("block") * step + 1, wide).alias("own"))
     ordered = F.array(*[F.lit(w) for w in order])
     held = F.filter(F.array_distinct("own"), lambda w: w.isin(order))
     ranked = F.array_sort(F.transform(held, lambda w: (F.array_position(ordered, w) - 1).cast("int")))
-    x = blocks.select("id", "t0", "t1", "block", ranked.alias("x"))
-    tokens = x.select("id", "t0", "t1", "block", "x", F.posexplode("x").alias("j", "rank"))
+    x = blocks.select("id", "t0", "t1", "own", ranked.alias("x"))
+    least = min(row[4] for row in listed)
+    starts = F.filter(
+        F.transform("x", lambda rank, j: F.struct(j.alias("j"), rank.alias("rank"))),
+        lambda s: s["rank"].isin(sorted({row[0] for row in listed})),
+    )
+    tokens = x.filter(F.size("x") >= least).select("id", "t0", "t1", "own", "x", F.inline(starts))
     candidates = tokens.join(F.broadcast(index), "rank").filter(
         (F.size("x") >= F.col("need"))
         & (1 + F.least(F.col("r") - 1 - F.col("i"), F.size("x") - 1 - F.col("j")) >= F.col("need"))
     )
     common = F.array_intersect("x", "ranks")
     first = F.element_at(common, 1) == F.col("rank")  # else the pair comes once per common prefix word
+    return candidates.filter(first & (F.size(common) >= F.col("need"))).select(
+        "id", "t0", "t1", "own", "number", "r", "need"
+    )
+
+
+def matching_runs(
+    rows: DataFrame, templates: Sequence[Template], threshold: float = 0.8, block: int = BLOCK, step: int = STEP
+) -> DataFrame:
+    """``id, t0, t1, label, share`` per block and template that one of the block's runs meets."""
+    blocks = candidate_blocks(rows, templates, threshold, block, step)
+    known = _as_table(
+        rows.sparkSession,
+        [(i, t.label, sorted(set(t.wording.split(" "))), t.telling) for i, t in enumerate(templates)],
+        "number int, label string, wording array<string>, telling string",
+    )
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("own") - (block - 1)))
+    overlap = F.transform(
+        starts,
+        lambda s: F.struct(
+            F.size(F.array_intersect(F.slice("own", s, block), "wording")).alias("n"),
+            F.concat(F.lit(" "), F.array_join(F.slice("own", s, block), " "), F.lit(" ")).alias("run"),
+        ),
+    )
+    met = F.filter(overlap, lambda o: (o["n"] >= F.col("need")) & F.regexp_like(o["run"], F.col("telling")))
+    best = F.array_max(F.transform(met, lambda o: o["n"]))
     return (
-        candidates.filter(first)
-        .select("id", "t0", "t1", "block", "label", F.size(common).alias("overlap"), "r", "need")
-        .filter(F.col("overlap") >= F.col("need"))
-        .select("id", "t0", "t1", "block", "label", "overlap", (F.col("overlap") / F.col("r")).alias("share"))
+        blocks.join(F.broadcast(known), "number")
+        .select("id", "t0", "t1", "label", (best / F.col("r")).alias("share"))
+        .filter(F.col("share").isNotNull())
     )
 
 
@@ -190,7 +336,7 @@ def scan_licenses(
     text: str = "text",
     key: str = "doc_id",
     phrases: dict[str, str] = PHRASES,
-    templates: dict[str, str] = TEMPLATES,
+    templates: Sequence[Template] = TEMPLATES,
     threshold: float = 0.8,
 ) -> DataFrame:
     """One row per row of ``docs``: the key, ``n_words``, ``places``, ``base_labels``, ``labels``, ``score``.
@@ -198,13 +344,13 @@ def scan_licenses(
     ``places`` are the starts (words from 0) of all phrase occurrences, overlapping ones
     too. ``base_labels`` and ``labels`` are sorted arrays without repeats; labels are the
     base ones and those of templates. ``score`` is 1 with a phrase, else the largest share
-    of a template that a block meeting the threshold holds, else 0. A null or wordless
+    of a template that a run meeting threshold and telling wording holds, else 0. A null or wordless
     text has no words, places or labels. Rows that repeat key and text get the same
     result. Other columns play no part.
     """
     rows = _scan(docs, text, key)
     named = (
-        matching_blocks(rows, templates, threshold)
+        matching_runs(rows, templates, threshold)
         .groupBy(F.col("id").alias("gid"), F.col("t0").alias("g0"), F.col("t1").alias("g1"))
         .agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
     )

@@ -11,7 +11,7 @@ from gradewise.llm.decontamination import find_leaks
 from gradewise.llm.divergence import source_divergence
 from gradewise.llm.exact_dedup import exact_groups
 from gradewise.llm.html_extraction import extract_main_text
-from gradewise.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, scan_licenses
+from gradewise.llm.licenses import BLOCK, PHRASES, TEMPLATES, scan_licenses
 from gradewise.llm.line_dedup import drop_shared_lines
 from gradewise.llm.mixing import mix_sources
 from gradewise.llm.pii import KINDS, in_order, personal_data
@@ -210,10 +210,15 @@ def sql_pairs(pairs: dict[str, str]) -> str:
     return ", ".join(f"('{a}', '{b}')" for a, b in pairs.items())
 
 
+def sql_templates() -> str:
+    return ", ".join(f"('{t.label}', '{t.wording}', '{t.telling}')" for t in TEMPLATES)
+
+
 ORACLE["op2_licenses"] = f"""
 WITH d AS (SELECT doc_id, {sql_words("text")} AS w FROM documents),
      phrases(phrase, label) AS (VALUES {sql_pairs(PHRASES)}),
-     templates(label, wording) AS (VALUES {sql_pairs(TEMPLATES)}),
+     listed(label, wording, telling) AS (VALUES {sql_templates()}),
+     templates AS (SELECT label, telling, list_distinct(string_split(wording, ' ')) AS needed FROM listed),
      places AS (
        SELECT doc_id, i - 1 AS place, label
        FROM d, phrases, unnest(generate_series(1, len(w))) AS p(i)
@@ -221,15 +226,18 @@ WITH d AS (SELECT doc_id, {sql_words("text")} AS w FROM documents),
      base AS (SELECT doc_id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
                      list(DISTINCT label) AS labels
               FROM places GROUP BY doc_id),
-     blocks AS (
-       SELECT doc_id, list_distinct(w[b * {STEP} + 1 : b * {STEP} + {BLOCK}]) AS own
-       FROM d, unnest(generate_series(0, greatest(0, ceil((len(w) - {BLOCK}) / {STEP}.0)::BIGINT))) AS p(b)),
-     shares AS (
-       SELECT doc_id, label, len(list_intersect(own, list_distinct(string_split(wording, ' '))))
-              / len(list_distinct(string_split(wording, ' '))) AS share
-       FROM blocks, templates),
+     likely AS (  -- a run holds no more of a template than its whole text does
+       SELECT doc_id, w, templates.*
+       FROM (SELECT doc_id, w, list_distinct(w) AS own FROM d) AS t, templates
+       WHERE len(list_intersect(own, needed)) / len(needed) >= 0.8 - 1e-9),
+     runs AS (
+       SELECT doc_id, label, telling, needed, w[b : b + {BLOCK - 1}] AS own
+       FROM likely, unnest(generate_series(1, greatest(1, len(w) - {BLOCK - 1}))) AS p(b)),
+     shares AS (SELECT *, len(list_intersect(own, needed)) / len(needed) AS share FROM runs),
      found AS (SELECT doc_id, list(DISTINCT label) AS labels, max(share) AS share
-               FROM shares WHERE share >= 0.8 - 1e-9 GROUP BY doc_id)
+               FROM shares
+               WHERE share >= 0.8 - 1e-9 AND regexp_matches(' ' || array_to_string(own, ' ') || ' ', telling)
+               GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
        coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_distinct(

@@ -4,21 +4,22 @@ from math import ceil
 import pytest
 from helpers import TRICKY, documents
 
-from gradewise.llm.licenses import BLOCK, PHRASES, STEP, TEMPLATES, prefixes, scan_licenses
+from gradewise.llm.licenses import BLOCK, PHRASES, TEMPLATES, Template, prefixes, scan_licenses
 from gradewise.llm.text import LOWER, UPPER
 
 FOLD = str.maketrans(UPPER, LOWER)
+WORDING = {t.label: t.wording for t in TEMPLATES}
 FILLER = " ".join(f"filler{i}" for i in range(200))
 
 LICENSED = [
     (20, f"{FILLER} Released under the MIT License. {FILLER}", "en", "a"),
     (21, "Under the MIT license, under the MIT-License; under the mit licenses", "en", "a"),
-    (22, f"{FILLER}\n{TEMPLATES['bsd'].title()}.\n{FILLER}", "en", "a"),
-    (23, " ".join(TEMPLATES["isc"].split()[:-6]) + " " + FILLER, "en", "a"),
+    (22, f"{FILLER}\n{WORDING['bsd'].title()}.\n{FILLER}", "en", "a"),
+    (23, " ".join(WORDING["isc"].split()[:-6]) + " " + FILLER, "en", "a"),
     (24, FILLER + " Licensed under CC BY-NC 4.0", "en", "a"),
-    (25, FILLER * 3 + " " + TEMPLATES["gpl-3"], "en", "a"),
+    (25, FILLER * 3 + " " + WORDING["gpl-3"], "en", "a"),
     (26, "the of and to in any or by license software free use this " * 50, "en", "a"),
-    (27, f"{TEMPLATES['mit']} {FILLER} {TEMPLATES['cc-by']}", "en", "a"),
+    (27, f"{WORDING['mit']} {FILLER} {WORDING['cc-by']}", "en", "a"),
     (28, "licence mit under the", "en", "a"),
 ]
 
@@ -27,7 +28,7 @@ def words_of(text):
     return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(FOLD)) if w]
 
 
-def brute_force(rows, threshold=0.8):
+def brute_force(rows, threshold=0.8, templates=TEMPLATES):
     out = []
     for key, text, *_ in rows:
         words = words_of(text)
@@ -37,13 +38,12 @@ def brute_force(rows, threshold=0.8):
             found = [i for i in range(len(words)) if words[i : i + len(parts)] == parts]
             places += found
             base |= {label} if found else set()
-        for block in range(max(0, ceil((len(words) - BLOCK) / STEP)) + 1):
-            own = set(words[block * STEP : block * STEP + BLOCK])
-            for label, wording in TEMPLATES.items():
-                template = set(wording.split())
-                share = len(own & template) / len(template)
-                if share >= threshold - 1e-9:
-                    labels.add(label)
+        for start in range(max(0, len(words) - BLOCK) + 1):
+            run = words[start : start + BLOCK]
+            for t in templates:
+                share = len(set(run) & set(t.wording.split())) / len(set(t.wording.split()))
+                if share >= threshold - 1e-9 and re.search(t.telling, f" {' '.join(run)} "):
+                    labels.add(t.label)
                     score = max(score, share)
         row = (key, len(words), sorted(places), sorted(base), sorted(base | labels), 1.0 if places else score)
         out.append(str(row))
@@ -71,18 +71,78 @@ def test_clashing_columns_play_no_part(tricky):
 
 @pytest.mark.parametrize("shift", range(0, 70, 7))
 def test_no_overlap_is_missed_by_prefixes(spark, shift):
-    """A block with exactly the needed words, whichever they are."""
-    template = sorted(set(TEMPLATES["gpl"].split()))
+    """A run with exactly the needed words, whichever they are, of a template without telling wording."""
+    plain = [Template(t.label, t.wording) for t in TEMPLATES]
+    template = sorted(set(WORDING["gpl"].split()))
     need = ceil(0.8 * len(template))
     kept = (template[shift % len(template) :] + template)[:need]
     rows = [(1, " ".join([*[f"f{i}" for i in range(shift)], *kept]), "en", "a"), (2, " ".join(kept[1:]), "en", "a")]
-    labels = {r.doc_id: "gpl" in r.labels for r in scan_licenses(documents(spark, rows)).collect()}
-    assert labels == {1: any("gpl" in line for line in brute_force(rows[:1])), 2: False}
+    found = scan_licenses(documents(spark, rows), templates=plain).collect()
+    assert "gpl" in brute_force(rows[:1], templates=plain)[0]
+    assert {r.doc_id: "gpl" in r.labels for r in found} == {1: True, 2: False}
+
+
+@pytest.fixture(scope="module")
+def told(spark):
+    """Notices, labels expected; each stands alone and among other words."""
+    cc = "This work is licensed under a Creative Commons Attribution%s License."
+    gnu = "Licensed under the GNU %s Public License, version %s."
+    lesser = (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+        "Lesser General Public License as published by the Free Software Foundation; either version 2.1"
+    )
+    return [
+        (cc % " 4.0 International", ["cc-by"]),
+        (cc % " 3.0 Unported", ["cc-by"]),
+        (cc % "-NonCommercial 4.0 International", ["cc-by-nc"]),
+        (cc % "-ShareAlike 4.0 International", ["cc-by-sa"]),
+        (cc % "-NoDerivatives 4.0 International", ["cc-by-nd"]),
+        (cc % "-NoDerivs 3.0 Unported", ["cc-by-nd"]),
+        (cc % "-NonCommercial-ShareAlike 4.0 International", ["cc-by-nc-sa"]),
+        (cc % "-NonCommercial-NoDerivatives 4.0 International", ["cc-by-nc-nd"]),
+        (gnu % ("General", "2"), ["gpl-2"]),
+        (gnu % ("General", "3"), ["gpl-3"]),
+        (gnu % ("Lesser General", "2.1"), ["lgpl-2.1"]),
+        (gnu % ("Lesser General", "3"), ["lgpl-3"]),
+        (gnu % ("Affero General", "3"), ["agpl-3"]),
+        (lesser, ["lgpl"]),
+        (WORDING["gpl"], ["gpl"]),
+        (WORDING["apache-2"].replace("apache", "Educational Community"), []),
+        (WORDING["isc"].replace("with or without fee", "and without fee"), []),
+        (
+            "All rights reserved. This version of the International license under GNU public general terms: "
+            "we licensed the work.",
+            [],
+        ),
+    ]
+
+
+def test_licenses_that_differ_in_a_word_have_their_own_labels(spark, told):
+    rows = [(i, notice, "en", "a") for i, (notice, _) in enumerate(told)]
+    rows += [(100 + i, f"{FILLER} {notice} {FILLER}", "en", "a") for i, (notice, _) in enumerate(told)]
+    base = {"apache license version 2": "apache-2"}
+    labels = {r.doc_id: r.labels for r in scan_licenses(documents(spark, rows), phrases=base).collect()}
+    assert labels == {n + i: expected for n in (0, 100) for i, (_, expected) in enumerate(told)}
+
+
+def test_the_offset_of_a_notice_plays_no_part(spark):
+    """A notice spread over a whole run, with words between its own, at every offset in a block."""
+    spread = " ".join(w if i % 2 else f"{w} rem" for i, w in enumerate(WORDING["bsd"].split()))
+    gap = " ".join(f"gap{i}" for i in range(BLOCK - len(spread.split())))
+    half = len(spread.split()) // 2
+    notice = " ".join([*spread.split()[:half], gap, *spread.split()[half:]])
+    assert len(notice.split()) == BLOCK
+    rows = [(i, " ".join([f"f{j}" for j in range(i)] + [notice, FILLER]), "en", "a") for i in range(70)]
+    rows += [(1000 + i, text.replace(gap, gap + " one more of them that is too many by far"), lang, source)
+             for i, text, lang, source in rows[:5]]
+    found = scan_licenses(documents(spark, rows))
+    assert all(r.labels == (["bsd"] if r.doc_id < 1000 else []) for r in found.collect() if r.doc_id < 1000)
+    assert [str(r) for r in sorted(map(str, map(tuple, found.collect())))] == brute_force(rows)
 
 
 def test_prefixes_are_the_rarest_words():
-    rows = prefixes({"x": "a b c d e"}, ["e", "d", "c", "b", "a"], 0.8)
-    assert rows == [(0, 0, "x", 5, 4, [0, 1, 2, 3, 4]), (1, 1, "x", 5, 4, [0, 1, 2, 3, 4])]
+    rows = prefixes([Template("x", "a b c d e")], ["e", "d", "c", "b", "a"], 0.8)
+    assert rows == [(0, 0, 0, 5, 4, [0, 1, 2, 3, 4]), (1, 1, 0, 5, 4, [0, 1, 2, 3, 4])]
 
 
 def test_an_empty_table_gives_an_empty_one(nothing):
