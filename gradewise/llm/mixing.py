@@ -3,10 +3,11 @@
 1. Packing. A source's words form one stream, documents ordered by a hash of their key,
    and the stream is cut into blocks of ``block_words`` words (the last may be shorter).
    Streams are numbered cell by cell, so no task sees a whole source.
-2. Draws. A source draws as many blocks as its target asks for, and every draw falls on an
-   output shard by a hash: the shards' counts of a source are one multinomial draw, and the
-   source's total is exact.
-3. Permutation. Draw k of a source with n blocks takes block p(k mod n), where p is a
+2. Shard counts. A source draws as many blocks as its target asks for, and a hash deals each
+   draw to an output shard: the shards' counts of a source are one multinomial draw given
+   its exact total. The counts are written, and a shard's slots of a source are numbered on
+   from those of the shards before it.
+3. Permutation. Slot k of a source with n blocks takes block p(k mod n), where p is a
    pseudorandom permutation of the source's block numbers, computed number by number. So a
    block is drawn again only after all others, and nothing is sorted or stored.
 4. Join of draws and blocks by source and block number.
@@ -132,33 +133,48 @@ def pack(rows: DataFrame, sources: DataFrame, plan: MixPlan) -> DataFrame:
     )
 
 
-def draws(sources: DataFrame, plan: MixPlan) -> DataFrame:
-    """One row per draw: ``sid``, ``k``, ``shard``, ``epoch`` and the ``block`` drawn."""
-    blocks = F.ceil(F.col("source_size") / plan.block_words)
-    n_draws = F.round(blocks * F.col("target") / F.col("source_size")).cast("long")
-    counted = sources.filter("source_size > 0").select("sid", blocks.alias("n"), n_draws.alias("draws"))
-    pieces = F.sequence(F.lit(0).cast("long"), F.floor((F.col("draws") - 1) / DRAWS_PER_ROW))
-    runs = counted.filter("draws > 0").select("sid", "n", "draws", F.explode(pieces).alias("piece"))
+def _numbered(counted: DataFrame, count: str) -> DataFrame:
+    """``counted`` once per ``number`` from 0 to ``count`` - 1, dealt out to tasks."""
+    tops = F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / DRAWS_PER_ROW))
     first = F.col("piece") * DRAWS_PER_ROW
-    ks = F.sequence(first, F.least(first + DRAWS_PER_ROW, F.col("draws")) - 1)
+    numbers = F.sequence(first, F.least(first + DRAWS_PER_ROW, F.col(count)) - 1)
     # By number, since adaptive execution sees a few short rows and would make one task of them.
-    total = counted.agg(F.sum("draws")).first()[0] or 0
+    total = counted.agg(F.sum(count)).first()[0] or 0
     tasks = max(1, ceil(total / (DRAWS_PER_ROW * ROWS_PER_TASK)), min(total // 10_000, 8))
-    spread = runs.repartition(tasks, "sid", "piece").select("sid", "n", F.explode(ks).alias("k"))
-    return spread.select(
+    rows = counted.filter(F.col(count) > 0).withColumn("piece", F.explode(tops))
+    spread = rows.repartition(tasks, *counted.columns, "piece")
+    return spread.withColumn("number", F.explode(numbers)).drop("piece")
+
+
+def shard_counts(sources: DataFrame, plan: MixPlan) -> DataFrame:
+    """``sid``, ``n``, ``shard``, ``blocks``: what an output shard draws of a source with ``n`` blocks.
+
+    A source's counts add up to its target in blocks. Shards that draw nothing of it have no row.
+    """
+    n = F.ceil(F.col("source_size") / plan.block_words)
+    total = F.round(n * F.col("target") / F.col("source_size")).cast("long")
+    counted = sources.filter("source_size > 0").select("sid", n.alias("n"), total.alias("draws"))
+    shard = F.pmod(F.xxhash64(F.lit(plan.seed + 1), "sid", "number"), F.lit(plan.n_shards)).cast("int")
+    return _numbered(counted, "draws").groupBy("sid", "n", shard.alias("shard")).agg(F.count(F.lit(1)).alias("blocks"))
+
+
+def draws(counts: DataFrame, plan: MixPlan) -> DataFrame:
+    """One row per slot of the ``counts``: ``sid``, ``shard``, ``k``, ``epoch`` and the ``block`` drawn.
+
+    ``k`` numbers a source's slots, shard by shard.
+    """
+    earlier = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.withColumn("first", F.coalesce(F.sum("blocks").over(earlier), F.lit(0)))
+    slots = _numbered(first, "blocks").select("sid", "n", "shard", (F.col("first") + F.col("number")).alias("k"))
+    return slots.select(
         "sid",
+        "shard",
         "k",
-        F.pmod(F.xxhash64(F.lit(plan.seed + 1), "sid", "k"), F.lit(plan.n_shards)).cast("int").alias("shard"),
         F.floor(F.col("k") / F.col("n")).cast("int").alias("epoch"),
         permuted(F.pmod("k", "n"), F.col("n"), F.lit(plan.seed), F.col("sid")).alias("block"),
     )
 
 
-def shard_counts(drawn: DataFrame) -> DataFrame:
-    """Blocks per output shard and source."""
-    return drawn.groupBy("shard", "sid").agg(F.count(F.lit(1)).alias("blocks"))
-
-
 def pieces(packed: DataFrame, plan: MixPlan) -> DataFrame:
     """``packed`` once per block that a row reaches into: ``block``, ``first_word``, ``n_words`` of the row."""
     size, start, length = F.col("size"), F.col("start"), plan.block_words
@@ -174,12 +190,13 @@ def pieces(packed: DataFrame, plan: MixPlan) -> DataFrame:
 class Mix:
     """``documents``: id, t, size, sid, start of rows with words. ``empty``: id, source, size of the others.
 
-    ``sources``: their targets. ``drawn``: the draws.
+    ``sources``: their targets. ``counts``: blocks per source and shard. ``drawn``: the draws.
     """
 
     documents: DataFrame
     empty: DataFrame
     sources: DataFrame
+    counts: DataFrame
     drawn: DataFrame
     plan: MixPlan
 
@@ -191,22 +208,37 @@ class Mix:
         )
 
     def taken(self) -> DataFrame:
-        """One row per document: id, source, size, source_size, target, taken words."""
-        times = self.drawn.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("times"))
+        """One row per document: id, source, size, source_size, target, taken words, first and last shard.
+
+        The shards are the smallest and largest that take any of its words, null without.
+        """
+        times = self.drawn.groupBy("sid", "block").agg(
+            F.count(F.lit(1)).alias("times"), F.min("shard").alias("low"), F.max("shard").alias("high")
+        )
         few = _small(self.sources)
         held = (
             pieces(self.documents, self.plan)
             .join(times.hint("merge"), ["sid", "block"], "left")
             .groupBy("sid", "start", "id", "size")  # a row of words is alone at its start
-            .agg(F.sum(F.col("n_words") * F.coalesce("times", F.lit(0))).alias("taken"))
+            .agg(
+                F.sum(F.col("n_words") * F.coalesce("times", F.lit(0))).alias("taken"),
+                F.min("low").alias("first_shard"),
+                F.max("high").alias("last_shard"),
+            )
             .join(few, "sid")
         )
         none = self.empty.withColumnRenamed("source", "named").join(
             few, F.col("named").eqNullSafe(F.col("source"))
         )
         columns = ["id", "source", "size", "source_size", "target"]
-        return held.select(*columns, "taken").unionByName(
-            none.select(*columns, F.lit(0).cast("long").alias("taken"))
+        nowhere = F.lit(None).cast("int")
+        return held.select(*columns, "taken", "first_shard", "last_shard").unionByName(
+            none.select(
+                *columns,
+                F.lit(0).cast("long").alias("taken"),
+                nowhere.alias("first_shard"),
+                nowhere.alias("last_shard"),
+            )
         )
 
     def texts(self, rows: DataFrame, text: str) -> DataFrame:
@@ -264,7 +296,8 @@ def mix_sources(
     sources = materialize(source_targets(sizes, plan), "sources")
     packed = pack(sizes.filter("size > 0"), _small(sources), plan).drop("source")
     empty = sizes.filter("size = 0").select("id", "source", "size")
-    return Mix(packed, empty, sources, draws(sources, plan), plan)
+    counts = materialize(shard_counts(sources, plan), "shard-counts")
+    return Mix(packed, empty, sources, counts, draws(counts, plan), plan)
 
 
 def mixed_documents(

@@ -185,7 +185,9 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(table(spark, sf_dir, "documents"))
-    return mix.taken().select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+    return mix.taken().select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "first_shard", "last_shard"
+    )
 
 
 # Licenses ----------------------------------------------------------------------------

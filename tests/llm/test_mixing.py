@@ -1,14 +1,16 @@
-from collections import defaultdict
+import struct
+from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from gradewise.llm.mixing import (
+    ROUNDS,
     MixPlan,
     mix_sources,
     mixed_documents,
     permuted,
-    shard_counts,
     source_targets,
 )
 from gradewise.llm.text import SPACES
@@ -103,16 +105,70 @@ def test_blocks_are_full_but_for_the_last(mixed):
 
 def test_shard_counts_are_spread_like_a_multinomial(mixed):
     _, mix, _ = mixed
-    counts = [r.blocks for r in shard_counts(mix.drawn).collect()]
-    total = mix.drawn.count()
-    assert sum(counts) == total
-    per_shard = defaultdict(int)
-    for r in shard_counts(mix.drawn).collect():
+    per_shard = Counter()
+    for r in mix.counts.collect():
         per_shard[r.shard] += r.blocks
+    total = mix.drawn.count()
+    assert sum(per_shard.values()) == total
     mean = total / mix.plan.n_shards
     assert max(abs(n - mean) for n in per_shard.values()) < 5 * mean**0.5
 
 
+def hashed(*values):
+    """Spark's hash of values: ("i", 32 bits) or ("q", 64 bits), signed."""
+    seed = 42
+    for width, value in values:
+        seed = xxhash.xxh64_intdigest(struct.pack("<" + width, value), seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def slow_place(x, n, seed, sid):
+    for r in range(1, ROUNDS + 1):
+        partner = ((hashed(("i", r), ("i", seed), ("i", sid)) % n) - x) % n
+        if hashed(("i", seed), ("i", sid), ("i", r), ("q", max(x, partner))) % 2 == 0:
+            x = partner
+    return x
+
+
+def test_a_redraw_by_brute_force_gives_the_same_mix(mixed):
+    """Counts per shard, slots, blocks, and from them the words taken and shards of each document."""
+    _, mix, _ = mixed
+    plan, counts, drawn = mix.plan, Counter(), {}
+    for s in mix.sources.collect():
+        n = -(-s.source_size // plan.block_words)
+        total = round(n * s.target / s.source_size)
+        for k in range(total):
+            counts[s.sid, hashed(("i", plan.seed + 1), ("i", s.sid), ("q", k)) % plan.n_shards] += 1
+        k = 0
+        for shard in range(plan.n_shards):
+            for _ in range(counts[s.sid, shard]):
+                drawn[s.sid, k] = (shard, k // n, slow_place(k % n, n, plan.seed, s.sid))
+                k += 1
+    assert {(r.sid, r.shard): r.blocks for r in mix.counts.collect()} == +counts
+    assert {(r.sid, r.k): (r.shard, r.epoch, r.block) for r in mix.drawn.collect()} == drawn
+    shards_of = defaultdict(list)
+    for (sid, _), (shard, _, block) in drawn.items():
+        shards_of[sid, block].append(shard)
+    expected = {}
+    for d in mix.documents.collect():
+        words = [shards_of[d.sid, w // plan.block_words] for w in range(d.start, d.start + d.size)]
+        shards = {shard for held in words for shard in held}
+        expected[d.id] = (sum(map(len, words)), min(shards, default=None), max(shards, default=None))
+    found = {r.id: (r.taken, r.first_shard, r.last_shard) for r in mix.taken().collect() if r.size}
+    assert found == expected
+
+
+def test_the_counts_decide_what_the_query_returns(mixed):
+    """Other shards for the same totals: other shards in the result, the same words."""
+    docs, mix, _ = mixed
+    other = mix_sources(docs, MixPlan(n_shards=3))
+    ours, theirs = ({r.id: r for r in m.taken().collect()} for m in (mix, other))
+    assert {k: r.taken for k, r in ours.items()} == {k: r.taken for k, r in theirs.items()}
+    assert max(r.last_shard for r in theirs.values() if r.taken) == 2
+    assert max(r.last_shard for r in ours.values() if r.taken) > 2
+    assert "shard" in other.taken()._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_reruns_and_layouts_agree(mixed):
     docs, mix, _ = mixed
     again = mix_sources(docs.repartition(5))
