@@ -1,20 +1,20 @@
 """Repeated passages, dropped by content-defined chunks.
 
 A gear hash rolls over the bytes of a text: each step shifts it left and adds a random
-number of the byte, and the top bits then depend on the last 16 bytes alone. Of every 11
-words in a row the one with the least hash ends a chunk, so chunks have about six words and
-never over 11. Ends depend on the content near them, and after an insertion the chunks
-are soon the same again.
+number of the byte, over the last 8 bytes. Of every 9 words in a row the one with the
+least hash ends a chunk, so chunks have about five words and never over 9. Ends depend on
+the content near them, and after an insertion the chunks are soon the same again.
 
 Where words are long, or their script has no spaces between words, every character counts as
-part of a word, one byte as a sixth, and a chunk may end after it: of any 66 bytes in a row
+part of a word, one byte as a sixth, and a chunk may end after it: of any 54 bytes in a row
 the least hash ends one. Words and such characters are the units that texts are cut into.
 
-A chunk may be of one word, which tells nothing. So a digest, of 128 bits, is that of the
-``min_words`` words around a chunk's end, half of them before it: every chunk counts, and
-a repeat is known as such only by that many words. A digest in two or more documents
-belongs to the one with the smallest key; the others drop its words. Only digests and
-places move, then places back to texts.
+A chunk may be of one word, which tells nothing. So from every chunk on, neighbours are
+joined to it until they have ``min_words`` words, and this run of whole chunks, of variable
+length, gets a digest of 128 bits; the text's last chunks make one more run. A digest in two
+or more documents belongs to the one with the smallest key; the others drop the run's
+chunks. Runs overlap, so a longer repeat goes as a whole but for the chunks at its ends
+that its surroundings cut otherwise. Only digests and places move, then places back to texts.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ from gradewise.sources.scratch import materialize
 
 GEAR = np.random.default_rng(20240613).integers(0, 1 << 32, 256, dtype=np.uint32)
 #: Doubling steps; the hash covers 2 ** STEPS bytes.
-STEPS = 4
+STEPS = 3
 #: One in so many word ends closes a chunk.
-WORDS_PER_CHUNK = 6
+WORDS_PER_CHUNK = 5
 #: Of so many word ends in a row the least hash closes one, which makes 2 in WINDOW + 1 of them.
 WINDOW = 2 * WORDS_PER_CHUNK - 1
 #: Bytes of unspaced text that weigh as much as a word; the weight of a word is this too.
@@ -143,36 +143,46 @@ def chunk_ends(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return ends, np.diff(np.searchsorted(starts, ends), prepend=0)
 
 
-def spans(text: bytes, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Where units start and stop, their weights, and the first unit and the one past the last of every digest.
+def chunk_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Where units start and stop, the weight before each and in all, and the units at which chunks begin.
 
-    Those around chunk ends, and the text's first and last ``min_words``.
+    The number of units is the last bound.
     """
-    raw = np.frombuffer(text, np.uint8)
-    if not len(raw):
-        return (np.zeros(0, np.int64),) * 5
     starts, stops, weights = units_in(raw)
-    total, need = np.append(0, weights), WORD_BYTES * min_words
-    if total[-1] < need:
-        return starts, stops, np.diff(total), *(np.zeros(0, np.int64),) * 2
-    middle = weights[closing(raw, stops, weights)]
-    low, high = middle - need // 2, middle + need - need // 2
-    inside = (low >= 0) & (high <= total[-1])
-    low, high = np.append(low[inside], [0, total[-1] - need]), np.append(high[inside], [need, total[-1]])
-    first = np.searchsorted(total, low, side="right") - 1
-    past = np.searchsorted(total, high)
-    return starts, stops, np.diff(total), first, past
+    bounds = np.unique(np.concatenate([[0], closing(raw, stops, weights) + 1, [len(stops)]]))
+    return starts, stops, np.append(0, weights), bounds
+
+
+def chunk_runs(before: np.ndarray, bounds: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first unit and the one past the last of every run of chunks that has a digest.
+
+    From each chunk the shortest run of at least ``min_words`` words, and the shortest at the text's end.
+    """
+    at, need = before[bounds], WORD_BYTES * min_words
+    if at[-1] < need:
+        return (np.zeros(0, np.int64),) * 2
+    past = np.searchsorted(at, at + need)
+    whole = past < len(at)
+    last = np.searchsorted(at, at[-1] - need, side="right") - 1
+    first, past = bounds[whole], bounds[past[whole]]
+    if past[-1] != bounds[-1]:  # the chunk ``last`` is the last to start a run
+        first, past = np.append(first, bounds[last]), np.append(past, bounds[-1])
+    return first, past
 
 
 def _digester(min_words: int):
     def digests_of(texts: pa.Array) -> pa.Array:
-        """Per text: place and two halves of every digest."""
+        """Per text: number and two halves of the digest of every run of chunks."""
         import xxhash
 
         digest = xxhash.xxh3_128_digest
         digests, places, offsets = [], [], [0]
         for text in utf8(texts):
-            starts, stops, _, first, past = spans(text, min_words)
+            if not text:
+                offsets.append(offsets[-1])
+                continue
+            starts, stops, before, bounds = chunk_bounds(np.frombuffer(text, np.uint8))
+            first, past = chunk_runs(before, bounds, min_words)
             ends = stops[past - 1]
             digests += [digest(text[a:b]) for a, b in zip(starts[first].tolist(), ends.tolist())]
             places.append(np.arange(len(first)))
@@ -200,7 +210,8 @@ def _cutter(min_words: int):
             if not places:
                 rows.append({"kept": text.decode(), "n_chunks": 0, "n_words": 0})
                 continue
-            starts, stops, weights, first, past = spans(text, min_words)
+            starts, stops, before, bounds = chunk_bounds(np.frombuffer(text, np.uint8))
+            first, past = chunk_runs(before, bounds, min_words)
             turns = np.zeros(len(starts) + 1, np.int64)
             np.add.at(turns, first[places], 1)
             np.add.at(turns, past[places], -1)
@@ -213,10 +224,8 @@ def _cutter(min_words: int):
                 if a and starts[a] == stops[a - 1]:  # the white space after them parts what is left
                     at = stops[b - 1]
             kept.append(text[at:])
-            chunks = np.searchsorted(chunk_ends(text)[0], starts[gone], side="right")
-            rows.append(
-                {"kept": b"".join(kept).decode(), "n_chunks": len(np.unique(chunks)), "n_words": -(-int(weights[gone].sum()) // WORD_BYTES)}
-            )
+            n_chunks, weight = int(gone[bounds[:-1]].sum()), int(np.diff(before)[gone].sum())
+            rows.append({"kept": b"".join(kept).decode(), "n_chunks": n_chunks, "n_words": -(-weight // WORD_BYTES)})
         return pa.array(rows, result)
 
     return arrow_udf(cut, "struct<kept:string,n_chunks:bigint,n_words:bigint>").asNondeterministic()
@@ -240,13 +249,11 @@ def drop_repeated_passages(
 ) -> DataFrame:
     """One row per row of ``docs``: the key, ``n_dropped_chunks``, ``n_dropped_words``, ``kept_text``.
 
-    Dropped is what stands in ``min_words`` words around a chunk's end, or at an end of the
-    text, that a document with a smaller key also has around one. Of 11 word ends one is a
-    chunk's, and the hash covers up to 8 words, so a repeat of ``min_words`` + 11 words
-    (8 + 11 + half of ``min_words``, if that is more) is certain to be found, and of a longer
-    one at most 10 words stay at the end and 11 at the start (more if half of ``min_words`` is
-    under 8). A passage stays in the document with the smallest key; whole copies of a text of
-    that many words lose all of it elsewhere. Chunks count as dropped if they lose a word.
+    Dropped are the chunks of every run that a document with a smaller key also has: ``min_words``
+    words or more, from one chunk's start to another's end. Of 9 words in a row one ends a
+    chunk and the hash covers up to 4 words, so a repeat of ``min_words`` + 29 words is certain
+    to be found wherever it stands; at most 13 of its words stay at the start and 24 at the end. A passage stays in the document with the smallest key;
+    whole copies of a text of ``min_words`` words lose all of it elsewhere.
     In unspaced text (long words, and scripts without spaces) six bytes count as a word, here
     and in ``n_dropped_words``. Repeats inside one document stay. Each row is a document; rows that repeat a key keep
     or lose a passage together. Null keys lose against others; among null keys alone a
