@@ -1,15 +1,18 @@
 """Quality scores from random-indexing word vectors, pooled per document, and a small network.
 
-1. Word vectors. Every token falls into one of ``BUCKETS`` buckets by its CRC, and every
-   bucket has a sparse random index vector. A bucket's context sums the index vectors of
-   the tokens around its own, over all documents. Sums are whole numbers, so their order
-   and retried tasks change nothing; a task sends one row per bucket it met.
+1. Word vectors. Every word has a sparse random index vector, made from the word's 64-bit
+   hash, so no two words share one, however many there are. A word's context sums the index
+   vectors of the words around its own places. Spark counts all words; those that make up at least
+   one in ``COMMON`` of all tokens, of which there can be no more than ``COMMON``, get the
+   context of all their places in the corpus. A rarer word has the context of the place at
+   which it stands; for a word met once that is all it has. Sums are whole numbers, so
+   their order and retried tasks change nothing.
 2. A document is the mean and the spread of its tokens' vectors, how alike neighbours are, the
    share of distinct tokens, and the log of their number.
 3. A two-layer network is fitted by numpy on a bounded sample of labelled documents, at
    most ``max_labelled``, and its temperature on a fifth of that sample kept out of it.
 
-Vectors and network have a fixed size whatever the corpus; they alone are broadcast.
+Vectors and network have a size bound whatever the corpus; they alone are broadcast.
 """
 
 from __future__ import annotations
@@ -27,105 +30,197 @@ from pyspark.sql.functions import arrow_udf
 
 from gradewise.functions import column
 from gradewise.llm.text import batches, fresh, show_code, utf8
+from gradewise.sources.scratch import materialize
 
 # Runs of letters and digits, runs of marks; case counts.
 TOKEN = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^\s0-9A-Za-z\x80-\xff]+")
-BUCKETS = 1 << 14
+#: Words of at least one in so many tokens have the context of all their places.
+COMMON = 1 << 16
 DIMS = 32
 NONZERO = 4
 WINDOW = 2
 #: Tokens whose vectors are gathered at once.
 GATHERED = 100_000
+#: Distinct words that a task counts before it sends them on.
+COUNTED = 1_000_000
 FEATURES = 2 * DIMS + 3
 
 
-def index_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """Places and signs of each bucket's non-zero entries."""
-    rng = np.random.default_rng(20240607)
-    return rng.integers(0, DIMS, (BUCKETS, NONZERO)), rng.choice([-1.0, 1.0], (BUCKETS, NONZERO))
+def words_of(text: bytes) -> np.ndarray:
+    """64-bit hashes of the text's tokens, in order."""
+    import xxhash
 
-
-def buckets_of(text: bytes) -> np.ndarray:
     tokens = TOKEN.findall(text)
-    return np.fromiter(map(crc32, tokens), np.int64, len(tokens)) & (BUCKETS - 1)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+
+
+def index_places(words: np.ndarray, j: int) -> np.ndarray:
+    """The dimension of each word's ``j``-th non-zero entry: five bits of its hash."""
+    return (words >> np.uint64(5 * j) & np.uint64(DIMS - 1)).astype(np.int64)
+
+
+def index_signs(words: np.ndarray, j: int) -> np.ndarray:
+    return (words >> np.uint64(40 + j) & np.uint64(1)).astype(np.float32) * 2 - 1
+
+
+def index_vectors(words: np.ndarray) -> np.ndarray:
+    """Each word's index vector; entries that fall on one dimension add up."""
+    vectors, row = np.zeros((len(words), DIMS), np.float32), np.arange(len(words))
+    for j in range(NONZERO):
+        vectors[row, index_places(words, j)] += index_signs(words, j)
+    return vectors
 
 
-def _contexts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The task's documents as one row per bucket: tokens, and sums of index vectors around them."""
-    places, signs = index_vectors()
-    sums, counts = np.zeros(BUCKETS * DIMS), np.zeros(BUCKETS, np.int64)
+def contexts_at(words: np.ndarray) -> np.ndarray:
+    """For each place of a text the sum of the index vectors of the words around it."""
+    own = index_vectors(words)
+    sums = np.zeros_like(own)
+    for step in range(1, WINDOW + 1):
+        sums[step:] += own[:-step]
+        sums[:-step] += own[step:]
+    return sums
+
+
+@dataclass
+class WordVectors:
+    """Sorted hashes of the common words, their unit vectors, and the mean context of all tokens."""
+
+    words: np.ndarray
+    vectors: np.ndarray
+    mean: np.ndarray
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Each word's place in the table; its length for rarer words."""
+        if not len(self.words):
+            return np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, at, len(self.words))
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """The vector at every place of a text."""
+        at = self.places(words)
+        rare = np.flatnonzero(at == len(self.words))
+        found = np.zeros((len(words), DIMS), np.float32)
+        known = at < len(self.words)
+        found[known] = self.vectors[at[known]]
+        if len(rare):
+            found[rare] = unit(contexts_at(words)[rare] - self.mean)
+        return found
+
+
+def unit(vectors: np.ndarray) -> np.ndarray:
+    return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+def _counts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of the task's documents and how often each occurs; a word may come more than once."""
+    held, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(n)], ["word", "n"])
+
     for part in parts:
         texts = utf8(part.column(0))
         for group in batches(texts):
-            own = [buckets_of(texts[i]) for i in group]
-            tokens = np.concatenate(own)
-            doc = np.repeat(np.arange(len(own)), [len(x) for x in own])
-            counts += np.bincount(tokens, minlength=BUCKETS)
-            for step in range(1, WINDOW + 1):
-                left, right = tokens[:-step], tokens[step:]
-                same = doc[:-step] == doc[step:]
-                for here, there in ((left[same], right[same]), (right[same], left[same])):
-                    for j in range(NONZERO):
-                        flat = here * DIMS + places[there, j]
-                        sums += np.bincount(flat, weights=signs[there, j], minlength=BUCKETS * DIMS)
-    met = np.flatnonzero(counts)
-    values = sums.reshape(BUCKETS, DIMS)[met].astype(np.int64)
-    columns = [pa.array(met.astype(np.int32)), pa.array(counts[met])]
-    columns += [pa.array(np.ascontiguousarray(values[:, d])) for d in range(DIMS)]
-    yield pa.RecordBatch.from_arrays(columns, ["bucket", "n", *_dims()])
+            more, times = np.unique(np.concatenate([words_of(texts[i]) for i in group]), return_counts=True)
+            held, place = np.unique(np.concatenate([held, more]), return_inverse=True)
+            n = np.bincount(place, weights=np.concatenate([n, times]), minlength=len(held)).astype(np.int64)
+            if len(held) > COUNTED:
+                yield rows()
+                held, n = held[:0], n[:0]
+    yield rows()
+
+
+def _contexts(table: WordVectors):
+    def contexts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The task's documents as one row per common word and one for all others: tokens, and sums of their contexts."""
+        size = len(table.words) + 1
+        sums, counts = np.zeros(size * DIMS), np.zeros(size, np.int64)
+        for part in parts:
+            texts = utf8(part.column(0))
+            for group in batches(texts):
+                own = [words_of(texts[i]) for i in group]
+                words = np.concatenate(own)
+                doc = np.repeat(np.arange(len(own)), [len(x) for x in own])
+                at = table.places(words)
+                counts += np.bincount(at, minlength=size)
+                for step in range(1, WINDOW + 1):
+                    same = np.flatnonzero(doc[:-step] == doc[step:])
+                    for here, there in ((same, same + step), (same + step, same)):
+                        for j in range(NONZERO):
+                            flat = at[here] * DIMS + index_places(words[there], j)
+                            sums += np.bincount(flat, weights=index_signs(words[there], j), minlength=len(sums))
+        met = np.flatnonzero(counts)
+        values = sums.reshape(size, DIMS)[met].astype(np.int64)
+        columns = [pa.array(met.astype(np.int32)), pa.array(counts[met])]
+        columns += [pa.array(np.ascontiguousarray(values[:, d])) for d in range(DIMS)]
+        yield pa.RecordBatch.from_arrays(columns, ["place", "n", *_dims()])
+
+    return contexts
 
 
 def _dims() -> list[str]:
     return [f"v{d}" for d in range(DIMS)]
 
 
-def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Unit vectors of the buckets' mean contexts around the corpus's mean; zero if never met."""
+def common_words(docs: DataFrame, text: str = "text", common: int = COMMON) -> np.ndarray:
+    """Sorted hashes of the words that make up at least one in ``common`` of all tokens of ``docs``."""
     show_code(docs)
-    schema = "bucket int, n long, " + ", ".join(f"{d} long" for d in _dims())
+    counts = docs.select(column(text).alias("text")).mapInArrow(_counts, "word long, n long")
+    counts = materialize(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    often = counts.filter(F.col("n") * common >= total).select("word").toArrow()  # at most ``common`` rows
+    return np.sort(often["word"].to_numpy().astype(np.int64).view(np.uint64))
+
+
+def word_vectors(docs: DataFrame, text: str = "text", common: int = COMMON) -> WordVectors:
+    """Unit vectors of the common words' mean contexts around the corpus's mean."""
+    words = common_words(docs, text, common)
+    empty = WordVectors(words, np.zeros((len(words), DIMS), np.float32), np.zeros(DIMS))
+    schema = "place int, n long, " + ", ".join(f"{d} long" for d in _dims())
     rows = (
         docs.select(column(text).alias("text"))
-        .mapInArrow(_contexts, schema)
-        .groupBy("bucket")
+        .mapInArrow(_contexts(empty), schema)
+        .groupBy("place")
         .agg(F.sum("n").alias("n"), *[F.sum(d).alias(d) for d in _dims()])
-        .collect()  # at most BUCKETS rows
+        .toArrow()  # at most ``common`` rows and one
     )
-    vectors = np.zeros((BUCKETS, DIMS))
-    if not rows:
-        return vectors.astype(np.float32)
-    rows.sort(key=lambda r: r.bucket)
-    table = np.array([list(r) for r in rows], np.float64)
-    met, n, sums = table[:, 0].astype(int), table[:, 1:2], table[:, 2:]
-    apart = sums / n - sums.sum(0) / n.sum()
-    vectors[met] = apart / np.maximum(np.linalg.norm(apart, axis=1, keepdims=True), 1e-9)
-    return vectors.astype(np.float32)
-
-
-def pooled(text: bytes, vectors: np.ndarray) -> np.ndarray:
+    if not rows.num_rows:
+        return empty
+    place, n = rows["place"].to_numpy(), rows["n"].to_numpy().astype(np.float64)[:, None]
+    sums = np.stack([rows[d].to_numpy() for d in _dims()], axis=1).astype(np.float64)
+    mean = sums.sum(0) / n.sum()
+    vectors = np.zeros((len(words) + 1, DIMS), np.float32)
+    vectors[place] = unit(sums / n - mean)
+    return WordVectors(words, vectors[:-1], mean)
+
+
+def pooled(text: bytes, table: WordVectors) -> np.ndarray:
     """Mean and spread of the text's token vectors, mean product of neighbours, share of distinct tokens, log count.
 
     Zeros for a text without tokens.
     """
-    tokens = buckets_of(text)
+    words = words_of(text)
     total, squares, alike = np.zeros(DIMS), np.zeros(DIMS), 0.0
-    for at in range(0, len(tokens), GATHERED):
-        own = vectors[tokens[at : at + GATHERED + 1]]
+    for at in range(0, len(words), GATHERED):
+        # With the words around the piece, and the vector after it.
+        low, high = max(0, at - WINDOW), at + GATHERED + 1 + WINDOW
+        own = table.of(words[low:high])[at - low : at - low + GATHERED + 1]
         alike += np.einsum("ij,ij->", own[:-1], own[1:], dtype=np.float64)
         own = own[:GATHERED]
         total += own.sum(0, dtype=np.float64)
         squares += np.einsum("ij,ij->j", own, own, dtype=np.float64)
-    n = max(len(tokens), 1)
+    n = max(len(words), 1)
     mean = total / n
     spread = np.sqrt(np.maximum(squares / n - mean**2, 0))
-    distinct = np.count_nonzero(np.bincount(tokens)) if len(tokens) > BUCKETS else len(set(tokens.tolist()))
-    return np.concatenate([mean, spread, [alike / n, distinct / n, np.log1p(len(tokens))]])
+    return np.concatenate([mean, spread, [alike / n, len(np.unique(words)) / n, np.log1p(len(words))]])
 
 
 @dataclass
 class QualityModel:
     """Word vectors, standardised inputs, two layers and a temperature; or a constant score."""
 
-    vectors: np.ndarray
+    vectors: WordVectors
     centre: np.ndarray
     scale: np.ndarray
     layers: tuple[np.ndarray, ...] | None
@@ -174,9 +269,14 @@ def fit_network(x: np.ndarray, y: np.ndarray, hidden: int = 32, epochs: int = 60
 
 
 def best_temperature(logits: np.ndarray, y: np.ndarray) -> float:
-    """The temperature of least log loss on rows the network has not seen."""
-    tried = np.exp(np.linspace(0, 3, 61))
-    losses = [np.mean(np.logaddexp(0, np.where(y == 1, -logits, logits) / t)) for t in tried]
+    """The temperature, below or above 1, of least log loss on rows the network has not seen.
+
+    Each class counts one row of the other, so that rows it parts without a fault still have one.
+    """
+    ones = (y == 1).sum()
+    wanted = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (len(y) - ones + 2))
+    tried = np.exp(np.linspace(-3, 3, 121))
+    losses = [np.mean(np.logaddexp(0, logits / t) - wanted * logits / t) for t in tried]
     return float(tried[int(np.argmin(losses))])
 
 
