@@ -4,7 +4,7 @@ A fingerprint is a ring of four 16-bit segments. If two fingerprints differ in a
 three bits, then from some segment on, clockwise, the differences of the first one, two,
 three and four segments stay within 0, 1, 2 and 3 (each chain's share of the budget).
 So some segment is equal, the next differs in at most one bit, and the two after it in
-at most two in all. This makes exact join keys of 28 to 30 bits: the equal segment, an
+at most two in all. This makes exact join keys of 29 or 30 bits: the equal segment, an
 equal half of the next one, and an equal part (of three) of the one after, 24 keys per
 fingerprint. Candidates pass the chain's budgets before the whole is compared.
 
@@ -198,7 +198,8 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
     rooted = owners.join(member, F.col("fp") == F.col("node"), "left").select(
         "fp", "top", F.coalesce("root", "fp").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("top").alias("component_id"))
+    # Written, so that the join's sides are dealt out for it alone and a large component can be split.
+    smallest = materialize(rooted.groupBy("root").agg(F.min("top").alias("component_id")), "components")
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(F.col("id").alias(key), "fp", "component_id")
 
@@ -210,7 +211,7 @@ def near_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Dat
 # minima of hashed shingles propose pairs beside the fingerprints, and every proposed pair
 # is compared shingle by shingle.
 
-BANDS, ROWS = 16, 5
+BANDS, ROWS = 32, 4
 SHINGLE = 5
 
 
@@ -373,7 +374,7 @@ def similar_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", sim
     Documents are linked if their sets of five-word shingles (A-Z in lower case, white space
     between words of no account) have a Jaccard similarity of at least ``similarity``, among
     the pairs that fingerprints at most three bits apart or a band of minima propose. At 0.8
-    a pair shares no band once in 500 times. Groups are what links connect. Every node of a
+    a pair shares no band once in 20 million times, and is lost only if nothing else connects it. Groups are what links connect. Every node of a
     key is compared with two of them. Keys whose nodes are not of one group by then have all
     their nodes joined by their rarest shingles, which shows every link that is left, so no
     link that is proposed is lost, and a large group of alike texts takes few pairs.
