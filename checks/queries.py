@@ -6,6 +6,7 @@ zero discounts and taxes, one column per event type, text in place of numbers.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -52,6 +53,8 @@ EVENT_CANDIDATES = [
 ]
 PRICE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 PART_FEATURES = ["p_size", "p_retailprice", "constant"]
+# Text in one file of cells that span lines: some splits' worth, which one task writes.
+SPANNING_FILE_BYTES = 1 << 28
 TEXT_FEATURES = ["chars_n", "spaces_n", "digits_n", "capitals_n", "marks_n", "lines_n"]
 
 
@@ -211,12 +214,19 @@ def tsv_lines_in_cells(spark, sf_dir):
     return read_delimited(spark, path, schema=docs.schema, lineSep="\n")
 
 
+def files_for(docs: DataFrame, file_bytes: int = SPANNING_FILE_BYTES) -> int:
+    """Files of about ``file_bytes`` bytes of text that hold ``docs``; one task writes each."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(1, math.ceil(size / file_bytes))
+
+
 @query
 def tsv_one_spanning_file(spark, sf_dir):
-    """Texts over many lines in one file, read in as many tasks as it has splits."""
+    """Texts over many lines in one file, or in one for each 256 MB, read in as many tasks as there are splits."""
     docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, "one-tsv")
-    export_readable(docs.coalesce(1), path, sep="\t")
+    # Dealt out row by row, as splits of the table can be of very unequal size.
+    export_readable(docs.repartition(files_for(docs)), path, sep="\t")
     return read_delimited(spark, path, schema=docs.schema, lineSep="\n", min_splits=1)
 
 

@@ -4,6 +4,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from checks import queries
 from gradewise.sources import export_readable, preview, read_delimited, scratch_path, table_profile
 from gradewise.sources.delimited import has_spanning_cells, unclean_line
 from gradewise.sources.scratch import materialize
@@ -292,3 +293,20 @@ def test_scratch_tables_go_to_the_folder_the_session_names(spark, products):
     assert stored.columns == products.columns
     assert sorted(map(str, stored.collect())) == sorted(map(str, products.collect()))
     assert all(f.startswith(f"file:{folder}") or f.startswith(f"file://{folder}") for f in stored.inputFiles())
+
+
+def test_no_task_writes_more_than_a_file_of_spanning_cells(spark, tmp_path, monkeypatch):
+    rows = [(i, f'first "{i}"\nsecond', "en", "s", 20) for i in range(90)] + [(90, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert queries.files_for(docs) == 1
+    size = sum(len(r[1] or "") for r in rows)
+    assert queries.files_for(docs, 500) == -(-size // 500)
+    assert queries.files_for(docs.limit(0)) == 1
+    monkeypatch.setattr(queries, "files_for", lambda docs: 4)
+    read = queries.tsv_one_spanning_file(spark, str(tmp_path))
+    assert sorted(map(tuple, read.collect())) == sorted(rows, key=lambda r: r[0])
+    written = []
+    monkeypatch.setattr(queries, "export_readable", lambda df, path, sep: written.append(df) or export_readable(df, path, sep=sep))
+    queries.tsv_one_spanning_file(spark, str(tmp_path))
+    assert max(r["count"] for r in written[0].groupBy(F.spark_partition_id()).count().collect()) <= 30
