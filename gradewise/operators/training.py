@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -30,6 +31,9 @@ ITERATIONS = 10
 #: Subsets that one number tells of.
 MASK_BITS = 62
 
+#: Training rows in a task: the base forest holds 500 bytes of each in memory, its 100 bootstrap counts included.
+ROWS_PER_TASK = 200_000
+
 
 def base_forest(label: str = LABEL) -> RandomForestClassifier:
     """The default model: 100 trees of depth 5."""
@@ -77,7 +81,21 @@ def fit_on_vectors(
 ) -> PipelineModel:
     """Fit a classifier on vectors that ``prepared`` made; one model from raw columns."""
     rows = vectors.select(column(name).alias("features"), classifier.getLabelCol())
-    return PipelineModel(stages=[*prepared.stages, classifier.fit(rows)])
+    return PipelineModel(stages=[*prepared.stages, classifier.fit(evenly(rows))])
+
+
+def evenly(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``rows`` dealt out for a fit, to tasks of about ``rows_per_task`` of them; fewer rows in all stay as they are.
+
+    Splits of stored tables go by compressed bytes, and a fit holds rows unpacked: 128 MB of
+    vectors with few distinct values are tens of millions. A fit reads its rows several
+    times; from here on it reads them from one shuffle.
+    """
+    n = rows.count()
+    if n <= rows_per_task:
+        return rows
+    parts = max(math.ceil(n / rows_per_task), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(parts, F.monotonically_increasing_id())
 
 
 def in_pool(spark: SparkSession, parallelism: int, work: Callable, tasks: Iterable) -> list:
@@ -103,15 +121,17 @@ def train_model(
     key: str | None = None,
     split: tuple[DataFrame, DataFrame] | None = None,
     relative_error: float = MEDIAN_ERROR,
+    prepared: PipelineModel | None = None,
 ) -> Trained:
     """Fit the base forest or the given classifier; split first when no split is given.
 
-    The split hashes the ``key``, or the rows' content where there is none.
+    The split hashes the ``key``, or the rows' content where there is none. ``prepared``:
+    the feature stages where they are fitted on the training rows already.
     """
     if split is None:
         split = hash_split(df, key)
     train, test = split
-    prepared = fit_features(train, features, relative_error)
+    prepared = prepared or fit_features(train, features, relative_error)
     return Trained(fit_classifier(train, prepared, classifier or base_forest()), train, test)
 
 
@@ -158,7 +178,7 @@ def fit_on_top_features(
     classifier = (classifier or base_forest()).copy()
     classifier.setFeaturesCol(slicer.getOutputCol())
     vectors = slicer.transform(prepared.transform(train))
-    model = classifier.fit(vectors.select(slicer.getOutputCol(), classifier.getLabelCol()))
+    model = classifier.fit(evenly(vectors.select(slicer.getOutputCol(), classifier.getLabelCol())))
     return PipelineModel(stages=[*prepared.stages, slicer, model])
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from gradewise.functions import column
 from gradewise.operators.evaluation import auc_evaluator
 from gradewise.operators.features import MEDIAN_ERROR, store_vectors
-from gradewise.operators.training import fit_features, fit_on_vectors, in_pool
+from gradewise.operators.training import evenly, fit_features, fit_on_vectors, in_pool
 
 # The grid and the folds.
 TREES = (50, 100)
@@ -114,7 +114,7 @@ def cross_validate(
     def fold_score(task: tuple[int, int]) -> float:
         candidate, held_out = task
         rows = vectors.table.select(column(without(held_out)).alias("features"), label, column(fold))
-        model = classifier.copy(grid[candidate]).fit(rows.filter(column(fold) != held_out).drop(fold))
+        model = classifier.copy(grid[candidate]).fit(evenly(rows.filter(column(fold) != held_out).drop(fold)))
         return evaluator.evaluate(model.transform(rows.filter(column(fold) == held_out)))
 
     # Grids tend to list small models first; begun last they fill what the large ones leave.

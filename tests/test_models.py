@@ -286,3 +286,34 @@ def test_the_check_on_overlapping_classes_sees_other_models(spark, monkeypatch,
     other = swapped()
     monkeypatch.setattr(training, name, lambda: other)
     assert differences(spark, connect(sf_dir), sf_dir, REGISTRY["trained_cells"], oracle()["trained_cells"])
+
+
+def test_fits_read_even_parts_of_few_rows(spark, learnable, monkeypatch):
+    rows = spark.range(0, 1000, 1, 1)
+    dealt = training.evenly(rows, 10)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 90 and max(sizes) <= 30
+    assert sorted(r.id for r in dealt.collect()) == list(range(1000))
+    assert training.evenly(rows, 1000) is rows
+
+    # Rows that one file holds, alike in their content, are dealt out before any fit.
+    monkeypatch.setattr(training.evenly, "__defaults__", (20,))
+    parts = []
+    fit = RandomForestClassifier.fit
+
+    def seen(self, data, *rest):
+        parts.append([r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()])
+        return fit(self, data, *rest)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", seen)
+    bit = F.col("id") % 2
+    one = spark.range(0, 400, 1, 1).select(
+        bit.cast("double").alias("x"), bit.cast("int").alias("label"), F.floor(F.col("id") / 2 % 2).cast("int").alias("fold")
+    )
+    stages = training.fit_features(one, ["x"])
+    training.train_model(one, ["x"], training.plain_forest(), split=(one, one), prepared=stages)
+    training.fit_on_top_features(one, ["x"], 1, training.plain_forest())
+    forest = training.plain_forest()
+    tuning.cross_validate(one, ["x"], forest, [{forest.maxDepth: 1}], fold="fold", folds=2)
+    assert len(parts) == 6
+    assert all(len(p) >= 8 and max(p) <= 60 for p in parts)
