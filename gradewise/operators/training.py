@@ -85,7 +85,7 @@ def fit_on_vectors(
 
 
 def evenly(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``rows`` dealt out for a fit, to tasks of about ``rows_per_task`` of them; fewer rows in all stay as they are.
+    """``rows`` dealt out for a fit, to tasks of at most about ``rows_per_task`` of them; fewer rows in all stay as they are.
 
     Splits of stored tables go by compressed bytes, and a fit holds rows unpacked: 128 MB of
     vectors with few distinct values are tens of millions. A fit reads its rows several
@@ -94,7 +94,9 @@ def evenly(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     n = rows.count()
     if n <= rows_per_task:
         return rows
-    parts = max(math.ceil(n / rows_per_task), rows.sparkSession.sparkContext.defaultParallelism)
+    # Whole rounds of tasks, so that no core waits while a few of a last round run.
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    parts = cores * math.ceil(n / (rows_per_task * cores))
     return rows.repartition(parts, F.monotonically_increasing_id())
 
 
