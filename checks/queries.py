@@ -810,13 +810,14 @@ def trained_cells(spark, sf_dir):
     """Each stock model's score in each cell."""
     prepared, names = flagged_lines(spark, sf_dir)
     split = prepared.train, prepared.test
+    stages = training.fit_features(prepared.train, names)  # the same ones for all three
     found = []
     for name, classifier in (
         ("base forest", training.base_forest()),
         ("boosted trees", training.boosted_trees()),
         ("logistic", training.logistic()),
     ):
-        trained = training.train_model(prepared.labelled, names, classifier, split=split)
+        trained = training.train_model(prepared.labelled, names, classifier, split=split, prepared=stages)
         scored = training.score(trained.model, trained.test, names)
         model = training.classifier_of(trained.model)
         trees = model.getNumTrees if "RandomForest" in type(model).__name__ else None
