@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -23,6 +22,7 @@ from gradewise.functions import column, majority
 from gradewise.operators.features import MEDIAN_ERROR, feature_stages, store_vectors, top_feature_slicer
 from gradewise.operators.labeling import LABEL
 from gradewise.operators.sampling import SEED, hash_split, subset_conditions
+from gradewise.sources.scratch import materialize
 
 # Sizes of the stock models.
 BASE_TREES, BASE_DEPTH = 100, 5
@@ -85,19 +85,13 @@ def fit_on_vectors(
 
 
 def evenly(rows: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """``rows`` dealt out for a fit, to tasks of at most about ``rows_per_task`` of them; fewer rows in all stay as they are.
+    """``rows`` stored for a fit that reads them by tasks of at most ``rows_per_task``; fewer rows in all stay as they are.
 
     Splits of stored tables go by compressed bytes, and a fit holds rows unpacked: 128 MB of
     vectors with few distinct values are tens of millions. A fit reads its rows several
-    times; from here on it reads them from one shuffle.
+    times, and asks for their partitions, which would run a shuffle each time.
     """
-    n = rows.count()
-    if n <= rows_per_task:
-        return rows
-    # Whole rounds of tasks, so that no core waits while a few of a last round run.
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    parts = cores * math.ceil(n / (rows_per_task * cores))
-    return rows.repartition(parts, F.monotonically_increasing_id())
+    return rows if rows.count() <= rows_per_task else materialize(rows, "dealt", rows_per_file=rows_per_task)
 
 
 def in_pool(spark: SparkSession, parallelism: int, work: Callable, tasks: Iterable) -> list:

@@ -42,13 +42,30 @@ def drop_scratch(spark: SparkSession) -> int:
     return dropped
 
 
-def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, partition_by: tuple[str, ...] = (), rows_per_file: int | None = None
+) -> DataFrame:
     """Write ``df`` as Parquet and return the table read back with the same schema.
 
-    Partition columns come back as directories, so filters on them prune files.
+    Partition columns come back as directories, so filters on them prune files. With
+    ``rows_per_file`` no file holds more rows, and each file is read by a task of its own.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    write = df.write.partitionBy(*partition_by)
+    if rows_per_file is not None:
+        write = write.option("maxRecordsPerFile", rows_per_file)
+        spark = file_by_file(spark)
+    write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     return table.select(*[column(c) for c in df.columns])
+
+
+def file_by_file(spark: SparkSession) -> SparkSession:
+    """A session of the same settings whose tasks read one file each, as opening a file counts as a whole split."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set("spark.sql.files.openCostInBytes", spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return session
