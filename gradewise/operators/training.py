@@ -169,13 +169,13 @@ def fit_on_top_features(
 ) -> PipelineModel:
     """Rank features with the base forest, keep the ``k`` best, fit the classifier on those."""
     prepared = fit_features(train, features, relative_error)
-    forest = fit_classifier(train, prepared, base_forest())
-    slicer = top_feature_slicer(classifier_of(forest).featureImportances.toArray(), k)
-    classifier = (classifier or base_forest()).copy()
+    forest, classifier = base_forest(), (classifier or base_forest()).copy()
+    labels = dict.fromkeys([forest.getLabelCol(), classifier.getLabelCol()])
+    vectors = evenly(prepared.transform(train).select("features", *labels))  # the same ones for both fits
+    slicer = top_feature_slicer(forest.fit(vectors).featureImportances.toArray(), k)
     classifier.setFeaturesCol(slicer.getOutputCol())
-    vectors = slicer.transform(prepared.transform(train))
-    model = classifier.fit(evenly(vectors.select(slicer.getOutputCol(), classifier.getLabelCol())))
-    return PipelineModel(stages=[*prepared.stages, slicer, model])
+    top = slicer.transform(vectors).select(slicer.getOutputCol(), classifier.getLabelCol())
+    return PipelineModel(stages=[*prepared.stages, slicer, classifier.fit(top)])
 
 
 @dataclass

@@ -317,3 +317,23 @@ def test_fits_read_even_parts_of_few_rows(spark, learnable, monkeypatch):
     tuning.cross_validate(one, ["x"], forest, [{forest.maxDepth: 1}], fold="fold", folds=2)
     assert len(parts) == 6
     assert all(len(p) >= 8 and max(p) <= 60 for p in parts)
+
+
+def test_a_fit_runs_no_shuffle_of_its_rows(spark, monkeypatch):
+    """Rows are dealt out once, as files of which a task reads one, and both fits of a selection read the same."""
+    plans = []
+    fit = RandomForestClassifier.fit
+
+    def seen(self, data, *rest):
+        plans.append((data._jdf.queryExecution().executedPlan().toString(), data.inputFiles(), data.rdd.getNumPartitions()))
+        return fit(self, data, *rest)
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", seen)
+    monkeypatch.setattr(training.evenly, "__defaults__", (20,))
+    bit = F.col("id") % 2
+    rows = spark.range(0, 400, 1, 1).select(bit.cast("double").alias("x"), bit.cast("int").alias("label"))
+    training.fit_on_top_features(rows, ["x"], 1, training.plain_forest())
+    training.train_model(rows, ["x"], training.plain_forest(), split=(rows, rows))
+    assert not any("Exchange" in plan for plan, _, _ in plans)
+    assert [len(files) for _, files, _ in plans] == [n for _, _, n in plans] == [20, 20, 20]
+    assert sorted(plans[0][1]) == sorted(plans[1][1])
