@@ -65,7 +65,11 @@ def feature_stages(features: list[str], relative_error: float = MEDIAN_ERROR) ->
 
 
 def store_vectors(
-    df: DataFrame, stages: Mapping[str, PipelineModel], keep: Iterable[str], partition_by: tuple[str, ...] = ()
+    df: DataFrame,
+    stages: Mapping[str, PipelineModel],
+    keep: Iterable[str],
+    partition_by: tuple[str, ...] = (),
+    rows_per_file: int | None = None,
 ) -> DataFrame:
     """Written table of the columns ``keep`` and one vector column per fitted set of stages, named as it is in ``stages``.
 
@@ -77,7 +81,7 @@ def store_vectors(
         made = model.transform(vectors)
         vectors = made.select(*[column(c) for c in vectors.columns], F.col("features").alias(f"__vector_{i}"))
     named = [F.col(f"__vector_{i}").alias(name) for i, name in enumerate(stages)]
-    return materialize(vectors.select(*[column(c) for c in keep], *named), "vectors", partition_by)
+    return materialize(vectors.select(*[column(c) for c in keep], *named), "vectors", partition_by, rows_per_file)
 
 
 def vector_columns(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -21,16 +20,13 @@ from pyspark.sql import functions as F
 from gradewise.functions import column, majority
 from gradewise.operators.features import MEDIAN_ERROR, feature_stages, store_vectors, top_feature_slicer
 from gradewise.operators.labeling import LABEL
-from gradewise.operators.sampling import SEED, hash_split, subset_conditions
+from gradewise.operators.sampling import SEED, hash_split, store_subsets, subset_mask  # noqa: F401 (the mask is used from here too)
 from gradewise.sources.scratch import materialize
 
 # Sizes of the stock models.
 BASE_TREES, BASE_DEPTH = 100, 5
 ITERATIONS = 10
 
-#: Subsets that one number tells of.
-MASK_BITS = 62
-
 #: Training rows in a task: the base forest holds 500 bytes of each in memory, its 100 bootstrap counts included.
 ROWS_PER_TASK = 200_000
 
@@ -214,24 +210,18 @@ def fit_balanced_ensemble(
 ) -> VotingEnsemble:
     """One classifier per class-balanced subset, ``parallelism`` of them fitted at a time.
 
-    Vectors are stored once, each with the subsets its row belongs to as bits of a mask, so a
-    member reads its rows by testing a bit.
+    Vectors are stored once, with bits of a mask and hashes near a cut that tell the subsets of
+    a row, so a member reads its rows by a filter.
     """
     classifier = classifier or plain_forest(label)
     prepared = fit_features(train, features, relative_error)
-    conditions = subset_conditions(train, key, label, subsets)
-    masks = {f"__mask_{at}": subset_mask(conditions[at : at + MASK_BITS]) for at in range(0, subsets, MASK_BITS)}
-    vectors = store_vectors(train.withColumns(masks), {"features": prepared}, [label, *masks])
 
-    def member(i: int) -> Model:
-        at, bit = i // MASK_BITS * MASK_BITS, i % MASK_BITS
-        rows = vectors.filter(F.col(f"__mask_{at}").bitwiseAND(F.lit(1 << bit)) != 0)
-        return classifier_of(fit_on_vectors(rows, prepared, classifier.copy()))
+    def store(rows: DataFrame, told: list[str]) -> DataFrame:
+        return store_vectors(rows, {"features": prepared}, [label, *told], rows_per_file=ROWS_PER_TASK)
 
-    return VotingEnsemble(prepared, in_pool(train.sparkSession, parallelism, member, range(subsets)))
+    vectors, conditions = store_subsets(train, key, store, label, subsets)
 
+    def member(condition: Column) -> Model:
+        return classifier.copy().fit(vectors.filter(condition).select("features", classifier.getLabelCol()))
 
-def subset_mask(conditions: list[Column]) -> Column:
-    """The places of the conditions that hold, as bits of one number."""
-    bits = [F.when(c, F.lit(1 << i).cast("long")).otherwise(F.lit(0)) for i, c in enumerate(conditions)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+    return VotingEnsemble(prepared, in_pool(train.sparkSession, parallelism, member, conditions))

@@ -319,6 +319,20 @@ def test_fits_read_even_parts_of_few_rows(spark, learnable, monkeypatch):
     assert all(len(p) >= 8 and max(p) <= 60 for p in parts)
 
 
+def test_ensemble_hashes_a_key_once(spark, split):
+    """The keys are read in the pass that stores the vectors, and in no other."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def told(k):
+        read.add(1)
+        return k
+
+    train = split[0].withColumn("k", told("k"))
+    training.fit_balanced_ensemble(train, FEATURES, "k", subsets=2, classifier=RandomForestClassifier(numTrees=1))
+    assert read.value == split[0].count()
+
+
 def test_a_fit_runs_no_shuffle_of_its_rows(spark, monkeypatch):
     """Rows are dealt out once, as files of which a task reads one, and both fits of a selection read the same."""
     plans = []

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from gradewise.operators import sampling
 from gradewise.operators.sampling import balanced_subsets, fold_of, hash_split, random_split, subset_conditions
+from gradewise.sources import materialize
 
 
 def test_split_is_whole_disjoint_and_layout_free(spark):
@@ -102,3 +103,26 @@ def test_null_keys_are_split_by_content(spark):
     labelled = df.withColumn("label", (F.col("v") % 10 == 0).cast("int"))
     kept = balanced_subsets(labelled, "k", subsets=2).groupBy("subset", "label").count().collect()
     assert {r["count"] for r in kept} == {300}
+
+
+@pytest.mark.parametrize("copies", [1, 4, 3000])
+def test_stored_subsets_are_the_same_rows(spark, monkeypatch, copies):
+    """Hashed once, or once more where many copies of a key move the cut; rows without key and without label too."""
+    monkeypatch.setattr(sampling, "MASK_BITS", 3)
+    key = F.when(F.col("id") < copies, -1).when(F.col("id") % 50 != 7, (F.col("id") / (1 + copies % 3)).cast("int"))
+    label = F.when(F.col("id") % 11 == 3, 0).when(F.col("id") % 40 == 1, None).when(F.col("id") % 7 == 2, 2).otherwise(1)
+    df = materialize(spark.range(6000).select("id", key.alias("k"), label.alias("label")), "rows")
+    stored, inside = sampling.store_subsets(
+        df, "k", lambda rows, told: materialize(rows.select("id", "label", *told), "told"), subsets=4
+    )
+    plain = sampling.subset_conditions(df, "k", subsets=4)
+    for i in range(4):
+        kept, expected = (sorted(r.id for r in rows.select("id").collect()) for rows in (stored.filter(inside[i]), df.filter(plain[i])))
+        assert kept == expected and len(kept) > 1500
+
+
+def test_a_cut_is_near_the_share_of_its_class():
+    assert sampling._near_cut(50, 100)[0] < "80000000" < sampling._near_cut(50, 100)[1]
+    assert sampling._near_cut(999_999, 1_000_000)[1] == "g" and sampling._near_cut(1, 1_000_000)[0] == "00000000"
+    low, high = (int(h, 16) / 2**32 for h in sampling._near_cut(40_000_000, 100_000_000))
+    assert 0.395 < low < 0.3962 and 0.4038 < high < 0.405
