@@ -63,8 +63,16 @@ def stock_classifiers(label: str = LABEL) -> dict[str, Estimator]:
 def fit_features(
     train: DataFrame, features: list[str], relative_error: float = MEDIAN_ERROR
 ) -> PipelineModel:
-    """The feature stages, fitted on training rows."""
-    return Pipeline(stages=feature_stages(features, relative_error)).fit(train)
+    """The feature stages, fitted on training rows.
+
+    Scaling knows of a column no more than its ends, so it is fitted on these as two rows.
+    """
+    imputer, *later = feature_stages(features, relative_error)
+    filled = imputer.fit(train)
+    columns = filled.getOutputCols()
+    ends = [F.struct(*[end(column(c)).alias(c) for c in columns]) for end in (F.min, F.max)]
+    rows = filled.transform(train).agg(F.array(*ends).alias("ends")).select(F.inline("ends"))
+    return PipelineModel(stages=[filled, *Pipeline(stages=later).fit(rows).stages])
 
 
 def fit_classifier(train: DataFrame, prepared: PipelineModel, classifier: Estimator) -> PipelineModel:

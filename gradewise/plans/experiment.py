@@ -107,8 +107,10 @@ def prepare(source: DataFrame, config: ExperimentConfig) -> Prepared:
     cleaned = cleaning.clean_text(cleaning.cast_numeric(source, candidates), text)
     labelled = labeling.assign_label(cleaned, cleaning.undotted(config.grade), config.mapping)
     has_label = F.col(LABEL).isNotNull()
-    in_training = in_train(who, config.train_ratio, config.seed)
-    rows = labelled.select(
+    # A column of its own, so that a row is hashed for it once.
+    split = labelled.withColumn("__train", in_train(who, config.train_ratio, config.seed))
+    in_training = F.col("__train")
+    rows = split.select(
         *[F.when(has_label, column(c)).alias(c) for c in dict.fromkeys([key, *candidates, *keep])],
         LABEL,
         F.when(~has_label, "unlabelled").when(in_training, "train").otherwise("test").alias("part"),

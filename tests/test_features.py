@@ -4,6 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import MinMaxScaler
 from pyspark.ml.linalg import Vectors
 
 from gradewise.operators.features import (
@@ -111,3 +112,23 @@ def test_imputer_model_can_be_saved(spark, tmp_path):
     fit_features(df, ["x"], 0).write().overwrite().save(str(tmp_path / "model"))
     again = PipelineModel.load(str(tmp_path / "model"))
     assert again.transform(df).count() == 3
+
+
+def test_scaling_is_fitted_on_the_ends_of_imputed_columns(spark, monkeypatch):
+    """As on all rows, with missing cells, infinite ends, whole numbers and a constant column; only two rows are scaled for it."""
+    rows = [(float(v) if v % 3 else None, float("nan") if v % 2 else -float(v), v - 50, 7.0) for v in range(100)]
+    rows.append((float("inf"), 3.0, None, 7.0))
+    df = spark.createDataFrame(rows, "a double, b double, c int, d double")
+    names, seen, fit = ["a", "b", "c", "d"], [], MinMaxScaler.fit
+
+    def counted(self, data, *rest):
+        seen.append(data.count())
+        return fit(self, data, *rest)
+
+    expected = Pipeline(stages=feature_stages(names)).fit(df)
+    monkeypatch.setattr(MinMaxScaler, "fit", counted)
+    found = fit_features(df, names)
+    assert seen == [2]
+    for ends in ("originalMin", "originalMax"):
+        assert getattr(found.stages[-1], ends) == getattr(expected.stages[-1], ends)
+    assert str(found.transform(df).select("features").collect()) == str(expected.transform(df).select("features").collect())
