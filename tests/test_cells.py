@@ -1,0 +1,108 @@
+"""Tree fits on counts of rows that they cannot tell apart."""
+
+import re
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from gradewise.operators import cells, training
+from gradewise.sources import materialize
+
+
+def pool(work, tasks):
+    return list(map(work, tasks))
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """Values beyond what bins hold, few values, and a constant; the label follows two of them, not surely."""
+    draw = np.random.default_rng(5)
+    wide, few = draw.gamma(2.0, 3.0, 6000), draw.integers(0, 5, 6000)
+    label = (np.where(few > 2, wide > 4, wide > 9) ^ (draw.random(6000) < 0.2)).astype(int)
+    found = [(float(w), float(f), int(y)) for w, f, y in zip(wide, few, label)]
+    df = spark.createDataFrame(found, "wide double, few double, label int")
+    vectors = df.select(array_to_vector(F.array("wide", "few", F.lit(7.0))).alias("features"), "label")
+    return materialize(vectors, "rows")
+
+
+@pytest.fixture
+def few_suffice(monkeypatch):
+    monkeypatch.setattr(cells, "LEAST_ROWS", 100)
+
+
+def splits(model):
+    return [(f, float(t)) for f, t in re.findall(r"If \(feature (\d+) <= ([^)]+)\)", model.toDebugString)]
+
+
+def test_boosting_on_counts_is_boosting_on_rows(rows, few_suffice):
+    gbt = training.boosted_trees()
+    counted, plain = cells.fit_on_cells(rows, gbt, pool), gbt.fit(rows)
+    # Steps that are nothing but rounding may be split in another way, so the first trees are compared.
+    assert splits(counted.trees[0]) == splits(plain.trees[0]) and len(splits(plain.trees[0])) > 20
+    both = plain.transform(rows).select(vector_to_array("probability")[1].alias("plain"), "features")
+    both = counted.transform(both, {counted.probabilityCol: "counted"})
+    found = both.select(F.max(F.abs(vector_to_array("counted")[1] - F.col("plain")))).first()[0]
+    assert found < 1e-9
+    assert counted.getMaxBins() == plain.getMaxBins() and not counted.isDefined(counted.weightCol)
+
+
+def test_a_tree_of_all_rows_is_the_same(rows, few_suffice):
+    tree = RandomForestClassifier(numTrees=1, bootstrap=False, maxDepth=6, seed=3)
+    counted, plain = cells.fit_on_cells(rows, tree, pool), tree.fit(rows)
+    assert counted.trees[0].toDebugString.split("\n", 1)[1] == plain.trees[0].toDebugString.split("\n", 1)[1]
+
+
+def test_a_forest_on_counts_is_like_one_on_rows(rows, few_suffice):
+    forest = training.plain_forest().setMaxDepth(3)
+    counted, plain = cells.fit_on_cells(rows, forest, pool), forest.fit(rows)
+    assert len(counted.trees) == counted.getNumTrees == 20
+    assert (counted.numFeatures, counted.numClasses, counted.getLabelCol()) == (3, 2, "label")
+    assert np.allclose(counted.featureImportances.toArray(), plain.featureImportances.toArray(), atol=0.05)
+    score = F.avg(vector_to_array("probability")[1]).alias("p")
+    means = [m.transform(rows).groupBy("label").agg(score).orderBy("label").collect() for m in (counted, plain)]
+    assert all(abs(a["p"] - b["p"]) < 0.02 for a, b in zip(*means))
+    assert len({t.toDebugString.split("\n", 1)[1] for t in counted.trees}) > 5
+
+
+def test_a_bootstrap_of_counts_varies_as_one_of_rows():
+    counts = np.array([1, 50, 4000])
+    drawn = cells._weights(counts, RandomForestClassifier(numTrees=4000, seed=1))
+    assert np.allclose(drawn.mean(axis=0), counts, rtol=0.05)
+    assert np.allclose(drawn.var(axis=0), counts, rtol=0.15)
+    assert (cells._weights(counts, RandomForestClassifier(numTrees=2, bootstrap=False)) == counts).all()
+
+
+@pytest.mark.parametrize("make", [training.plain_forest, training.boosted_trees])
+def test_a_fit_of_many_rows_reads_no_more_than_cells(rows, few_suffice, monkeypatch, make):
+    """All rows are counted; the trees' own passes see a row of each cell and label."""
+    read = []
+    for kind in (RandomForestClassifier, GBTClassifier):
+
+        def seen(self, data, *rest, fit=kind.fit):
+            weight = self.getWeightCol()
+            read.append((data.count(), self.getOrDefault("numTrees") if self.hasParam("numTrees") else 1, weight))
+            if weight == "weight_0" and isinstance(self, GBTClassifier):
+                assert data.agg(F.sum(weight)).first()[0] == rows.count()
+            return fit(self, data, *rest)
+
+        monkeypatch.setattr(kind, "fit", seen)
+    training.fit_on_vectors(rows, training.PipelineModel(stages=[]), make())
+    assert all(n <= 2 * 32 * 5 + 32 and trees == 1 for n, trees, _ in read)
+    assert len(read) == (20 if make is training.plain_forest else 1)
+
+
+def test_rows_are_fitted_where_counts_tell_less(rows, few_suffice, spark, monkeypatch):
+    forest = RandomForestClassifier
+    for own in (forest(minInstancesPerNode=2), forest(subsamplingRate=0.5), forest(weightCol="label"), training.logistic()):
+        assert cells.fit_on_cells(rows, own, pool) is None
+    nan = rows.select(array_to_vector(F.array(F.lit(float("nan")), F.lit(0.0))).alias("features"), "label")
+    unknown = rows.select("features", F.when(F.rand(1) > 0.1, F.col("label")).alias("label"))
+    many = rows.select(array_to_vector(F.array(*[F.rand(i) for i in range(16)])).alias("features"), "label")
+    four = rows.select(array_to_vector(F.array(*[F.rand(i) for i in range(4)])).alias("features"), "label")
+    for other in (nan, unknown, many, four):
+        assert cells.fit_on_cells(other, training.plain_forest(), pool) is None
+    monkeypatch.setattr(cells, "LEAST_ROWS", 6001)
+    assert cells.fit_on_cells(rows, training.plain_forest(), pool) is None
