@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 from gradewise.operators.evaluation import evaluate
 from gradewise.operators.features import MEDIAN_ERROR, store_vectors
 from gradewise.operators.labeling import LABEL
-from gradewise.operators.training import classifier_of, fit_features, fit_on_vectors, in_pool, stock_classifiers
+from gradewise.operators.training import (
+    ROWS_PER_TASK,
+    classifier_of,
+    fit_features,
+    fit_on_vectors,
+    in_pool,
+    stock_classifiers,
+)
 from gradewise.sources.reports import BASE, OPTIMISED
 
 # Measures of the base-optimised comparison, in report order.
@@ -34,15 +41,17 @@ def fit_and_evaluate(
     keep: Iterable[str],
     label: str = LABEL,
     parallelism: int = 2,
+    dealt: bool = False,
 ) -> dict[str, tuple[PipelineModel, DataFrame, DataFrame]]:
     """By name the model, its metrics and the scored test rows; ``parallelism`` models at a time.
 
-    ``vectors`` are stored training and test rows with the ``features`` that ``prepared`` makes.
+    ``vectors`` are stored training and test rows with the ``features`` that ``prepared`` makes;
+    ``dealt`` ones have their training rows in files of ``ROWS_PER_TASK``.
     """
     train, test = vectors
 
     def one(classifier: Estimator) -> tuple[PipelineModel, DataFrame, DataFrame]:
-        model = fit_on_vectors(train, prepared, classifier)
+        model = fit_on_vectors(train, prepared, classifier, dealt=dealt)
         return model, *evaluate(classifier_of(model), test, keep, label)
 
     found = in_pool(train.sparkSession, parallelism, one, classifiers.values())
@@ -72,13 +81,14 @@ def compare_models(
 ) -> Compared:
     """Fit and evaluate each classifier on the same rows behind the same feature stages.
 
-    Both parts' vectors are stored, once for all classifiers.
+    Both parts' vectors are stored, once for all classifiers and as their fits read them.
     """
     keep = list(keep)
     prepared = prepared or fit_features(train, features, relative_error)
-    vectors = tuple(store_vectors(rows, {"features": prepared}, [*keep, label]) for rows in (train, test))
+    stages, kept = {"features": prepared}, [*keep, label]
+    vectors = store_vectors(train, stages, kept, rows_per_file=ROWS_PER_TASK), store_vectors(test, stages, kept)
     classifiers = classifiers or stock_classifiers(label)
-    return compared(fit_and_evaluate(vectors, prepared, classifiers, keep, label, parallelism))
+    return compared(fit_and_evaluate(vectors, prepared, classifiers, keep, label, parallelism, dealt=True))
 
 
 def compare_confusions(base: DataFrame, optimised: DataFrame) -> DataFrame:

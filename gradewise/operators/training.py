@@ -82,11 +82,12 @@ def fit_classifier(train: DataFrame, prepared: PipelineModel, classifier: Estima
 
 
 def fit_on_vectors(
-    vectors: DataFrame, prepared: PipelineModel, classifier: Estimator, name: str = "features"
+    vectors: DataFrame, prepared: PipelineModel, classifier: Estimator, name: str = "features", dealt: bool = False
 ) -> PipelineModel:
     """Fit a classifier on vectors that ``prepared`` made; one model from raw columns.
 
     Trees of many rows are fitted on counts of the rows that they cannot tell apart, if there are few kinds of them.
+    ``dealt`` vectors are stored as ``evenly`` does it.
     """
     rows = vectors.select(column(name).alias("features"), classifier.getLabelCol())
 
@@ -95,7 +96,7 @@ def fit_on_vectors(
 
     model = fit_on_cells(rows, classifier, pool)
     if model is None:
-        model = classifier.fit(evenly(rows))
+        model = classifier.fit(rows if dealt else evenly(rows))
     return PipelineModel(stages=[*prepared.stages, model])
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.compare import connect, differences
 from checks.oracle import oracle
 from checks.queries import REGISTRY
-from gradewise.operators import evaluation, training, tuning
+from gradewise.operators import comparison, evaluation, features, training, tuning
 from gradewise.operators.comparison import compare_models
 from gradewise.operators.sampling import fold_of, hash_split
 from gradewise.plans import ExperimentConfig, prepare, run_experiment, run_experiment_file
@@ -351,3 +351,22 @@ def test_a_fit_runs_no_shuffle_of_its_rows(spark, monkeypatch):
     assert not any("Exchange" in plan for plan, _, _ in plans)
     assert [len(files) for _, files, _ in plans] == [n for _, _, n in plans] == [20, 20, 20]
     assert sorted(plans[0][1]) == sorted(plans[1][1])
+
+
+def test_compared_families_read_the_vectors_as_they_are_stored(spark, monkeypatch):
+    """Training rows are written once, in files of which a task reads one, and no family writes them again."""
+    made = []
+    for module in (training, features):
+
+        def seen(df, name, *rest, write=module.materialize, **options):
+            made.append((name, options.get("rows_per_file") or (rest[1] if len(rest) > 1 else None)))
+            return write(df, name, *rest, **options)
+
+        monkeypatch.setattr(module, "materialize", seen)
+    monkeypatch.setattr(training.evenly, "__defaults__", (20,))
+    monkeypatch.setattr(comparison, "ROWS_PER_TASK", 20)
+    bit = F.col("id") % 2
+    rows = spark.range(0, 400, 1, 1).select("id", bit.cast("double").alias("x"), bit.cast("int").alias("label"))
+    compared = compare_models(rows, rows, ["x"], ["id"])
+    assert made == [("vectors", 20), ("vectors", None)]
+    assert [(r["tp"], r["tn"], r["fp"], r["fn"]) for r in compared.report.collect()] == [(200, 200, 0, 0)] * 3
