@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from functools import reduce
+from dataclasses import dataclass
+from functools import partial, reduce
 from itertools import pairwise
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from gradewise.functions import column
@@ -40,16 +41,21 @@ SPLIT_ROWS = 10_000
 TREES_AT_A_TIME = 8
 
 
-def fit_on_cells(rows: DataFrame, classifier: Estimator, pool: Callable) -> Model | None:
-    """The trees that ``classifier`` makes of vectors and labels, or null where it must have the rows.
+@dataclass
+class Cells:
+    """By feature the bins, each the least and greatest value seen of it, and the rows of each cell and label."""
 
-    ``pool(work, tasks)`` runs the fits of single trees.
-    """
-    if not _takes_counts(rows, classifier) or (n_rows := rows.count()) < LEAST_ROWS:
+    cuts: list[list[list[float]]]
+    counted: list[Row]
+
+
+def count_cells(vectors: DataFrame, features: str, label: str, max_bins: int, seed: int) -> Cells | None:
+    """Rows of each cell and label; null if they are few, or too many cells, or hold what a fit reports as an error."""
+    n_rows = vectors.count()
+    if n_rows < LEAST_ROWS:
         return None
-    features, label = classifier.getFeaturesCol(), classifier.getLabelCol()
-    values = rows.select(vector_to_array(column(features)).alias("values"), column(label).alias("label"))
-    cuts = _cuts(values, classifier, n_rows)
+    values = vectors.select(vector_to_array(column(features)).alias("values"), column(label).alias("label"))
+    cuts = _cuts(values, max_bins, seed, n_rows)
     if cuts is None:
         return None
     counted = values.select(_cell(cuts).alias("cell"), "label").groupBy("cell", "label").agg(F.count(F.lit(1)).alias("n"))
@@ -57,7 +63,25 @@ def fit_on_cells(rows: DataFrame, classifier: Estimator, pool: Callable) -> Mode
     # Missing labels and entries that are no finite numbers are errors, which the fit on rows reports.
     if len(found) > 2 * MAX_CELLS or any(r["cell"] is None or r["label"] is None for r in found):
         return None
-    found.sort(key=lambda r: (r["cell"], r["label"]))
+    return Cells(cuts, sorted(found, key=lambda r: (r["cell"], r["label"])))
+
+
+def fit_on_cells(
+    rows: DataFrame, classifier: Estimator, pool: Callable, count: Callable[..., Cells | None] | None = None
+) -> Model | None:
+    """The trees that ``classifier`` makes of vectors and labels, or null where it must have the rows.
+
+    ``pool(work, tasks)`` runs the fits of single trees. ``count`` is ``count_cells`` of the same
+    rows, for several classifiers that share what it found.
+    """
+    if not _takes_counts(rows, classifier):
+        return None
+    features, label = classifier.getFeaturesCol(), classifier.getLabelCol()
+    count = count or partial(count_cells, rows)
+    cells = count(features, label, classifier.getMaxBins(), classifier.getSeed())
+    if cells is None:
+        return None
+    cuts, found = cells.cuts, cells.counted
     labels = [float(r["label"]) for r in found]
     counts = np.array([r["n"] for r in found])
     points = _points([r["cell"] for r in found], cuts)
@@ -70,17 +94,17 @@ def fit_on_cells(rows: DataFrame, classifier: Estimator, pool: Callable) -> Mode
         {"values": pa.array(points, pa.list_(pa.float64())), "label": pa.array(labels, pa.float64())}
         | {name: pa.array(w, pa.float64()) for name, w in zip(names, weights)}
     )
-    cells = rows.sparkSession.createDataFrame(table).coalesce(1).select(
+    made = rows.sparkSession.createDataFrame(table).coalesce(1).select(
         array_to_vector("values").alias(features),
         F.col("label").alias(label, metadata=rows.schema[label].metadata),
         *names,
     )
-    cells = materialize(cells, "cells")
+    weighted = materialize(made, "cells")
     # Every point is looked at for splits, and each gap between two points may be one.
     bins = max(2 * classifier.getMaxBins(), math.ceil(math.sqrt(len(points))))
     changed = {classifier.maxBins: bins}
     if isinstance(classifier, GBTClassifier):
-        model = classifier.copy({**changed, classifier.weightCol: names[0]}).fit(cells)
+        model = classifier.copy({**changed, classifier.weightCol: names[0]}).fit(weighted)
         for name in ("maxBins", "weightCol"):
             model.clear(model.getParam(name))
         return _with_params(classifier, model)
@@ -88,7 +112,7 @@ def fit_on_cells(rows: DataFrame, classifier: Estimator, pool: Callable) -> Mode
 
     def tree(i: int) -> RandomForestClassificationModel:
         own = {classifier.weightCol: names[i], classifier.seed: classifier.getSeed() + i}
-        return classifier.copy({**changed, **own}).fit(cells.select(column(features), column(label), names[i]))
+        return classifier.copy({**changed, **own}).fit(weighted.select(column(features), column(label), names[i]))
 
     return _forest(rows.sparkSession.sparkContext, classifier, pool(tree, range(len(names))))
 
@@ -108,15 +132,14 @@ def _takes_counts(rows: DataFrame, classifier: Estimator) -> bool:
     )
 
 
-def _cuts(values: DataFrame, classifier: Estimator, n_rows: int) -> list[list[list[float]]] | None:
-    """By feature its bins, low to high, each the least and greatest value seen of it; null for too many cells.
+def _cuts(values: DataFrame, max_bins: int, seed: int, n_rows: int) -> list[list[list[float]]] | None:
+    """By feature its bins, low to high; null for too many cells.
 
     Bins are Spark's own: it seeks splits among some rows, takes all values apart where bins suffice,
     and else about as many rows to a bin. A split is midway between two neighbouring values.
     """
-    max_bins = classifier.getMaxBins()
     share = max(max_bins**2, SPLIT_ROWS) / n_rows
-    seen = values.sample(share, classifier.getSeed()) if share < 1 else values
+    seen = values.sample(share, seed) if share < 1 else values
     width = values.select(F.size("values")).first()[0]
     if width > math.log2(MAX_CELLS):  # of two bins each they make too many
         return None

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, partial, reduce
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gradewise.operators.cells import count_cells
 from gradewise.operators.evaluation import evaluate
 from gradewise.operators.features import MEDIAN_ERROR, store_vectors
 from gradewise.operators.labeling import LABEL
@@ -49,9 +50,10 @@ def fit_and_evaluate(
     ``dealt`` ones have their training rows in files of ``ROWS_PER_TASK``.
     """
     train, test = vectors
+    count = cache(partial(count_cells, train))  # the same cells for all families of trees
 
     def one(classifier: Estimator) -> tuple[PipelineModel, DataFrame, DataFrame]:
-        model = fit_on_vectors(train, prepared, classifier, dealt=dealt)
+        model = fit_on_vectors(train, prepared, classifier, dealt=dealt, count=count)
         return model, *evaluate(classifier_of(model), test, keep, label)
 
     found = in_pool(train.sparkSession, parallelism, one, classifiers.values())

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gradewise.functions import column, majority
-from gradewise.operators.cells import TREES_AT_A_TIME, fit_on_cells
+from gradewise.operators.cells import TREES_AT_A_TIME, Cells, fit_on_cells
 from gradewise.operators.features import MEDIAN_ERROR, feature_stages, store_vectors, top_feature_slicer
 from gradewise.operators.labeling import LABEL
 from gradewise.operators.sampling import SEED, hash_split, store_subsets, subset_mask  # noqa: F401 (the mask is used from here too)
@@ -82,19 +82,24 @@ def fit_classifier(train: DataFrame, prepared: PipelineModel, classifier: Estima
 
 
 def fit_on_vectors(
-    vectors: DataFrame, prepared: PipelineModel, classifier: Estimator, name: str = "features", dealt: bool = False
+    vectors: DataFrame,
+    prepared: PipelineModel,
+    classifier: Estimator,
+    name: str = "features",
+    dealt: bool = False,
+    count: Callable[..., Cells | None] | None = None,
 ) -> PipelineModel:
     """Fit a classifier on vectors that ``prepared`` made; one model from raw columns.
 
     Trees of many rows are fitted on counts of the rows that they cannot tell apart, if there are few kinds of them.
-    ``dealt`` vectors are stored as ``evenly`` does it.
+    ``dealt`` vectors are stored as ``evenly`` does it; ``count`` is ``count_cells`` of them, kept for several fits.
     """
     rows = vectors.select(column(name).alias("features"), classifier.getLabelCol())
 
     def pool(work: Callable, tasks: Iterable) -> list:
         return in_pool(vectors.sparkSession, TREES_AT_A_TIME, work, tasks)
 
-    model = fit_on_cells(rows, classifier, pool)
+    model = fit_on_cells(rows, classifier, pool, count)
     if model is None:
         model = classifier.fit(rows if dealt else evenly(rows))
     return PipelineModel(stages=[*prepared.stages, model])

@@ -4,11 +4,11 @@ import re
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from gradewise.operators import cells, training
+from gradewise.operators import cells, comparison, training
 from gradewise.sources import materialize
 
 
@@ -106,3 +106,20 @@ def test_rows_are_fitted_where_counts_tell_less(rows, few_suffice, spark, monkey
         assert cells.fit_on_cells(other, training.plain_forest(), pool) is None
     monkeypatch.setattr(cells, "LEAST_ROWS", 6001)
     assert cells.fit_on_cells(rows, training.plain_forest(), pool) is None
+
+
+def test_compared_families_of_trees_share_their_counts(rows, few_suffice, monkeypatch):
+    counted = []
+
+    def seen(*given, count=cells.count_cells):
+        found = count(*given)
+        counted.append(sum(r["n"] for r in found.counted))
+        return found
+
+    monkeypatch.setattr(comparison, "count_cells", seen)
+    families = {"forest": training.plain_forest(), "logistic": training.logistic(), "boosted": training.boosted_trees()}
+    stages = training.PipelineModel(stages=[])
+    found = comparison.fit_and_evaluate((rows, rows), stages, families, [], dealt=True)
+    assert counted == [rows.count()]
+    assert all(report.first()["auc"] > 0.75 for name, (_, report, _) in found.items() if name != "logistic")
+    assert type(training.classifier_of(found["boosted"][0])) is GBTClassificationModel
