@@ -27,6 +27,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from gradewise.functions import column
 from gradewise.sources.scratch import materialize
@@ -124,7 +125,8 @@ def _takes_counts(rows: DataFrame, classifier: Estimator) -> bool:
     told_apart = ("weightCol", "validationIndicatorCol")
     attributes = rows.schema[classifier.getFeaturesCol()].metadata.get("ml_attr", {}).get("attrs", {})
     return (
-        not any(classifier.hasParam(p) and classifier.isDefined(p) and classifier.getOrDefault(p) for p in told_apart)
+        isinstance(rows.schema[classifier.getLabelCol()].dataType, NumericType)
+        and not any(classifier.hasParam(p) and classifier.isDefined(p) and classifier.getOrDefault(p) for p in told_apart)
         and classifier.getMinInstancesPerNode() == 1
         and classifier.getMinWeightFractionPerNode() == 0
         and classifier.getSubsamplingRate() == 1
@@ -141,7 +143,7 @@ def _cuts(values: DataFrame, max_bins: int, seed: int, n_rows: int) -> list[list
     share = max(max_bins**2, SPLIT_ROWS) / n_rows
     seen = values.sample(share, seed) if share < 1 else values
     width = values.select(F.size("values")).first()[0]
-    if width > math.log2(MAX_CELLS):  # of two bins each they make too many
+    if not width or width > math.log2(MAX_CELLS):  # of two bins each they make too many
         return None
     every = seen.select(F.posexplode("values").alias("feature", "value")).groupBy("feature", "value").count().collect()
     cuts = []

@@ -56,9 +56,9 @@ def test_a_tree_of_all_rows_is_the_same(rows, few_suffice):
 
 
 def test_a_forest_on_counts_is_like_one_on_rows(rows, few_suffice):
-    forest = training.plain_forest().setMaxDepth(3)
+    forest = training.plain_forest().setMaxDepth(3).setNumTrees(25)
     counted, plain = cells.fit_on_cells(rows, forest, pool), forest.fit(rows)
-    assert len(counted.trees) == counted.getNumTrees == 20
+    assert len(counted.trees) == counted.getNumTrees == 25
     assert (counted.numFeatures, counted.numClasses, counted.getLabelCol()) == (3, 2, "label")
     assert np.allclose(counted.featureImportances.toArray(), plain.featureImportances.toArray(), atol=0.05)
     score = F.avg(vector_to_array("probability")[1]).alias("p")
@@ -102,7 +102,8 @@ def test_rows_are_fitted_where_counts_tell_less(rows, few_suffice, spark, monkey
     unknown = rows.select("features", F.when(F.rand(1) > 0.1, F.col("label")).alias("label"))
     many = rows.select(array_to_vector(F.array(*[F.rand(i) for i in range(16)])).alias("features"), "label")
     four = rows.select(array_to_vector(F.array(*[F.rand(i) for i in range(4)])).alias("features"), "label")
-    for other in (nan, unknown, many, four):
+    words = rows.select("features", (F.col("label") == 1).alias("label"))
+    for other in (nan, unknown, many, four, words):
         assert cells.fit_on_cells(other, training.plain_forest(), pool) is None
     monkeypatch.setattr(cells, "LEAST_ROWS", 6001)
     assert cells.fit_on_cells(rows, training.plain_forest(), pool) is None
